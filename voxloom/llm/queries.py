@@ -11,6 +11,7 @@ from .capping import dropped_by_cap
 from .common import LATEST_SQL, SCORED_SQL, latest_rows, scored_rows
 from .cutoffs import below_cutoff, cutoffs
 from .grouping import assign_splits, linked_groups
+from .lookalike import alike_pairs
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
 REGISTRY = Registry()
@@ -61,16 +62,17 @@ def p4_merged_days(spark: SparkSession, folder: str) -> DataFrame:
     return sketch_percentiles(days, FRACTIONS).withColumnRenamed("_g", "speaker")
 
 
-P5_E = """WITH RECURSIVE f AS (SELECT DISTINCT source_audio_id AS v, lower(regexp_replace(speaker_id, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')) AS s FROM fine_segment WHERE source_audio_id IS NOT NULL),
+P5_SQL = """WITH RECURSIVE f AS (SELECT DISTINCT source_audio_id AS v, lower(regexp_replace(speaker_id, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')) AS s FROM fine_segment WHERE source_audio_id IS NOT NULL),
 k AS (SELECT * FROM f WHERE s IS NOT NULL AND s NOT IN ('', 'multi', 'unknown')),
 m AS (SELECT s, min(v) AS b FROM k GROUP BY s),
 e AS (SELECT DISTINCT k.v AS a, m.b FROM k JOIN m USING (s)),
-e2 AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT DISTINCT v, v AS g FROM f UNION SELECT e2.a, r.g FROM r JOIN e2 ON e2.b = r.v WHERE r.g < e2.a)
-SELECT v AS source_audio_id, min(g) AS group_id FROM r GROUP BY v"""
+e2 AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(v, g) USING KEY (v) AS (SELECT DISTINCT v, v FROM f UNION
+    (SELECT e2.a, min(r.g) FROM r JOIN e2 ON e2.b = r.v JOIN recurring.r AS c ON c.v = e2.a WHERE r.g < c.g GROUP BY e2.a))
+SELECT v AS source_audio_id, g AS group_id FROM r"""
 
 
-@REGISTRY.query("p5_found", P5_E)
+@REGISTRY.query("p5_found", P5_SQL)
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return linked_groups(table(spark, folder, "fine_segment"), "source_audio_id", speaker_key("speaker_id"))
 
@@ -84,3 +86,10 @@ def p5_splits(spark: SparkSession, folder: str) -> DataFrame:
     sizes = utts.groupBy("source_audio_id").agg(F.sum("duration").alias("w")).join(found, "source_audio_id").groupBy("group_id").agg(F.sum("w").alias("w"))
     splits = assign_splits(sizes, "group_id", "w", RATIOS).select("group_id", "split")
     return utts.join(found.join(splits, "group_id"), "source_audio_id").select("utt_id", "source_audio_id", "group_id", "split")
+
+
+@REGISTRY.query("p3_found")
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    fields = (("text_normalize", "text_normalized"), ("asr", "asr_text"))
+    one, two = (table(spark, folder, t).select(F.lit(c).alias("field"), "seg_id", F.col(c).alias("text")) for t, c in fields)
+    return alike_pairs(one.unionByName(two), "seg_id", "text", by=("field",))
