@@ -11,6 +11,7 @@ from .capping import dropped_by_cap
 from .common import LATEST_SQL, SCORED_SQL, latest_rows, scored_rows
 from .cutoffs import below_cutoff, cutoffs
 from .grouping import assign_splits, linked_groups
+from .leaks import leaked
 from .lookalike import alike_pairs
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
@@ -93,3 +94,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     fields = (("text_normalize", "text_normalized"), ("asr", "asr_text"))
     one, two = (table(spark, folder, t).select(F.lit(c).alias("field"), "seg_id", F.col(c).alias("text")) for t, c in fields)
     return alike_pairs(one.unionByName(two), "seg_id", "text", by=("field",))
+
+
+@REGISTRY.query("p9_found")
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "eval_items")
+    ideographs = F.length(F.regexp_replace("text", r"[^\x{3400}-\x{9fff}]", ""))
+    least = F.when(ideographs * 2 > F.length("text"), 40).otherwise(120)
+    return leaked(table(spark, folder, "documents"), "doc_id", "text", items, "item_id", "text", least)
