@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import speaker_key
+from ..functions.text import speaker_key, strip_blanks
 from ..plans.tables import Registry, table
 from ..session import stored
 from .capping import dropped_by_cap
@@ -13,6 +13,7 @@ from .cutoffs import below_cutoff, cutoffs
 from .grouping import assign_splits, linked_groups
 from .leaks import leaked
 from .lookalike import alike_pairs
+from .overlaps import overlaps
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
 REGISTRY = Registry()
@@ -102,3 +103,42 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     ideographs = F.length(F.regexp_replace("text", r"[^\x{3400}-\x{9fff}]", ""))
     least = F.when(ideographs * 2 > F.length("text"), 40).otherwise(120)
     return leaked(table(spark, folder, "documents"), "doc_id", "text", items, "item_id", "text", least)
+
+
+def _sides(spark: SparkSession, folder: str) -> DataFrame:
+    side = F.when(F.col("split") == "train", 1).when(F.col("split").isin("valid", "test"), 2)
+    return table(spark, folder, "manifests").select("utt_id", "source_audio_id", "split", "text", side.alias("side"))
+
+
+def shared_recordings(spark: SparkSession, folder: str) -> DataFrame:
+    """(train_id, eval_id): recordings with one audio hash, one in train and the other in valid or test."""
+    heard = F.lower(strip_blanks("audio_hash"))
+    rows = table(spark, folder, "ingest").select("audio_id", heard.alias("h")).where("h IS NOT NULL AND NOT h RLIKE '^0*$'").distinct()
+    # A hash with one recording can't link any; the rest is a small part of the recordings.
+    some = rows.groupBy("h").agg(F.min("audio_id").alias("a"), F.max("audio_id").alias("b")).where("a <> b").select("h")
+    used = _sides(spark, folder).where("side IS NOT NULL").select(F.col("source_audio_id").alias("audio_id"), "side").distinct()
+    rows = stored(rows.join(some, "h", "left_semi").join(used, "audio_id"))
+    left = rows.where("side = 1").select("h", F.col("audio_id").alias("train_id"))
+    right = rows.where("side = 2").select("h", F.col("audio_id").alias("eval_id"))
+    return left.join(right, "h").where("train_id <> eval_id").select("train_id", "eval_id").distinct()
+
+
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("key_a"), F.greatest(a, b).alias("key_b")]
+
+
+@REGISTRY.query("p1_found")
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    near = overlaps(_sides(spark, folder), "utt_id", "text", "side").where("left_id <> right_id")
+    return near.select(*_ordered("left_id", "right_id")).unionByName(shared_recordings(spark, folder).select(*_ordered("train_id", "eval_id"))).distinct()
+
+
+@REGISTRY.query("p1_report")
+def p1_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping records per split and source, with the mean share of a record's letters that is covered."""
+    sides = _sides(spark, folder)
+    near = stored(overlaps(sides, "utt_id", "text", "side"))
+    ends = [near.select(F.col(c).alias("utt_id"), F.lit(s).alias("side"), (1 - F.col("edits") / F.col("length")).alias("share")) for c, s in (("left_id", 1), ("right_id", 2))]
+    both = ends[0].unionByName(ends[1]).groupBy("utt_id", "side").agg(F.count("*").alias("partners"), F.max("share").alias("share"))
+    rows = sides.where("side IS NOT NULL").select("utt_id", "side", "split", "source_audio_id").distinct().join(both, ["utt_id", "side"])
+    return rows.groupBy("split", "source_audio_id").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("share"), 6).alias("covered"))
