@@ -14,6 +14,7 @@ from .grouping import assign_splits, linked_groups
 from .leaks import leaked
 from .lookalike import alike_pairs
 from .overlaps import overlaps
+from .packing import pack, token_counts
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
 REGISTRY = Registry()
@@ -142,3 +143,19 @@ def p1_report(spark: SparkSession, folder: str) -> DataFrame:
     both = ends[0].unionByName(ends[1]).groupBy("utt_id", "side").agg(F.count("*").alias("partners"), F.max("share").alias("share"))
     rows = sides.where("side IS NOT NULL").select("utt_id", "side", "split", "source_audio_id").distinct().join(both, ["utt_id", "side"])
     return rows.groupBy("split", "source_audio_id").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("share"), 6).alias("covered"))
+
+
+#: Tokens that a training sequence holds.
+SEQUENCE = 2048
+
+
+@REGISTRY.query("p8_packing")
+def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(token_counts(table(spark, folder, "documents"), "doc_id", "text"), "doc_id", "n_tokens", SEQUENCE)
+
+
+@REGISTRY.query("p8_fill")
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the sequences are: tokens, sequences and share of unused room."""
+    per = p8_packing(spark, folder).groupBy("container").agg(F.sum("length").alias("n"))
+    return per.agg(F.sum("n").alias("tokens"), F.count("*").alias("sequences"), F.round(1 - F.sum("n") / (F.count("*") * SEQUENCE), 6).alias("unused"))
