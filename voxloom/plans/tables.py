@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,7 +25,12 @@ class Registry:
 
     def query(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def add(f: Query) -> Query:
-            self.queries[name] = f
+            @wraps(f)
+            def shipped(spark: SparkSession, folder: str) -> DataFrame:
+                ship(spark)
+                return f(spark, folder)
+
+            self.queries[name] = shipped
             if sql is not None:
                 self.sql[name] = sql
             return f

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int = 8, **conf: str) -> SparkSession:
     """A session for tests and benches; on a cluster the submitter's own session is used instead."""
@@ -42,19 +48,48 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and read back from the shared folder: survives lost executors, ends the lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """As cut(), for wide or large rows: a compressed columnar table in the shared folder."""
+    """df computed once into a columnar table in the shared folder, and read back.
+
+    It survives lost executors and ends the lineage: what follows is planned from a plain scan. A table
+    rather than checkpoint(), whose plans keep the constraints of all that went before; over many rounds of
+    an iteration those grow until the driver's memory is full.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/table-{uuid.uuid4().hex}"
+    root = checkpoint_root(spark)
+    if root not in _ROOTS:
+        _ROOTS[root] = f"{root}/voxloom-{uuid.uuid4().hex}"
+        atexit.register(_clean, spark, _ROOTS[root])
+    path = f"{_ROOTS[root]}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+cut = stored
+
+
+def _clean(spark: SparkSession, folder: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may be gone already; the folder's owner cleans it then
+        pass
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package importable in the workers of this application, wherever they run; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="voxloom-code-"), "voxloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
