@@ -10,6 +10,7 @@ from ..session import stored
 from .capping import dropped_by_cap
 from .common import LATEST_SQL, SCORED_SQL, latest_rows, scored_rows
 from .cutoffs import below_cutoff, cutoffs
+from .garbled import garbled_tokens, restored
 from .grouping import assign_splits, linked_groups
 from .leaks import leaked
 from .lookalike import alike_pairs
@@ -159,3 +160,14 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     """How full the sequences are: tokens, sequences and share of unused room."""
     per = p8_packing(spark, folder).groupBy("container").agg(F.sum("length").alias("n"))
     return per.agg(F.sum("n").alias("tokens"), F.count("*").alias("sequences"), F.round(1 - F.sum("n") / (F.count("*") * SEQUENCE), 6).alias("unused"))
+
+
+@REGISTRY.query("p10_found")
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled_tokens(table(spark, folder, "documents"), "doc_id", "text").select("doc_id").distinct()
+
+
+@REGISTRY.query("p10_restored")
+def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return restored(docs, "doc_id", "text", stored(garbled_tokens(docs, "doc_id", "text")))
