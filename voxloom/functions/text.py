@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType
 
 #: Speaker names that stand for no speaker.
 NO_SPEAKER = ("", "multi", "unknown")
@@ -17,3 +21,68 @@ def speaker_key(c: Column | str) -> Column:
     """A speaker's name without outer blanks and letter case; null where it names no speaker."""
     name = F.lower(strip_blanks(c))
     return F.when(~name.isin(*NO_SPEAKER), name)
+
+
+# ASCII punctuation and what it becomes.
+HALF, FULL = ",.?!:;()[]", "，。？！：；（）【】"
+
+
+def normalized(c: Column | str) -> Column:
+    """Full-width punctuation, single blanks, none between two signs beyond ASCII, none at the ends."""
+    out = F.regexp_replace(F.translate(c, HALF, FULL), r"(?U)\s+", " ")
+    return F.trim(F.regexp_replace(out, r"(?<=[^\x00-\x7f]) (?=[^\x00-\x7f])", ""))
+
+
+def grams(c: Column | str, n: int = 5) -> Column:
+    """Distinct n-grams; a shorter text is its own only gram, an empty or null one has none."""
+    c = F.col(c) if isinstance(c, str) else c
+    size = F.length(c)
+    many = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.substring(c, i, F.lit(n))))
+    return F.when(F.coalesce(size, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(many)
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """0 where either set is empty."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / (F.size(a) + F.size(b) - both))
+
+
+def proportional_slice(text: Column, start: Column, end: Column, total: Column) -> Column:
+    """The share of text that [start, end) of total covers; places are rounded half to even."""
+    n = F.length(text)
+
+    def place(t: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(n, F.rint(n * t / total).cast("int")))
+
+    a, b = place(start), place(end)
+    return F.when(total > 0, F.trim(F.substring(text, a + 1, F.greatest(b - a, F.lit(0))))).otherwise(F.lit(""))
+
+
+def short_hash(c: Column | str) -> Column:
+    """First 16 hex digits of the SHA-256."""
+    return F.substring(F.sha2(c, 256), 1, 16)
+
+
+def ideographs_only(c: Column | str) -> Column:
+    return F.regexp_replace(c, "[^一-鿿]", "")
+
+
+def cer(ref: Column, hyp: Column) -> Column:
+    """(longer length - letters in matching blocks) / reference length, blocks by the Ratcliff/Obershelp method.
+
+    Null for a null text; an empty reference gives 0 for an empty text and 1 otherwise.
+    """
+    return F.when(ref.isNotNull() & hyp.isNotNull(), _cer(ref, hyp))
+
+
+@F.pandas_udf(DoubleType())
+def _cer(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    def one(r: str | None, h: str | None) -> float | None:
+        if r is None or h is None:
+            return None
+        if not r:
+            return float(bool(h))
+        same = sum(b.size for b in SequenceMatcher(None, r, h, autojunk=False).get_matching_blocks())
+        return (max(len(r), len(h)) - same) / len(r)
+
+    return pd.Series([one(r, h) for r, h in zip(ref, hyp, strict=True)], dtype="float64")
