@@ -6,6 +6,6 @@ from .tables import Registry
 
 
 def registries() -> list[Registry]:
-    from . import problems
+    from . import pipeline, problems
 
-    return [problems.REGISTRY]
+    return [problems.REGISTRY, pipeline.REGISTRY]
