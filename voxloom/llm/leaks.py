@@ -34,7 +34,7 @@ class Walk:
 
 
 #: For runs of scripts with many letters (short runs), and of alphabets (long runs).
-SHORT, LONG, LONG_FROM = Walk(44, 8, 8), Walk(90, 12, 6), 80
+SHORT, LONG, LONG_FROM = Walk(44, 8, 7), Walk(90, 10, 4), 80
 SLOTS = 22
 FLAG_BITS = 14
 CHUNK = 1 << 17
@@ -60,18 +60,19 @@ def window_keys(codes: np.ndarray, first: int, last: int, walk: Walk, odd: np.nd
     bits = mix(codes[first : min(last + walk.steps, len(codes))])
     if len(bits) < n + walk.steps:
         bits = np.r_[bits, np.zeros(n + walk.steps - len(bits), np.uint64)]
+    letter = (bits ^ (bits >> np.uint64(31))).astype(np.uint32)
     at = np.arange(n, dtype=np.int32)
-    keys = [np.zeros(n, np.uint64) for _ in range(walk.tables)]
+    keys = [np.zeros(n, np.uint32) for _ in range(walk.tables)]
     sampled = walk.sampled()
     for t in range(walk.steps):
-        h = bits[at]
         users = [i for i, x in enumerate(sampled) if t in x]
         if users:
-            low = h ^ (h >> np.uint64(31))
+            low = letter.take(at, mode="clip")
             for i in users:
                 keys[i] += low * odd[i, t]
-        at += ((h >> np.uint64(8 + t % 56)) & np.uint64(1)).astype(np.int32)
-    return keys
+        move = (bits >> np.uint64(8 + t % 56)).astype(np.int8) & np.int8(1)
+        at += move.take(at, mode="clip")
+    return [k ^ (k >> np.uint32(15)) for k in keys]
 
 
 class Items:
@@ -80,13 +81,13 @@ class Items:
     def __init__(self, ids: list, codes: np.ndarray, offsets: np.ndarray, least: int) -> None:
         self.ids, self.codes, self.least = ids, codes, least
         self.walk = LONG if least >= LONG_FROM else SHORT
-        self.odd = np.random.default_rng(7).integers(1, 2**63, (self.walk.tables, self.walk.steps), dtype=np.uint64) | np.uint64(1)
+        self.odd = np.random.default_rng(7).integers(1, 2**32, (self.walk.tables, self.walk.steps), dtype=np.uint32) | np.uint32(1)
         self.owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
         self.tables = []
         for key in window_keys(np.r_[codes, np.full(self.walk.steps, ITEM_END, np.int32)], 0, len(codes), self.walk, self.odd):
             by = np.argsort(key)
             slot = np.zeros(1 << SLOTS, bool)
-            slot[key >> np.uint64(64 - SLOTS)] = True
+            slot[key >> np.uint32(32 - SLOTS)] = True
             self.tables.append((key[by], by, slot))
         # Ends after each item, and as many more as a run is long, so that slices need no bounds.
         self.pad = least + least // 10
@@ -126,7 +127,7 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
     big, width = np.int16(999), 2 * most + 1
     best = np.full((n, length + 1), big, np.int16)
     best[:, 0] = 0
-    live = np.arange(n)
+    live, slope = np.arange(n), np.arange(width, dtype=np.int16)
     d = np.full((n, width), big, np.int16)  # d[., c]: j letters, j + c - most signs of text
     d[:, most:] = np.arange(most + 1, dtype=np.int16)
     for j in range(1, length + 1):
@@ -138,8 +139,7 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
         if j <= most:
             fresh[:, : most - j] = big
             fresh[:, most - j] = j
-        for c in range(1, width):
-            np.minimum(fresh[:, c], fresh[:, c - 1] + 1, out=fresh[:, c])
+        fresh = np.minimum.accumulate(fresh - slope, axis=1) + slope
         fresh[letter <= ITEM_END] = big
         low = fresh.min(1)
         best[live, j] = low
@@ -225,7 +225,7 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     for first in range(margin, len(doc) - margin, CHUNK):
         last = min(first + CHUNK, len(doc) - margin)
         for key, (known, where, slot) in zip(window_keys(doc, first, last, items.walk, items.odd), items.tables, strict=True):
-            at = np.flatnonzero(slot[key >> np.uint64(64 - SLOTS)])
+            at = np.flatnonzero(slot[key >> np.uint32(32 - SLOTS)])
             lo = np.searchsorted(known, key[at], "left")
             some = known[np.minimum(lo, len(known) - 1)] == key[at]
             at, lo = at[some], lo[some]
@@ -248,13 +248,15 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     p, s, item, pair = p[some], s[some], item[some], pair[some]
     some = in_place(grams, items, p, s, item)
     p, s, item, pair = p[some], s[some], item[some], pair[some]
-    while len(p):
-        turn = np.r_[True, pair[1:] != pair[:-1]]
+    # One candidate of each pair decides most; the others are looked at together.
+    turn = np.r_[True, pair[1:] != pair[:-1]][: len(pair)]
+    for _ in range(2):
         good = verified(doc, items, p[turn], s[turn], item[turn])
-        found = pair[turn][good]
+        found = np.unique(pair[turn][good])
         yield use[found // len(items.ids)], found % len(items.ids)
         rest = ~turn & ~np.isin(pair, found)
         p, s, item, pair = p[rest], s[rest], item[rest], pair[rest]
+        turn = np.ones(len(pair), bool)
 
 
 def _finder(held: list[tuple[list, np.ndarray, np.ndarray, int]], schema: pa.Schema):

@@ -15,8 +15,8 @@ from .leaks import mix
 LEFT, RIGHT = 1, 2
 #: Texts with fewer letters are never near one another.
 LEAST = 10
-#: A key with more rows than this is split over several tasks.
-HOT = 50_000
+#: A key with more rows than this, and than the share of all rows, is split over several tasks.
+HOT, HOT_SHARE = 50_000, 10_000
 PAIRS = 1 << 21
 SIGNATURE = [f"_s{i}" for i in range(4)]
 
@@ -86,8 +86,9 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, side, place, key = _places(codes, offsets, part.column("_side").to_numpy(zero_copy_only=False))
             n, signature = np.diff(offsets), _signature(codes, offsets)
             ids = part.column("_c").to_numpy(zero_copy_only=False)
-            columns = [key, ids[row], side.astype(np.int32), place.astype(np.int32), n[row].astype(np.int32), *signature[row].T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=["_key", "_c", "_side", "_at", "_n", *SIGNATURE])
+            # Length, place and side share a long, as these rows are what the shuffle moves.
+            columns = [key, ids[row], n[row] << 32 | place << 1 | (side == RIGHT), *signature[row].T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=["_key", "_c", "_p", *SIGNATURE])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,11 +107,13 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     t = pa.Table.from_batches(held)
     col = {c: t.column(c).to_numpy() for c in t.column_names}
+    packed = col["_p"]
+    col |= {"_side": packed & 1, "_at": packed >> 1 & 0x7FFFFFFF, "_n": packed >> 32}
     group = np.unique(col["_key"], return_inverse=True)[1].astype(np.int64) << 32
     spot = group + col["_at"]
-    right = np.flatnonzero(col["_side"] == RIGHT)
+    right = np.flatnonzero(col["_side"] == 1)
     right = right[np.argsort(spot[right], kind="stable")]
-    left = np.flatnonzero(col["_side"] == LEFT)
+    left = np.flatnonzero(col["_side"] == 0)
     slack = col["_n"][left] // 9
     order = spot[right]
     lo = np.searchsorted(order, np.maximum(spot[left] - slack, group[left]), "left")
@@ -141,12 +144,15 @@ def near_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = stored(rows.where("_t IS NOT NULL").mapInArrow(_letters, "_id string, _side int, _l string").where(F.length("_l") >= LEAST).withColumn("_c", F.xxhash64("_l")))
     # The sides of a class in one pass: 1, 2 or both. Copies fold here, before any suffix is made.
     classes = stored(named.groupBy("_c", "_l").agg((F.max(F.col("_side") % 2) + F.max(F.col("_side").bitwiseAND(2))).cast("int").alias("_side")))
-    hot = classes.select("_l", "_side").mapInArrow(_keys, "_key long, _m long").groupBy("_key").agg(F.sum("_m").alias("_m")).where(F.col("_m") > HOT)
-    hot = hot.select("_key", F.ceil(F.col("_m") / HOT).cast("int").alias("_salts"))
-    found = classes.mapInArrow(_suffixes, "_key long, _c long, _side int, _at int, _n int, " + ", ".join(f"{c} long" for c in SIGNATURE))
-    # Hot keys: left rows are dealt to the salts, right rows go to each. There are few such keys, at most rows / HOT.
-    found = found.join(hot, "_key", "left")
-    salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).when(F.col("_side") == LEFT, F.array(F.pmod(F.xxhash64("_c"), F.col("_salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
+    hot = classes.select("_l", "_side").mapInArrow(_keys, "_key long, _m long").groupBy("_key").agg(F.sum("_m").alias("_m"))
+    total = classes.where(F.col("_side") % 2 == 1).agg(F.coalesce(F.sum(F.expr("length(_l) div 9 + 1")), F.lit(0))).first()[0]
+    most_rows = max(HOT, total // HOT_SHARE)
+    # At most HOT_SHARE keys can have more than that share of the rows: a proven bound for the broadcast.
+    hot = stored(hot.where(F.col("_m") > most_rows).select("_key", F.ceil(F.col("_m") / most_rows).cast("int").alias("_salts")))
+    found = classes.mapInArrow(_suffixes, "_key long, _c long, _p long, " + ", ".join(f"{c} long" for c in SIGNATURE))
+    # Hot keys: left rows are dealt to the salts, right rows go to each.
+    found = found.join(F.broadcast(hot), "_key", "left")
+    salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).when(F.col("_p") % 2 == 0, F.array(F.pmod(F.xxhash64("_c"), F.col("_salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
     found = found.withColumn("_salt", F.explode(salts)).drop("_salts")
     parts = shuffle_parts(rows.sparkSession)
     pairs = found.repartition(parts, "_key", "_salt").drop("_salt").mapInArrow(_matches, "_ca long, _cb long").distinct()
