@@ -133,7 +133,8 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = np.maximum(col["_n"][a], col["_n"][b]) // 10
         ok = (np.abs(col["_n"][a] - col["_n"][b]) <= most) & (np.abs(col["_at"][a] - col["_at"][b]) <= most)
         a, b, most = a[ok], b[ok], most[ok]
-        ok = np.bitwise_count(signature[a] ^ signature[b]).sum(1) <= 4 * most
+        # As unsigned: the count of a negative number would be that of its magnitude.
+        ok = np.bitwise_count((signature[a] ^ signature[b]).view(np.uint64)).sum(1) <= 4 * most
         pair = np.unique(np.stack([col["_c"][a[ok]], col["_c"][b[ok]]], 1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], names=["_ca", "_cb"])
 
@@ -159,7 +160,7 @@ def near_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     a, b = (classes.select(F.col("_c").alias(f"_c{x}"), F.col("_l").alias(f"_l{x}")) for x in "ab")
     most = F.floor(F.greatest(F.length("_la"), F.length("_lb")) / 10).cast("int")
     near = pairs.join(a, "_ca").join(b, "_cb").withColumn("_m", F.greatest(F.length("_la"), F.length("_lb")))
-    near = near.withColumn("_d", F.levenshtein("_la", "_lb")).where(F.col("_d") <= most)
+    near = near.withColumn("_most", most).withColumn("_d", F.expr("levenshtein(_la, _lb, _most)")).where("_d >= 0")
     return named.select("_id", "_side", "_c"), near.select("_ca", "_cb", "_d", "_m")
 
 
