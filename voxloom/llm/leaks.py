@@ -237,11 +237,13 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     if not len(p):
         return
     item, row = items.owner[s], np.searchsorted(starts, p, "right") - 1
-    # Hits that follow each other on a diagonal lie on the same runs; the first stands for them.
+    # Hits that follow each other on a diagonal lie on the same runs: the first and the last stand for them, as a
+    # window may begin shortly before an edit that moved the diagonal.
     pair = row * len(items.ids) + item
     by = np.lexsort((p, p - s, pair))
     p, s, item, pair = p[by], s[by], item[by], pair[by]
     lead = np.r_[True, (pair[1:] != pair[:-1]) | (p[1:] - s[1:] != p[:-1] - s[:-1]) | (p[1:] - p[:-1] > 1)]
+    lead |= np.r_[lead[1:], True]
     p, s, item, pair = p[lead], s[lead], item[lead], pair[lead]
     grams = items.grams(doc)
     some = plausible(grams, items, p, item)

@@ -5,17 +5,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stored
 from .codepoints import from_arrow, seen, to_arrow
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that isn't taken."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column's texts become their forms."""
     for b in batches:
-        t = b.column("_t")
+        t = b.columns[-1]
         form = to_arrow(*seen(*from_arrow(t)))
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(form.to_pylist(), pa.string(), mask=t.is_null().to_numpy(zero_copy_only=False)) if t.null_count else form], names=[*b.schema.names, "_form"])
+        if t.null_count:
+            form = pc.if_else(t.is_null(), pa.scalar(None, pa.string()), form)
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], form], names=b.schema.names)
 
 
 def with_form(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -25,10 +36,11 @@ def with_form(df: DataFrame, text: str, out: str) -> DataFrame:
     empty; letter case, accents, digits and double blanks stay. Very long texts are handled whole. A column
     named out is replaced.
     """
-    rows = df.withColumn("_t", F.col(text).cast("string")).drop(out)
+    made = _free("_form", df.columns)
+    rows = df.withColumn(made, F.col(text).cast("string"))
+    rows = rows.drop(out) if out in df.columns else rows
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    made = rows.mapInArrow(_forms, ddl + ", _form string").drop("_t")
-    return made.withColumnRenamed("_form", out)
+    return rows.mapInArrow(_forms, ddl).withColumnRenamed(made, out)
 
 
 def alike_pairs(df: DataFrame, ident: str, text: str, by: tuple[str, ...] = ()) -> DataFrame:
