@@ -82,16 +82,22 @@ def shifted(chars: Column, offset: float, start: Column, end: Column) -> Column:
     return F.transform(chars, move)
 
 
-def even_chars(text: Column, start: Column, end: Column, weight: Column | None = None, confidence: float = 0.95) -> Column:
+def even_chars(text: Column, start: Column, end: Column, confidence: float = 0.95) -> Column:
     """A deterministic stand-in for an aligner: the text's non-blank characters tile [start, end].
 
-    Each is as wide as 1 + (code point mod 7), or 1 where weight is given as a literal 1.
+    Each is as wide as 1 + (code point mod 7).
     """
     letters = F.filter(F.split(text, ""), lambda c: (c != "") & (F.trim(c) != ""))
-    wide = F.transform(letters, lambda c: (F.lit(1) + F.pmod(F.ascii(c), F.lit(7))).cast("double"))
-    total = F.aggregate(wide, F.lit(0.0), lambda x, w: x + w)
-    acc = F.aggregate(wide, F.array(F.lit(0.0)), lambda a, w: F.concat(a, F.array(F.element_at(a, -1) + w)))
-    at = F.transform(F.sequence(F.lit(1), F.size(letters)), lambda i: F.struct(
-        F.element_at(letters, i).alias("char"), (start + (end - start) * F.element_at(acc, i) / total).alias("start"),
-        (start + (end - start) * F.element_at(acc, i + 1) / total).alias("end"), F.lit(confidence).alias("confidence")))
-    return F.when(F.size(letters) > 0, at).otherwise(F.array().cast("array<struct<char:string,start:double,end:double,confidence:double>>"))
+    kind = "struct<at:double,list:array<struct<char:string,a:double,b:double>>>"
+
+    def add(acc: Column, c: Column) -> Column:
+        end = acc["at"] + (F.lit(1) + F.pmod(F.ascii(c), F.lit(7))).cast("double")
+        return F.struct(end.alias("at"), F.concat(acc["list"], F.array(F.struct(c.alias("char"), acc["at"].alias("a"), end.alias("b")))).alias("list"))
+
+    def place(acc: Column) -> Column:
+        return F.transform(acc["list"], lambda x: F.struct(
+            x["char"].alias("char"), (start_ + width * x["a"] / acc["at"]).alias("start"), (start_ + width * x["b"] / acc["at"]).alias("end"), F.lit(confidence).alias("confidence")))
+
+    # One fold, so that nothing is computed anew for each character.
+    start_, width = start, end - start
+    return F.aggregate(letters, F.struct(F.lit(0.0).alias("at"), F.array().alias("list")).cast(kind), lambda acc, c: add(acc, c).cast(kind), place)

@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 GRADES = ("A", "B", "C", "D")
 
 
+def _exact_sum(column: str) -> Column:
+    """Summed as decimals, so that the result doesn't depend on the order of rows."""
+    return F.sum(F.col(column).cast("decimal(18,6)"))
+
+
 def _active() -> Column:
     return F.coalesce(F.col("status") != "rejected", F.lit(True))
 
@@ -17,7 +22,7 @@ def _active() -> Column:
 def speaker_stats(df: DataFrame, speaker: str = "speaker_id") -> DataFrame:
     """Utterances, seconds, mean score and grades per speaker."""
     return df.groupBy(speaker).agg(
-        F.count("*").alias("n_utt"), F.round(F.sum("duration"), 2).alias("total_duration_sec"), F.round(F.avg("quality_score"), 4).alias("avg_quality_score"),
+        F.count("*").alias("n_utt"), F.round(_exact_sum("duration"), 2).cast("double").alias("total_duration_sec"), F.round(F.avg("quality_score"), 4).alias("avg_quality_score"),
         *[F.count_if(F.col("grade") == g).alias(f"grade_{g}") for g in GRADES], F.count_if(F.col("status") == "rejected").alias("rejected"))
 
 

@@ -263,7 +263,7 @@ def hard_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("reject_reason_counts", "SELECT x AS reject_reason, count(*) AS \"count\" FROM (SELECT unnest(reject_reasons) AS x FROM filter_score) GROUP BY 1")
 def reject_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return P.reason_counts(table(spark, folder, "filter_score"))
+    return C.reason_counts(table(spark, folder, "filter_score"))
 
 
 @query("quality_scores")
@@ -323,7 +323,7 @@ def c_dropped(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("grade = 'C' AND source_audio_id IS NOT NULL").join(keys, "source_audio_id", "left_anti").select("utt_id").distinct()
 
 
-@query("speaker_stats", """SELECT speaker_id, count(*) AS n_utt, round(sum(duration), 2) AS total_duration_sec, round(avg(quality_score), 4) AS avg_quality_score, count(*) FILTER (grade = 'A') AS "grade_A", count(*) FILTER (grade = 'B') AS "grade_B", count(*) FILTER (grade = 'C') AS "grade_C", count(*) FILTER (grade = 'D') AS "grade_D", count(*) FILTER (status = 'rejected') AS rejected FROM filter_score GROUP BY 1""")
+@query("speaker_stats", """SELECT speaker_id, count(*) AS n_utt, round(sum(duration::DECIMAL(18,6)), 2)::DOUBLE AS total_duration_sec, round(avg(quality_score), 4) AS avg_quality_score, count(*) FILTER (grade = 'A') AS "grade_A", count(*) FILTER (grade = 'B') AS "grade_B", count(*) FILTER (grade = 'C') AS "grade_C", count(*) FILTER (grade = 'D') AS "grade_D", count(*) FILTER (status = 'rejected') AS rejected FROM filter_score GROUP BY 1""")
 def speaker_stats(spark: SparkSession, folder: str) -> DataFrame:
     return P.speaker_stats(table(spark, folder, "filter_score"))
 
