@@ -135,8 +135,16 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, most = a[ok], b[ok], most[ok]
         # As unsigned: the count of a negative number would be that of its magnitude.
         ok = np.bitwise_count((signature[a] ^ signature[b]).view(np.uint64)).sum(1) <= 4 * most
-        pair = np.unique(np.stack([col["_c"][a[ok]], col["_c"][b[ok]]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], names=["_ca", "_cb"])
+        a, b = a[ok], b[ok]
+        # How many of the left text's pieces the pair shares here; a piece lies in one partition, so counts add up.
+        need = np.maximum(pieces(col["_n"][a]) - most[ok], 1)
+        # Pairs are told apart by 64 mixed bits, which sort faster than rows of columns.
+        name = mix(col["_c"][a]) + np.uint64(3) * mix(col["_c"][b] ^ 0x5555)
+        hit = np.unique(name ^ mix(col["_at"][a]), return_index=True)[1]
+        one, shared = np.unique(name[hit], return_index=True, return_counts=True)[1:]
+        pair = hit[one]
+        columns = [col["_c"][a[pair]], col["_c"][b[pair]], need[pair].astype(np.int32), shared.astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_ca", "_cb", "_need", "_k"])
 
 
 def near_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -156,7 +164,9 @@ def near_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).when(F.col("_p") % 2 == 0, F.array(F.pmod(F.xxhash64("_c"), F.col("_salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
     found = found.withColumn("_salt", F.explode(salts)).drop("_salts")
     parts = shuffle_parts(rows.sparkSession)
-    pairs = found.repartition(parts, "_key", "_salt").drop("_salt").mapInArrow(_matches, "_ca long, _cb long").distinct()
+    pairs = found.repartition(parts, "_key", "_salt").drop("_salt").mapInArrow(_matches, "_ca long, _cb long, _need int, _k int")
+    # Each edit spoils one piece at most, so most pairs must share more than one.
+    pairs = pairs.groupBy("_ca", "_cb", "_need").agg(F.sum("_k").alias("_k")).where("_k >= _need").select("_ca", "_cb")
     a, b = (classes.select(F.col("_c").alias(f"_c{x}"), F.col("_l").alias(f"_l{x}")) for x in "ab")
     most = F.floor(F.greatest(F.length("_la"), F.length("_lb")) / 10).cast("int")
     near = pairs.join(a, "_ca").join(b, "_cb").withColumn("_m", F.greatest(F.length("_la"), F.length("_lb")))
