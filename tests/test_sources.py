@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voxloom.config import profile, read_settings
+from voxloom.functions import signal as G
+from voxloom.operators.corpus import joined_parts, long_cuts, sample_groups, synthetic_speech
+from voxloom.operators.diarization import diarization_errors, meeting_errors, pooled
+from voxloom.sources import readers as R, writers as W
+
+
+def test_audio(spark, tmp_path):
+    x = synthetic_speech(6.0, 220.0, 1)
+    (tmp_path / "a.wav").write_bytes(G.encode_wav(x, 24_000))
+    (tmp_path / "bad.wav").write_bytes(b"nothing")
+    rows = {r["stem"]: r for r in R.read_audio(spark, str(tmp_path)).collect()}
+    assert rows["a"]["duration_sec"] == pytest.approx(6.0) and rows["a"]["native_sr"] == 24_000 and rows["a"]["snr_db"] > 0
+    assert rows["bad"]["error"].startswith("sf_info_failed") and rows["bad"]["duration_sec"] is None
+    y, rate = G.decode_wav(G.encode_wav(x, 24_000))
+    assert rate == 24_000 and np.abs(x - y).max() < 1e-4
+    assert len(G.resample(x, 24_000, 16_000)) == 96_000
+    spans = G.speech_spans(x, 24_000)
+    assert len(spans) >= 2 and spans[0][0] == 0
+    f0, conf = G.pitch_track(x, 24_000)
+    voiced = f0[f0 > 0]
+    assert len(voiced) > 300 and abs(np.median(voiced) - 220) < 15 and conf.max() <= 1
+    wrong = f0.copy()
+    wrong[np.flatnonzero(f0)[20:24]] *= 2
+    assert abs(np.median(G.octave_corrected(wrong, 60, 500)[np.flatnonzero(f0)[20:24]]) - 220) < 30
+    silent = np.zeros(1000, np.float32)
+    assert (G.snr_db(silent), G.peak_db(silent), G.clipping_ratio(silent), G.bandwidth_hz(silent, 100)) == (0.0, -120.0, 0.0, 0.0)
+    df = spark.createDataFrame([("x/1.wav", x[:100].tolist(), 8000)], "p string, s array<float>, r int")
+    assert W.write_audio(df, "p", "s", "r", str(tmp_path / "out")).collect()[0]["bytes"] == len((tmp_path / "out/x/1.wav").read_bytes())
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("audio_path,speaker_id,language,domain,recording_type\n a/b.wav ,spk1,zh,d,studio\n,spk2,zh,d,studio\n", encoding="utf-8")
+    rows = sorted(R.read_metadata(spark, str(tmp_path / "m.csv"), "/base").collect(), key=lambda r: r["speaker_id"])
+    assert rows[0]["audio_id"] == "spk1_b" and rows[0]["audio_path"] == "/base/a/b.wav" and rows[0]["status"] == "passed"
+    assert rows[1]["reject_reasons"] == ["missing_columns:audio_path"] and rows[1]["status"] == "rejected"
+    (tmp_path / "c.txt").write_text("f1.wav\t你 ni3 好 hao3\nbroken\n", encoding="utf-8")
+    assert [tuple(r) for r in R.read_annotated(spark, str(tmp_path / "c.txt")).collect()] == [("f1.wav", "你好")]
+    (tmp_path / "t.txt").write_text("[0.5,1.25]\tG1\t女,x\t好\n[a,b]\tG1\tx\ty\n[2,3]\tG00000000\tx\t吵\n", encoding="utf-8")
+    got = R.read_turns(spark, str(tmp_path / "t.txt")).orderBy("start").collect()
+    assert [(r["start"], r["end"], r["speaker"], r["is_noise"]) for r in got] == [(0.5, 1.25, "G1", False), (2.0, 3.0, "G00000000", True)]
+    grid = 'item []:\n item [1]:\n  name = "S1"\n  intervals [1]:\n   xmin = 0\n   xmax = 1.5\n   text = "hi"\n  intervals [2]:\n   xmin = 1.5\n   xmax = 2\n   text = ""\n item [2]:\n  name = "S2"\n  intervals [1]:\n   xmin = 1\n   xmax = 3\n   text = "yo"\n'
+    (tmp_path / "g.TextGrid").write_text(grid, encoding="utf-8")
+    assert sorted((r["speaker"], r["start"], r["end"], r["text"]) for r in R.read_textgrids(spark, str(tmp_path / "g.TextGrid")).collect()) == [("S1", 0.0, 1.5, "hi"), ("S2", 1.0, 3.0, "yo")]
+    (tmp_path / "u.txt").write_text("u1\t你好吗\n\t[[0,200],[200,500]]\n", encoding="utf-8")
+    row = R.read_stamped(spark, str(tmp_path / "u.txt")).first()
+    assert row["utt_id"] == "u1" and [(c["char"], c["start"], c["end"]) for c in row["chars"]] == [("你", 0.0, 0.2), ("好", 0.2, 0.5), ("吗", 0.5, 0.5)]
+    (tmp_path / "s.json").write_text('{"qc": {"min_duration_sec": 5}}')
+    assert read_settings(str(tmp_path / "s.json")).get("qc.min_duration_sec") == 5 and profile("studio").get("qc.studio.min_snr_db") == 25.0
+
+
+def test_diarization(spark):
+    ref = [(0.0, 10.0, "a"), (10.0, 20.0, "b")]
+    assert meeting_errors(ref, [(0.0, 10.0, "x"), (10.0, 20.0, "y")], 0)["der"] == 0
+    got = meeting_errors(ref, [(0.0, 15.0, "x"), (15.0, 18.0, "y")], 0)
+    assert (got["missed"], got["confusion"], got["false_alarm"]) == pytest.approx((2.0, 5.0, 0.0)) and got["der"] == pytest.approx(0.35)
+    rows = spark.createDataFrame([("m", s, a, b) for a, b, s in ref] + [("other", "a", 0.0, 1.0)], "meeting_id string, speaker string, start double, end double")
+    out = diarization_errors(rows, rows.where("meeting_id = 'm'"))
+    assert [r["meeting_id"] for r in out.collect()] == ["m"] and pooled(out).first()["der"] == 0
+
+
+def test_corpus(spark):
+    clips = spark.createDataFrame([(f"s{i % 2}", f"c{i:03d}", 10.0) for i in range(40)], "s string, c string, d double")
+    parts = joined_parts(clips, "s", "c", "d").collect()
+    by = {}
+    for r in parts:
+        by.setdefault((r["s"], r["part"]), []).append(r["offset"] + 10)
+    assert by and all(45 <= max(x) <= 75 for x in by.values())
+    some = sample_groups(clips, "s", "c", 1, 5)
+    assert some.count() == 5 and {r["c"] for r in some.collect()} == {r["c"] for r in sample_groups(clips.repartition(7), "s", "c", 1, 5).collect()}
+    assert long_cuts([(4.0, 4.2), (8.0, 9.0)], 20.5, 3.0, 10.0, 0.5) == [(0.0, 8.5), (8.5, 18.5), (18.5, 20.5)]
+    assert long_cuts([], 10.5, 3.0, 10.0, 0.5) == [(0.0, 10.5)]
+
+
+def test_streaming(spark, tmp_path):
+    from voxloom.streaming.manifests import arriving, rates
+
+    cs = [{"char": "一", "start": i * 0.5, "end": i * 0.5 + 0.25, "confidence": 0.9} for i in range(20)]
+    schema = "utt_id string, duration double, chars array<struct<char:string,start:double,end:double,confidence:double>>"
+    spark.createDataFrame([("u", 10.0, cs)], schema).write.json(str(tmp_path / "in"))
+    q = rates(arriving(spark, str(tmp_path / "in"), schema), profile()).writeStream.format("memory").queryName("rates").start()
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("rates").first()["global_rate_cps"] == pytest.approx(4.0)
+
+
+def test_pipeline(spark):
+    from voxloom.operators.rate import even_chars
+    from voxloom.pipeline import run
+
+    rows = spark.createDataFrame([(f"g{i}", f"src{i}", "spk", "A", f"你好世界今天天气很好我们一起去公园散步吧朋友们{i}", 0.0, 6.0, "passed") for i in range(4)], "seg_id string, source_audio_id string, speaker_id string, speaker_label string, t string, start double, end double, status string")
+    rows = rows.withColumn("chars", even_chars(F.col("t"), F.col("start"), F.col("end"))).drop("t").withColumn("reject_reasons", F.array().cast("array<string>"))
+    rows = rows.withColumns({c: F.lit(v) for c, v in {"voiced_ratio": 0.9, "f0_std_st": 4.0, "f0_range_st": 9.0, "f0_delta_p95_st": 1.0, "f0_confidence": 0.9, "snr_db": 30.0, "align_conf_mean": 0.95}.items()})
+    out = run(rows, profile(), "fine_segment", "split_dataset").collect()
+    assert len(out) == 4 and all(r["split"] in ("train", "valid", "test", "rejected") and r["sample_rate"] == 24000 for r in out)
