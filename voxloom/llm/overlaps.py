@@ -131,7 +131,9 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = np.repeat(left[some], count)
         b = right[np.repeat(lo[some], count) + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)]
         most = np.maximum(col["_n"][a], col["_n"][b]) // 10
-        ok = (np.abs(col["_n"][a] - col["_n"][b]) <= most) & (np.abs(col["_at"][a] - col["_at"][b]) <= most)
+        # The edits before the shared piece move its place, those after it the rest of the length.
+        moved, longer = col["_at"][a] - col["_at"][b], col["_n"][a] - col["_n"][b]
+        ok = np.abs(moved) + np.abs(longer - moved) <= most
         a, b, most = a[ok], b[ok], most[ok]
         # As unsigned: the count of a negative number would be that of its magnitude.
         ok = np.bitwise_count((signature[a] ^ signature[b]).view(np.uint64)).sum(1) <= 4 * most
