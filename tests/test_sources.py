@@ -94,7 +94,7 @@ def test_pipeline(spark):
     from voxloom.operators.rate import even_chars
     from voxloom.pipeline import run
 
-    rows = spark.createDataFrame([(f"g{i}", f"src{i}", "spk", "A", f"你好世界今天天气很好我们一起去公园散步吧朋友们{i}", 0.0, 6.0, "passed") for i in range(4)], "seg_id string, source_audio_id string, speaker_id string, speaker_label string, t string, start double, end double, status string")
+    rows = spark.createDataFrame([(f"g{i}", f"src{i}", "spk", "A", "".join(chr(0x4E00 + 97 * i + k) for k in range(24)), 0.0, 6.0, "passed") for i in range(4)], "seg_id string, source_audio_id string, speaker_id string, speaker_label string, t string, start double, end double, status string")
     rows = rows.withColumn("chars", even_chars(F.col("t"), F.col("start"), F.col("end"))).drop("t").withColumn("reject_reasons", F.array().cast("array<string>"))
     rows = rows.withColumns({c: F.lit(v) for c, v in {"voiced_ratio": 0.9, "f0_std_st": 4.0, "f0_range_st": 9.0, "f0_delta_p95_st": 1.0, "f0_confidence": 0.9, "snr_db": 30.0, "align_conf_mean": 0.95}.items()})
     out = run(rows, profile(), "fine_segment", "split_dataset").collect()
