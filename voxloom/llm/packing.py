@@ -79,7 +79,8 @@ def pack(sizes: DataFrame, ident: str, size: str, capacity: int, shard: int = SH
     An item longer than the capacity is cut into full containers and a rest, any other stays whole, and no
     container holds more than its capacity. Rows with a null id, or a null or non-positive size, fill nothing;
     rows with one id are one item each time they occur; other columns aren't read. An empty input has an
-    empty result. The result depends on ids and sizes only, not on how rows are partitioned: items are dealt
+    empty result. Apart from the names of full containers, the result
+    depends on ids and sizes only, not on how rows are partitioned: items are dealt
     to shards by a hash of the id and packed in the order of hash, id and size. Full pieces never meet the packer.
     """
     rows = sizes.select(F.col(ident).alias("_d"), F.col(size).cast("long").alias("_n")).where("_d IS NOT NULL AND _n > 0")
