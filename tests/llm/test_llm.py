@@ -244,3 +244,25 @@ def test_garbled(spark):
     whole = [d for d, (t, c) in bad.items() if c in ("utf_8>cp1252", "utf_8>cp1252,utf_8>cp1252", "gbk>cp1252") and d in back]
     assert sum(back[d] == bad[d][0] for d in whole) >= 0.8 * len(whole)
     assert G.garbled_tokens(df.limit(0), "d", "t").count() == 0
+
+
+@pytest.mark.parametrize("size, where", [(60, (21, 40)), (50, (20, 30)), (180, (80, 100))])
+def test_leaks_longer_runs(spark, size, where):
+    """Runs longer than the least with a tenth of edits close together: no part of the least length has but a tenth."""
+    rng = random.Random(17)
+    zh = [chr(0x4E00 + 37 * i) for i in range(400)]
+    letters, least = (zh, 40) if size < 80 else ("abcdefghijklmnopqrstuvwxyz", 120)
+    items = [(i, "".join(rng.choice(letters) for _ in range(size)), least) for i in range(40)]
+    docs = []
+    for i, text, _ in items:
+        x, spare = list(text), [c for c in letters if c not in text] or ["7"]
+        for k in rng.sample(range(*where), size // 10 + i % 2):
+            x[k] = rng.choice(spare)
+        around = ["".join(rng.choice(letters) for _ in range(150)) for _ in range(2)]
+        docs.append((i, around[0] + "".join(x) + around[1]))
+    df, it = spark.createDataFrame(docs, "d long, t string"), spark.createDataFrame(items, "i long, t string, n int")
+    got = {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()}
+    want = {(i, i) for i, *_ in items if i % 2 == 0}
+    assert len(got & want) >= 0.95 * len(want)
+    # One edit more is no case, but for the few that the letters around bring back.
+    assert len(got - want) <= 2

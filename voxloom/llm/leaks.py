@@ -89,14 +89,25 @@ class Items:
             slot = np.zeros(1 << SLOTS, bool)
             slot[key >> np.uint32(32 - SLOTS)] = True
             self.tables.append((key[by], by, slot))
+        # Run lengths that matter, as (shortest, longest) with one number of edits, a tenth, each: a run of twice the least
+        # length holds a shorter one within the tenth.
+        self.longest = 2 * least - 1
+        self.most = self.longest // 10
+        self.lengths = [(max(10 * m, least), min(10 * m + 9, self.longest)) for m in range(least // 10, self.most + 1)]
         # Ends after each item, and as many more as a run is long, so that slices need no bounds.
-        self.pad = least + least // 10
+        self.pad = self.longest + self.most
         self.ended = np.full(len(codes) + len(ids) + 2 * self.pad + 1, ITEM_END, np.int32)
         self.ended[self.pad + np.arange(len(codes)) + self.owner + 1] = codes
         # What a document must have of ideographs and of other letters to hold any run at all.
-        run = [np.convolve(_ideograph(codes[a:b]), np.ones(least, int), "valid") for a, b in zip(offsets[:-1], offsets[1:], strict=True) if b - a >= least]
-        self.need = (min((r.min() for r in run), default=0) - least // 10, least - max((r.max() for r in run), default=least) - least // 10)
-        self.any = bool(run)
+        upto, size = np.r_[0, np.cumsum(_ideograph(codes))], np.diff(offsets)
+        han, other = [], []
+        for low, _ in self.lengths if len(codes) else ():
+            at = np.flatnonzero(self.owner[: len(codes) - low + 1] == self.owner[low - 1 :]) if len(codes) >= low else np.zeros(0, int)
+            run = upto[at + low] - upto[at]
+            han.append(run.min(initial=low) - low // 10)
+            other.append(low - run.max(initial=0) - low // 10)
+        self.need = (min(han, default=0), min(other, default=0))
+        self.any = bool((size >= least).any())
         # Short grams of each item, as one row of flags an item: what the counting filter looks up.
         self.gram = 4 if least >= LONG_FROM else 2
         self.flags = np.zeros((len(ids), 1 << FLAG_BITS), bool)
@@ -153,55 +164,66 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
     return best
 
 
+def _dense(seen: np.ndarray, items: Items, lost: int) -> np.ndarray:
+    """Whether any stretch of a row has as many grams as a run of one of the lengths leaves: an edit spoils `gram` of
+    them at most, and `lost` more an edit may lie outside."""
+    upto = np.zeros((len(seen), seen.shape[1] + 1), np.int16)
+    np.cumsum(seen, 1, dtype=np.int16, out=upto[:, 1:])
+    out, q = np.zeros(len(seen), bool), items.gram
+    for low, high in items.lengths:
+        edits = low // 10
+        width = min(high + edits - q + 1, seen.shape[1])
+        out |= (upto[:, width:] - upto[:, :-width]).max(1) >= low - q + 1 - (q + lost) * edits
+    return out
+
+
 def plausible(grams: np.ndarray, items: Items, p: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Whether the document around p has enough of the item's grams for a case: an edit spoils `gram` of them at most."""
-    size, most, q = items.least, items.least // 10, items.gram
-    around = np.lib.stride_tricks.sliding_window_view(grams, 2 * (size + most))
-    width, least = size + most - q + 1, size - q + 1 - q * most
+    """Whether the document around p has enough of the item's grams for a case of any length."""
+    around = np.lib.stride_tricks.sliding_window_view(grams, 2 * items.pad)
     out = np.zeros(len(p), bool)
-    for a in range(0, len(p), 8192):
-        seen = items.flags[item[a : a + 8192, None], around[p[a : a + 8192] - size - most]]
-        upto = np.cumsum(seen, 1, dtype=np.int16)
-        out[a : a + 8192] = ((upto[:, width:] - upto[:, :-width]).max(1) >= least) | (upto[:, width - 1] >= least)
+    for a in range(0, len(p), 4096):
+        out[a : a + 4096] = _dense(items.flags[item[a : a + 4096, None], around[p[a : a + 4096] - items.pad]], items, 0)
     return out
 
 
 def in_place(grams: np.ndarray, items: Items, p: np.ndarray, s: np.ndarray, item: np.ndarray) -> np.ndarray:
     """As plausible(), but a gram of the document counts only where the item has it at most `most` places off."""
-    size, most, q = items.least, items.least // 10, items.gram
+    size, most = items.longest, items.most
     around = np.lib.stride_tricks.sliding_window_view(grams, 2 * size)
     own = np.lib.stride_tricks.sliding_window_view(items.ended_grams, 2 * (size + most))
     # A run's letters in the item are within size of s, their grams in the document within size + most of p;
     # what of them lies outside the 2 x size places looked at here is allowed for.
-    width, least = min(size + most - q + 1, 2 * size - 1), size - q + 1 - q * most - most
     out = np.zeros(len(p), bool)
-    for a in range(0, len(p), 4096):
-        text = around[p[a : a + 4096] - size]
-        mine = own[s[a : a + 4096] + item[a : a + 4096] + 1 + items.pad - size - most]
+    for a in range(0, len(p), 2048):
+        text = around[p[a : a + 2048] - size]
+        mine = own[s[a : a + 2048] + item[a : a + 2048] + 1 + items.pad - size - most]
         seen = np.zeros(text.shape, bool)
         for shift in range(2 * most + 1):
             seen |= text == mine[:, shift : shift + 2 * size]
-        upto = np.cumsum(seen, 1, dtype=np.int16)
-        out[a : a + 4096] = ((upto[:, width:] - upto[:, :-width]).max(1) >= least) | (upto[:, width - 1] >= least)
+        out[a : a + 2048] = _dense(seen, items, 1)
     return out
 
 
 def verified(doc: np.ndarray, items: Items, p: np.ndarray, s: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Whether a run of the item's least length through the aligned places p (of doc) and s has a tenth of edits at most.
+    """Whether a run of the item's least length or more through the aligned places p (of doc) and s has a tenth of edits at most.
 
-    doc begins and ends with least + least // 10 end signs, which p counts.
+    doc begins and ends with as many end signs as items.pad says, which p counts.
     """
     out = np.zeros(len(p), bool)
-    size, most = items.least, items.least // 10
+    size, most, least = items.longest, items.most, items.least
     texts = np.lib.stride_tricks.sliding_window_view(doc, size + 2 * most)
     runs = np.lib.stride_tricks.sliding_window_view(items.ended, size)
+    letter = np.arange(size + 1, dtype=np.int16)
     for a in range(0, len(p), 4096):
         here, there = p[a : a + 4096], s[a : a + 4096] + item[a : a + 4096] + 1 + items.pad
         right = _reach(texts[here - most], runs[there], most)
         # The way to the left is the same with both sides turned round.
-        some = np.arange(len(here))
         left = _reach(texts[here - size - most][:, ::-1], runs[there - size][:, ::-1], most)
-        out[a + some] = (left + right[:, ::-1]).min(1) <= most
+        # Ten times the edits less the letters, to be 0 at most for both ways together; for each way to the left the
+        # best to the right that makes the run long enough.
+        right, left = 10 * right - letter, 10 * left - letter
+        right = np.minimum.accumulate(right[:, ::-1], 1)[:, ::-1]
+        out[a : a + 4096] = (left + right[:, np.maximum(least - letter, 0)]).min(1) <= 0
     return out
 
 
@@ -217,7 +239,7 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     # Documents one behind the other, an end sign after each, so that no window or run leaves its document.
     owner = np.repeat(np.arange(len(n)), n)
-    margin = items.least + items.least // 10
+    margin = items.pad
     doc = np.full(n.sum() + len(n) + 2 * margin, DOC_END, np.int32)
     doc[margin + np.arange(n.sum()) + owner] = codes[np.repeat(offsets[use], n) + inner]
     starts = margin + np.cumsum(n) - n + np.arange(len(n))
