@@ -266,3 +266,19 @@ def test_leaks_longer_runs(spark, size, where):
     assert len(got & want) >= 0.95 * len(want)
     # One edit more is no case, but for the few that the letters around bring back.
     assert len(got - want) <= 2
+
+
+def test_garbled_latin_1(spark):
+    """Texts decoded as Latin-1 whose bytes fall in 80 to 9F, where cp1252 has other signs."""
+    clean = ["Er sagte “gut” – und l’heure kam", "Straße und Übung", "柳河诊所的木头话筒更响亮", "这些样本从皯亹开始"]
+    bad = {}
+    for t in clean[:3]:
+        for chain in ("utf_8>latin_1", "utf_8>latin_1,utf_8>latin_1", "utf_8>latin_1,utf_8>latin_1,utf_8>latin_1"):
+            bad[len(bad) + 100] = (t, G.garble(t, chain))
+    bad[200] = ("“gut”", G.garble("“gut”", "utf_8>latin_1"))
+    bad[201] = (clean[3], G.garble(clean[3], "gbk>latin_1"))
+    rows = [*enumerate(clean), *((d, x) for d, (_, x) in bad.items())]
+    df = spark.createDataFrame(rows, "d long, t string")
+    tokens = G.garbled_tokens(df, "d", "t")
+    assert {r["d"] for r in tokens.collect()} == set(bad)
+    assert {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()} == {d: t for d, (t, _) in bad.items()}

@@ -14,11 +14,11 @@ from ..session import stored
 from .codepoints import SIZE, from_arrow
 
 # Encodings that take a byte for a sign, and those that take two bytes for most.
-SINGLE = ("cp1252", "cp1251", "cp1250", "mac_roman", "cp437", "cp850", "koi8_r")
+SINGLE = ("cp1252", "latin_1", "cp1251", "cp1250", "mac_roman", "cp437", "cp850", "koi8_r")
 DOUBLE = ("gbk", "cp932", "big5")
 #: A chain is written as steps "encoded in > decoded as". Words of one letter go through the first two sorts,
 #: whole words of alphabets through the third, pairs of ideographs through the last.
-LETTER_CHAINS = tuple(f"utf_8>{d}" for d in SINGLE) + ("utf_8>cp1252,utf_8>cp1252", "utf_8>cp1252,utf_8>cp1252,utf_8>cp1252")
+LETTER_CHAINS = tuple(f"utf_8>{d}" for d in SINGLE) + tuple(",".join([f"utf_8>{d}"] * n) for d in ("cp1252", "latin_1") for n in (2, 3))
 LOST_CHAINS = ("cp1252>utf_8", "gbk>utf_8")
 WORD_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE)
 PAIR_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE) + tuple(f"gbk>{d}" for d in SINGLE)
@@ -131,7 +131,7 @@ def suspects(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
             n[ok] = k
         at = np.flatnonzero(n)
         starts.append(at), lengths.append(n[at])
-        if d == "cp1252" and len(at):
+        if d in ("cp1252", "latin_1") and len(at):
             # Letters garbled more than once are several such stretches on end.
             after = np.full(len(c) + 5, -1)
             after[at] = at + n[at]
@@ -242,6 +242,8 @@ def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
 def _restore(text: str, forms: list[str], chains: list[str], words: list[str], sure: list[bool]) -> str:
     """Runs are decoded back along the chain that was found; single stretches are replaced by their words."""
     pairs = {c for c, w in zip(chains, words, strict=True) if c in PAIR_CHAINS and len(w) == 2}
+    # Forms that both encodings have in common name the one; the rest of a run may need the other.
+    pairs |= {c.replace("cp1252", "latin_1") for c in pairs}
     for chain in sorted(pairs):
         source, target = chain.split(">")
         text = re.sub(r"[^\x00-\x7f�]{3,}", lambda m: _back(m[0], source, target), text)
