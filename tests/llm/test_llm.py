@@ -282,3 +282,17 @@ def test_garbled_latin_1(spark):
     tokens = G.garbled_tokens(df, "d", "t")
     assert {r["d"] for r in tokens.collect()} == set(bad)
     assert {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()} == {d: t for d, (t, _) in bad.items()}
+
+
+def test_garbled_clean_words_beside_suspects(spark):
+    """A structurally possible stretch bars neither its text nor itself from the clean words unless it is a garbled form."""
+    clean = ["网格提案和木槌话筒", "Привет, дорогой", "Die Grüße – GrÃ¼n", "grün"]
+    bad = [G.garble(t, c) for t, c in (("网格", "utf_8>cp1252"), ("木槌", "utf_8>gbk"), ("提案", "gbk>cp1252"), ("ж", "utf_8>cp437"), ("р", "utf_8>mac_roman"), ("Füße", "utf_8>cp1252"), ("Grüße", "utf_8>gbk"))]
+    assert None not in bad
+    rows = [*enumerate(clean), (9, "ж")] + [(100 + i, t) for i, t in enumerate(bad)]
+    df = spark.createDataFrame(rows, "d long, t string")
+    words = {r["_w"] for r in G.clean_words(df.select(F.col("t").alias("_t"))).collect()}
+    assert {"网", "网格", "木槌", "р", "о", "ü", "ß", "Grüße", "grün"} <= words
+    assert "GrÃ¼n" not in words
+    found = {r["d"] for r in G.garbled_tokens(df, "d", "t").select("d").collect()}
+    assert found == {2, *range(100, 107)}

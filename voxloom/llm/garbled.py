@@ -26,6 +26,7 @@ LOST = "�"
 WORDS_HELD = 1 << 20
 #: Words longer than this are left to their letters.
 WORD = 24
+FORMS = "_form string, chain string, word string"
 
 
 def decode(raw: bytes, encoding: str) -> str:
@@ -176,36 +177,87 @@ def _found():
     return run
 
 
+def _marked(size: int, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of so many places lie in one of the stretches."""
+    return np.cumsum(np.bincount(first, minlength=size + 1) - np.bincount(first + n, minlength=size + 1))[:size] > 0
+
+
+def _clean(codes: np.ndarray, offsets: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, set[str], set[str]]:
+    """What lies outside the marked places: letters beyond ASCII and pairs of adjacent ideographs, as numbers, and words
+    of ASCII and other letters; and such words that hold a marked place."""
+    row, c = _row_of(offsets), codes.astype(np.int64)
+    use = ~marked & (codes >= 0x80)
+    han = use & (c >= 0x3400) & (c < 0xA000)
+    both = np.flatnonzero(han[:-1] & han[1:] & (row[1:] == row[:-1])) if len(c) > 1 else np.zeros(0, int)
+    at, first, n = _mixed(codes, offsets, False)
+    words, hit = set(), set()
+    if len(at):
+        text = codes.astype("<u4").tobytes().decode("utf-32-le")
+        upto = np.r_[0, np.cumsum(marked)]
+        for x, k, m in zip(first.tolist(), n.tolist(), (upto[first + n] - upto[first]).tolist(), strict=True):
+            (hit if m else words).add(text[x : x + k])
+    return np.unique(np.r_[c[use], c[both] << 21 | c[both + 1]]), words, hit
+
+
+def _made(held: np.ndarray) -> list[str]:
+    return [chr(w >> 21) + chr(w & 0x1FFFFF) if w >> 21 else chr(w) for w in held.tolist()]
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of texts without a suspect stretch: letters beyond ASCII, pairs of adjacent ideographs, and
-    words of ASCII and other letters."""
-    held, words = np.zeros(0, np.int64), set()
+    """Distinct words of texts outside suspect stretches: letters beyond ASCII, pairs of adjacent ideographs, and words
+    of ASCII and other letters. As _open, what is still to be decided: suspect stretches that overlap or touch, with a
+    sign on either side, and words with such a stretch."""
+    held, words, opened = np.zeros(0, np.int64), set(), set()
 
     def out() -> pa.RecordBatch:
-        made = [chr(w >> 21) + chr(w & 0x1FFFFF) if w >> 21 else chr(w) for w in held.tolist()]
-        return pa.RecordBatch.from_arrays([pa.array([*made, *words], pa.string())], names=["_w"])
+        w = [*_made(held), *words]
+        return pa.RecordBatch.from_arrays([pa.array([*w, *opened], pa.string()), pa.array([False] * len(w) + [True] * len(opened))], names=["_w", "_open"])
 
     for whole in batches:
         for a in range(0, whole.num_rows, 1024):
             codes, offsets = from_arrow(whole.slice(a, 1024).column("_t"))
-            clean = np.ones(len(offsets) - 1, bool)
-            clean[suspects(codes, offsets)[0]] = False
-            row = _row_of(offsets)
-            use = clean[row] & (codes >= 0x80)
-            c = codes.astype(np.int64)
-            han = use & (c >= 0x3400) & (c < 0xA000)
-            both = np.flatnonzero(han[:-1] & han[1:] & (row[1:] == row[:-1])) if len(c) > 1 else np.zeros(0, int)
-            held = np.unique(np.r_[held, np.unique(c[use]), np.unique(c[both] << 21 | c[both + 1])])
-            at, first, n = _mixed(codes, offsets, False)
+            _, first, n = suspects(codes, offsets)
+            marked = _marked(len(codes), first, n)
+            more, plain, hit = _clean(codes, offsets, marked)
+            held = np.unique(np.r_[held, more])
+            words |= plain
+            opened |= hit
+            at = np.flatnonzero(marked)
             if len(at):
+                row = _row_of(offsets)
+                head = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]])])
+                begin, end = at[head], at[np.r_[head[1:], len(at)] - 1] + 1
+                begin, end = np.maximum(begin - 1, offsets[row[begin]]), np.minimum(end + 1, offsets[row[begin] + 1])
                 text = codes.astype("<u4").tobytes().decode("utf-32-le")
-                words.update(text[x : x + k] for x, k in zip(first[clean[at]].tolist(), n[clean[at]].tolist(), strict=True))
-            if len(held) + len(words) > WORDS_HELD:
+                opened.update(text[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True))
+            if len(held) + len(words) + len(opened) > WORDS_HELD:
                 yield out()
-                held, words = held[:0], set()
+                held, words, opened = held[:0], set(), set()
     yield out()
 
 
+def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of undecided stretches _t outside those forms _x of theirs that are garbled."""
+    for b in batches:
+        codes, offsets = from_arrow(b.column("_t"))
+        row, first, n = suspects(codes, offsets)
+        text, known = codes.astype("<u4").tobytes().decode("utf-32-le"), [{"\N{REPLACEMENT CHARACTER}", *(x or ())} for x in b.column("_x").to_pylist()]
+        bad = np.array([text[x : x + k] in known[r] for r, x, k in zip(row.tolist(), first.tolist(), n.tolist(), strict=True)], bool)
+        held, words, _ = _clean(codes, offsets, _marked(len(codes), first[bad], n[bad]))
+        yield pa.RecordBatch.from_arrays([pa.array([*_made(held), *words], pa.string())], names=["_w"])
+
+
+def clean_words(rows: DataFrame) -> DataFrame:
+    """(_w): distinct clean words of the texts _t. Suspect stretches are left out only where a first pass, with the words
+    outside all of them, shows them to be garbled forms."""
+    found = stored(rows.select("_t").mapInArrow(_words, "_w string, _open boolean").distinct())
+    sure, opened = found.where("NOT _open").select("_w"), found.where("_open").select(F.col("_w").alias("_t"))
+    forms = sure.mapInArrow(_forms, FORMS).select("_form").distinct()
+    hits = opened.select(F.col("_t").alias("_d"), "_t").mapInArrow(_found(), "_d string, _form string").join(forms, "_form", "left_semi")
+    per = hits.groupBy(F.col("_d").alias("_t")).agg(F.collect_set("_form").alias("_x"))
+    return sure.unionByName(opened.join(per, "_t", "left").select("_t", "_x").mapInArrow(_rest, "_w string")).distinct()
+
+
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
@@ -231,8 +283,7 @@ def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
     the form can't be restored with certainty).
     """
     rows = df.select(F.col(ident).alias("_d"), F.col(text).alias("_t")).where("_d IS NOT NULL AND _t <> ''")
-    words = rows.select("_t").mapInArrow(_words, "_w string").distinct()
-    forms = words.mapInArrow(_forms, "_form string, chain string, word string")
+    forms = clean_words(rows).mapInArrow(_forms, FORMS)
     forms = forms.groupBy("_form").agg(F.min(F.struct("chain", "word")).alias("_x"), (F.min("word") == F.max("word")).alias("sure"))
     tokens = rows.mapInArrow(_found(), f"_d {df.schema[ident].dataType.simpleString()}, _form string")
     out = tokens.join(forms, "_form").select(F.col("_d").alias(ident), F.col("_form").alias("form"), "_x.chain", "_x.word", "sure")
