@@ -296,3 +296,13 @@ def test_garbled_clean_words_beside_suspects(spark):
     assert "GrÃ¼n" not in words
     found = {r["d"] for r in G.garbled_tokens(df, "d", "t").select("d").collect()}
     assert found == {2, *range(100, 107)}
+
+
+def test_report_counts_shared_recordings(spark, tmp_path):
+    from voxloom.llm.queries import p1_report
+
+    sides = [("u1", "a", "train", "other words here"), ("u2", "b", "test", None), ("u3", "c", "valid", "the same text twice"), ("u3", "d", "train", "the same text twice")]
+    spark.createDataFrame(sides, "utt_id string, source_audio_id string, split string, text string").write.parquet(str(tmp_path / "manifests.parquet"))
+    spark.createDataFrame([("a", "F0"), ("b", " f0 "), ("c", None)], "audio_id string, audio_hash string").write.parquet(str(tmp_path / "ingest.parquet"))
+    got = {(r["split"], r["source_audio_id"], r["kind"], r["records"], r["pairs"]) for r in p1_report(spark, str(tmp_path)).collect()}
+    assert got == {("train", "a", "recording", 1, 1), ("test", "b", "recording", 1, 1)}

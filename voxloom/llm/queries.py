@@ -137,13 +137,20 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("p1_report")
 def p1_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Overlapping records per split and source, with the mean share of a record's letters that is covered."""
+    """Overlapping records per split, source and kind: near texts, with the mean share of a record's letters that is
+    covered, and recordings with one audio hash."""
     sides = _sides(spark, folder)
-    near = stored(overlaps(sides, "utt_id", "text", "side"))
+    near = stored(overlaps(sides, "utt_id", "text", "side").where("left_id <> right_id"))
     ends = [near.select(F.col(c).alias("utt_id"), F.lit(s).alias("side"), (1 - F.col("edits") / F.col("length")).alias("share")) for c, s in (("left_id", 1), ("right_id", 2))]
     both = ends[0].unionByName(ends[1]).groupBy("utt_id", "side").agg(F.count("*").alias("partners"), F.max("share").alias("share"))
     rows = sides.where("side IS NOT NULL").select("utt_id", "side", "split", "source_audio_id").distinct().join(both, ["utt_id", "side"])
-    return rows.groupBy("split", "source_audio_id").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("share"), 6).alias("covered"))
+    shared = stored(shared_recordings(spark, folder))
+    heard = [shared.select(F.col(c).alias("source_audio_id"), F.lit(s).alias("side")) for c, s in (("train_id", 1), ("eval_id", 2))]
+    heard = heard[0].unionByName(heard[1]).groupBy("source_audio_id", "side").agg(F.count("*").alias("partners"))
+    used = sides.where("side IS NOT NULL").select("source_audio_id", "side", "split").distinct()
+    kinds = [rows.withColumn("kind", F.lit("text")), used.join(heard, ["source_audio_id", "side"]).withColumns({"kind": F.lit("recording"), "share": F.lit(None).cast("double")})]
+    both = kinds[0].unionByName(kinds[1], allowMissingColumns=True)
+    return both.groupBy("split", "source_audio_id", "kind").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("share"), 6).alias("covered"))
 
 
 #: Tokens that a training sequence holds.
