@@ -177,3 +177,15 @@ def test_registry_covers_sql():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_dedup_null_speakers_and_ids(spark):
+    from voxloom.operators.dedup import dedup, similar_pairs
+
+    long = "the quick brown fox jumps over the lazy dog again and again"
+    rows = [("a", None, long, 0.9), ("b", None, long + "!", 0.8), ("c", None, "something else entirely", 0.1), ("d", "s", long, 0.5), (None, "s", "one more text of its own", 0.5), (None, "s", long + "?", 0.4)]
+    df = spark.createDataFrame(rows, "i string, s string, x string, q double")
+    got = {(r["i"], r["s"], r["x"]) for r in dedup(df, "i", "s", "x", "q", "i", "0.8").collect()}
+    assert got == {r[:3] for k, r in enumerate(rows) if k not in (1, 5)}
+    pairs = {(r["s"], r["a"], r["b"]) for r in similar_pairs(df, "i", "s", "x", "0.8").collect()}
+    assert pairs == {(None, "a", "b"), ("s", None, "d")}

@@ -16,8 +16,9 @@ def similar_pairs(df: DataFrame, ident: str, group: str, text: str, threshold: s
     (1 - threshold) share + 1 grams of either text in the order of rising frequency, so common phrases
     join nothing. Null and empty texts have no pairs.
     """
-    rows = df.select(F.col(group), F.col(ident).alias("_id"), grams(text).alias("_s")).where(F.size("_s") > 0)
-    return similar_sets(stored(rows.groupBy(group, "_s").agg(F.min("_id").alias(ident))), ident, group, threshold)
+    rows = df.select(F.struct(F.col(group).alias("v")).alias("_gk"), F.struct(F.col(ident).alias("v")).alias("_id"), grams(text).alias("_s")).where(F.size("_s") > 0)
+    pairs = similar_sets(stored(rows.groupBy("_gk", "_s").agg(F.min("_id").alias("_ik"))), "_ik", "_gk", threshold)
+    return pairs.select(F.col("_gk.v").alias(group), F.col("a.v").alias("a"), F.col("b.v").alias("b"), "jaccard")
 
 
 def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order: str, threshold: str = "0.9") -> DataFrame:
@@ -29,16 +30,19 @@ def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order:
     best = F.coalesce(F.nanvl(F.col(quality).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
     # The place in the order as one sortable key: copies fold to their best row.
     rows = df.withColumn("_k", F.struct((-best).alias("q"), F.col(order).alias("o"))).withColumn("_s", grams(text))
-    lead = stored(rows.where(F.size("_s") > 0).groupBy(group, "_s").agg(F.min(F.struct("_k", F.col(ident).alias("i"))).alias("_m")).select(group, "_s", "_m._k", F.col("_m.i").alias(ident)))
-    pairs = similar_sets(lead, ident, group, threshold)
-    k = lead.select(group, F.col(ident), "_k")
-    ka, kb = k.withColumnsRenamed({ident: "a", "_k": "_ka"}), k.withColumnsRenamed({ident: "b", "_k": "_kb"})
-    ranked = pairs.join(ka, [group, "a"]).join(kb, [group, "b"])
+    # Null speakers and ids are values of their own, as members of structs are equal when both are null; texts tell
+    # apart records of one id.
+    rows = rows.withColumns({"_gk": F.struct(F.col(group).alias("v")), "_ik": F.struct(F.col(ident).alias("v"), F.xxhash64("_s").alias("s"))})
+    lead = stored(rows.where(F.size("_s") > 0).groupBy("_gk", "_s").agg(F.min(F.struct("_k", F.col("_ik").alias("i"))).alias("_m")).select("_gk", "_s", "_m._k", F.col("_m.i").alias("_ik")))
+    pairs = similar_sets(lead, "_ik", "_gk", threshold)
+    k = lead.select("_gk", "_ik", "_k")
+    ka, kb = k.withColumnsRenamed({"_ik": "a", "_k": "_ka"}), k.withColumnsRenamed({"_ik": "b", "_k": "_kb"})
+    ranked = pairs.join(ka, ["_gk", "a"]).join(kb, ["_gk", "b"])
     first = F.when(F.col("_ka") < F.col("_kb"), F.struct(F.col("a").alias("win"), F.col("b").alias("lose"))).otherwise(F.struct(F.col("b").alias("win"), F.col("a").alias("lose")))
-    gone = drop_losers(stored(ranked.select(F.col(group).alias("_g"), first.alias("_x")).select("_g", "_x.win", "_x.lose")))
-    keep = lead.join(gone.select(F.col("_g").alias(group), F.col("lose").alias(ident)), [group, ident], "left_anti").select(group, ident, "_k")
-    empty = rows.where(F.size("_s") == 0).drop("_k", "_s")
-    return rows.join(keep, [group, ident, "_k"], "left_semi").drop("_k", "_s").unionByName(empty)
+    gone = drop_losers(stored(ranked.select(F.col("_gk").alias("_g"), first.alias("_x")).select("_g", "_x.win", "_x.lose")))
+    keep = lead.join(gone.select(F.col("_g").alias("_gk"), F.col("lose").alias("_ik")), ["_gk", "_ik"], "left_anti").select("_gk", "_ik", "_k")
+    kept = rows.where(F.size("_s") > 0).join(keep, ["_gk", "_ik", "_k"], "left_semi").unionByName(rows.where(F.size("_s") == 0))
+    return kept.drop("_k", "_s", "_gk", "_ik")
 
 
 def similar_sets(sets: DataFrame, ident: str, group: str, threshold: str) -> DataFrame:

@@ -293,13 +293,13 @@ def _clips(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("similar_texts")
 def similar_texts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "manifests").where("text IS NOT NULL AND utt_id IS NOT NULL AND speaker_id IS NOT NULL")
+    rows = table(spark, folder, "manifests").where("text IS NOT NULL")
     return similar_pairs(rows, "utt_id", "speaker_id", "text", "0.8").select("speaker_id", "a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query("dedup_keep")
 def dedup_keep(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "manifests").where("utt_id IS NOT NULL AND speaker_id IS NOT NULL").select("utt_id", "speaker_id", "text", "quality_score").distinct()
+    rows = table(spark, folder, "manifests").select("utt_id", "speaker_id", "text", "quality_score").distinct()
     return dedup(rows, "utt_id", "speaker_id", "text", "quality_score", "utt_id").select("utt_id")
 
 
