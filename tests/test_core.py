@@ -189,3 +189,12 @@ def test_dedup_null_speakers_and_ids(spark):
     assert got == {r[:3] for k, r in enumerate(rows) if k not in (1, 5)}
     pairs = {(r["s"], r["a"], r["b"]) for r in similar_pairs(df, "i", "s", "x", "0.8").collect()}
     assert pairs == {(None, "a", "b"), ("s", None, "d")}
+
+
+def test_numbers_wider_than_their_padding(spark):
+    from voxloom.operators.ingest import audio_id, segment_ids
+
+    df = spark.range(1001).selectExpr("id", "'s' AS l", "'a' AS r")
+    ids = {r[0] for r in df.select(segment_ids(df, "l", "r", ["id"], 3, "seg")).collect()}
+    assert len(ids) == 1001 and {"s_a_seg007", "s_a_seg100", "s_a_seg1000"} <= ids
+    assert df.where("id = 1").select(audio_id(F.lit("s"), F.lit(""), F.lit(12345))).first()[0] == "s_row12345"

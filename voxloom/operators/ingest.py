@@ -23,9 +23,14 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"^.*/", ""), r"(?<=.)\.[^.]*$", "")
 
 
+def padded(n: Column, width: int) -> Column:
+    """n with leading zeros; longer numbers stay whole."""
+    return F.when(F.length(n.cast("string")) < width, F.lpad(n.cast("string"), width, "0")).otherwise(n.cast("string"))
+
+
 def audio_id(speaker: Column, path: Column, row: Column) -> Column:
     """speaker_stem, or speaker_rowNNNN where there is no path."""
-    return F.concat(speaker, F.lit("_"), F.when(path == "", F.concat(F.lit("row"), F.lpad(row.cast("string"), 4, "0"))).otherwise(stem(path)))
+    return F.concat(speaker, F.lit("_"), F.when(path == "", F.concat(F.lit("row"), padded(row, 4))).otherwise(stem(path)))
 
 
 def ingest_reasons(found: Column | None = None) -> Column:
@@ -65,4 +70,4 @@ def qc_reasons(s: Settings, kind: Column, duration: Column, snr: Column, clip: C
 def segment_ids(df: DataFrame, label: str, source: str, order: list[str], width: int, tag: str) -> Column:
     """label_source_tagNNN, counted per source from 0 over all its segments."""
     n = F.row_number().over(Window.partitionBy(source).orderBy(*order)) - 1
-    return F.concat_ws("_", F.col(label), F.col(source), F.concat(F.lit(tag), F.lpad(n.cast("string"), width, "0")))
+    return F.concat_ws("_", F.col(label), F.col(source), F.concat(F.lit(tag), padded(n, width)))

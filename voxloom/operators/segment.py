@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..config import Settings
+from .ingest import padded
 
 # Signs that end sentences, and signs that part clauses.
 SENTENCE, CLAUSE = "。！？!?.", "，；：,;:"
@@ -72,7 +73,7 @@ def utterances(segments: DataFrame, chars: str, s: Settings, context: int = 20)
 
     order = Window.partitionBy("speaker_label", "source_audio_id").orderBy(F.coalesce("seg_start", F.lit(0.0)), F.coalesce("seg_id", F.lit("")), a)
     rows = rows.withColumns({
-        "utt_id": F.concat_ws("_", "speaker_label", "source_audio_id", F.lpad((F.row_number().over(order) - 1).cast("string"), 6, "0")),
+        "utt_id": F.concat_ws("_", "speaker_label", "source_audio_id", padded(F.row_number().over(order) - 1, 6)),
         "text": joined(a + 1, b - a + 1), "prev_text": joined(F.greatest(a + 1 - context, F.lit(1)), F.least(a, F.lit(context))), "next_text": joined(b + 2, F.lit(context)),
         "start": F.get(chars, a)["start"], "end": F.get(chars, b)["end"], "chars": F.slice(chars, a + 1, b - a + 1),
     })
