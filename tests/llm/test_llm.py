@@ -306,3 +306,15 @@ def test_report_counts_shared_recordings(spark, tmp_path):
     spark.createDataFrame([("a", "F0"), ("b", " f0 "), ("c", None)], "audio_id string, audio_hash string").write.parquet(str(tmp_path / "ingest.parquet"))
     got = {(r["split"], r["source_audio_id"], r["kind"], r["records"], r["pairs"]) for r in p1_report(spark, str(tmp_path)).collect()}
     assert got == {("train", "a", "recording", 1, 1), ("test", "b", "recording", 1, 1)}
+
+
+@pytest.mark.parametrize("chain", ["utf_8>gbk", "utf_8>cp932"])
+def test_garbled_lone_letters_and_long_words(spark, chain):
+    """A word of one letter is known beside its neighbour; words of any length are known; ideographs that belong are no case."""
+    word = "Donaudampfschifffahrtsgesellschaftskapitänsmütze"
+    clean = [(0, "il va à la gare"), (1, f"die {word}"), (2, "眉毛和枚"), (3, "the 脿 sign")]
+    bad = [(10, "il va à la gare"), (11, word)]
+    df = spark.createDataFrame(clean + [(d, G.garble(t, chain)) for d, t in bad], "d long, t string")
+    tokens = G.garbled_tokens(df, "d", "t")
+    assert {r["d"] for r in tokens.collect()} == {10, 11}
+    assert {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()} == dict(bad)

@@ -24,8 +24,6 @@ WORD_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE)
 PAIR_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE) + tuple(f"gbk>{d}" for d in SINGLE)
 LOST = "�"
 WORDS_HELD = 1 << 20
-#: Words longer than this are left to their letters.
-WORD = 24
 FORMS = "_form string, chain string, word string"
 
 
@@ -90,8 +88,9 @@ def _row_of(offsets: np.ndarray) -> np.ndarray:
 
 
 def _mixed(codes: np.ndarray, offsets: np.ndarray, east: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first, length) of short words, bounded by ASCII blanks and signs, of ASCII letters or digits and other letters:
-    with ideographs or half-width kana among these (east), or without."""
+    """(row, first, length) of words, bounded by ASCII blanks and signs, of ASCII letters or digits and other letters:
+    with ideographs or half-width kana among these (east), or without. A word of one letter, which may be garbled to
+    an ordinary ideograph, comes with the word before or after it."""
     ascii_ = codes < 0x80
     plain = ascii_ & ((codes >= 0x30) & (codes < 0x3A) | ((codes | 32) >= 0x61) & ((codes | 32) < 0x7B))
     inside = plain | ~ascii_
@@ -105,8 +104,20 @@ def _mixed(codes: np.ndarray, offsets: np.ndarray, east: bool) -> tuple[np.ndarr
     wide = (codes[at] >= 0x3000) & (codes[at] != 0xFFFD)
     n = np.diff(np.r_[begin, len(at)])
     wides, plains = np.add.reduceat(wide.astype(np.int64), begin), np.add.reduceat(plain[at].astype(np.int64), begin)
-    ok = (n <= WORD) & (plains > 0) & (plains < n) & ((wides > 0) if east else (wides == 0))
-    return row[at[begin[ok]]], at[begin[ok]], n[ok]
+    ok = (plains > 0) & (plains < n) & ((wides > 0) if east else (wides == 0))
+    # Such words: one sign, garbled up to four; the neighbour must have an ASCII letter or digit.
+    fit = (wides > 0) if east else (wides == 0)
+    lone = np.flatnonzero((plains == 0) & (n <= (4 if east else 1)) & fit)
+    first, last = at[begin], at[begin] + n
+    out = [(first[ok], n[ok])]
+    for a, b in ((lone[lone > 0] - 1, lone[lone > 0]), (lone[lone < len(n) - 1], lone[lone < len(n) - 1] + 1)):
+        # A whole word of the garbled side may have no ideographs, one of the clean side never has.
+        some = (row[first[a]] == row[first[b]]) & (plains[a] + plains[b] > 0)
+        if not east:
+            some &= wides[a] + wides[b] == 0
+        out.append((first[a[some]], last[b[some]] - first[a[some]]))
+    first, length = (np.concatenate(x) for x in zip(*out, strict=True))
+    return row[first], first, length
 
 
 def suspects(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
