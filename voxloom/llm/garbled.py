@@ -264,9 +264,11 @@ def clean_words(rows: DataFrame) -> DataFrame:
     found = stored(rows.select("_t").mapInArrow(_words, "_w string, _open boolean").distinct())
     sure, opened = found.where("NOT _open").select("_w"), found.where("_open").select(F.col("_w").alias("_t"))
     forms = sure.mapInArrow(_forms, FORMS).select("_form").distinct()
-    hits = opened.select(F.col("_t").alias("_d"), "_t").mapInArrow(_found(), "_d string, _form string").join(forms, "_form", "left_semi")
-    per = hits.groupBy(F.col("_d").alias("_t")).agg(F.collect_set("_form").alias("_x"))
-    return sure.unionByName(opened.join(per, "_t", "left").select("_t", "_x").mapInArrow(_rest, "_w string")).distinct()
+    # A hash names a stretch; two that share one only see each other's garbled forms too, which are such anywhere.
+    opened = opened.withColumn("_d", F.xxhash64("_t"))
+    hits = opened.select("_d", "_t").mapInArrow(_found(), "_d long, _form string").join(forms, "_form", "left_semi")
+    per = hits.groupBy("_d").agg(F.collect_set("_form").alias("_x"))
+    return sure.unionByName(opened.join(per, "_d", "left").select("_t", "_x").mapInArrow(_rest, "_w string")).distinct()
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
