@@ -14,7 +14,8 @@ from voxloom.llm.capping import dropped_by_cap
 from voxloom.llm.cutoffs import below_cutoff, cutoffs
 from voxloom.llm.grouping import assign_splits, linked_groups
 from voxloom.llm.lookalike import alike_pairs, with_form
-from voxloom.llm.overlaps import overlaps
+from voxloom.llm import overlaps as O
+from voxloom.llm.overlaps import coverage, overlaps, record_pairs, shared_keys
 from voxloom.llm.packing import pack, sum_of_squares, token_counts
 from voxloom.llm.percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
@@ -155,8 +156,42 @@ def test_overlaps(spark, letters):
     rows = [(f"l{i}", t, 1) for i, t in enumerate(left)] + [(f"r{i}", t + "!", 2) for i, t in enumerate(right)] + [("n", None, 1), ("e", "", 2), ("x", left[7], 3), (None, left[7], 2), ("l0", left[0], 1)]
     df = spark.createDataFrame(rows, "i string, t string, s int").withColumn("_c", F.lit("clash"))
     want = {(f"l{i}", f"r{j}") for i, a in enumerate(left) for j, b in enumerate(right) if min(len(a), len(b)) >= 10 and distance(a, b) <= max(len(a), len(b)) // 10}
-    assert {(r["left_id"], r["right_id"]) for r in overlaps(df, "i", "t", "s").collect()} == want
-    assert overlaps(df.limit(0), "i", "t", "s").count() == 0
+    members, near = overlaps(df, "i", "t", "s")
+    assert {(r["left_id"], r["right_id"]) for r in record_pairs(members, near).collect()} == want
+    members, near = overlaps(df.limit(0), "i", "t", "s")
+    assert near.count() == 0 and record_pairs(members, near).count() == 0
+    members, per = coverage(df, "i", "t", "s")
+    per = {(r["id"], r["side"]): r for r in members.join(per, ["class", "side"]).collect()}
+    assert {i for i, s in per if s == 1} == {a for a, _ in want} and {i for i, s in per if s == 2} == {b for _, b in want}
+    for (i, s), r in per.items():
+        own = (left if s == 1 else right)[int(i[1:])]
+        others = [(right if s == 1 else left)[int((p[1] if s == 1 else p[0])[1:])] for p in want if p[s - 1] == i]
+        assert r["partners"] == len(others)
+        inside = set()
+        for x in others:
+            most = distance(own, x)
+            inside |= {k + j for shift in range(-most, most + 1) for k in range(len(own) - 4) if 0 <= k + shift <= len(x) - 5 and own[k : k + 5] == x[k + shift : k + shift + 5] for j in range(5)}
+        assert r["covered"] == pytest.approx(len(inside) / len(own))
+
+
+def test_overlaps_hot_beginnings(spark, monkeypatch):
+    """Long texts, texts of one template, and beginnings split over a grid of tasks, against brute force."""
+    monkeypatch.setattr(O, "HOT", 3)
+    monkeypatch.setattr(O, "HOT_SHARE", 10**9)
+    rng = random.Random(16)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(3, 8))) for _ in range(12)]
+    texts = ["thank you for watching this " + " ".join(rng.choice(words) for _ in range(rng.choice([4, 8, 60]))) for _ in range(90)] + ["\U00020001\U00020002字" * 8]
+    rows = [(f"{s}{i}", x if s == 1 else edited(rng, x, rng.randrange(len(x) // 8), "abcxyz"), s) for i, x in enumerate(texts) for s in (1, 2)]
+    plain = {i: x.replace(" ", "") for i, x, _ in rows}
+    want = {(a, b) for a in plain for b in plain if a[0] == "1" and b[0] == "2" and abs(len(plain[a]) - len(plain[b])) <= 40 and distance(plain[a], plain[b]) <= max(len(plain[a]), len(plain[b])) // 10}
+    got = record_pairs(*overlaps(spark.createDataFrame(rows, "i string, t string, s int"), "i", "t", "s")).collect()
+    assert {tuple(r) for r in got} == want and len(want) > 40
+
+
+def test_shared_keys(spark):
+    rows = [("a", "x", 1), ("b", "x", 2), ("b", "x", 2), ("c", "y", 1), ("d", "y", 1), ("e", "z", 1), ("e", "z", 2), (None, "x", 1), ("f", None, 2), ("g", "x", 3)]
+    got = {tuple(r) for r in shared_keys(spark.createDataFrame(rows, "i string, k string, s int"), "i", F.col("k"), "s").collect()}
+    assert got == {("x", 1, "a"), ("x", 2, "b")}
 
 
 def test_leaks_recall_and_precision(spark):
@@ -301,11 +336,11 @@ def test_garbled_clean_words_beside_suspects(spark):
 def test_report_counts_shared_recordings(spark, tmp_path):
     from voxloom.llm.queries import p1_report
 
-    sides = [("u1", "a", "train", "other words here"), ("u2", "b", "test", None), ("u3", "c", "valid", "the same text twice"), ("u3", "d", "train", "the same text twice")]
+    sides = [("u1", "a", "train", "other words here"), ("u2", "b", "test", None), ("u3", "c", "valid", "the same text twice"), ("u3", "d", "train", "the same text twice"), ("u4", "e", "valid", "The same text, twice")]
     spark.createDataFrame(sides, "utt_id string, source_audio_id string, split string, text string").write.parquet(str(tmp_path / "manifests.parquet"))
     spark.createDataFrame([("a", "F0"), ("b", " f0 "), ("c", None)], "audio_id string, audio_hash string").write.parquet(str(tmp_path / "ingest.parquet"))
-    got = {(r["split"], r["source_audio_id"], r["kind"], r["records"], r["pairs"]) for r in p1_report(spark, str(tmp_path)).collect()}
-    assert got == {("train", "a", "recording", 1, 1), ("test", "b", "recording", 1, 1)}
+    got = {(r["split"], r["source_audio_id"], r["kind"], r["records"], r["pairs"], r["covered"]) for r in p1_report(spark, str(tmp_path)).collect()}
+    assert got == {("train", "a", "recording", 1, 1, 1.0), ("test", "b", "recording", 1, 1, 1.0), ("train", "d", "text", 1, 1, 1.0), ("valid", "e", "text", 1, 1, 1.0)}
 
 
 @pytest.mark.parametrize("chain", ["utf_8>gbk", "utf_8>cp932"])

@@ -14,7 +14,7 @@ from .garbled import garbled_tokens, restored
 from .grouping import assign_splits, linked_groups
 from .leaks import leaked
 from .lookalike import alike_pairs
-from .overlaps import overlaps
+from .overlaps import coverage, overlaps, record_pairs, shared_keys
 from .packing import pack, token_counts
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
@@ -113,16 +113,11 @@ def _sides(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shared_recordings(spark: SparkSession, folder: str) -> DataFrame:
-    """(train_id, eval_id): recordings with one audio hash, one in train and the other in valid or test."""
+    """(key, side, id): recordings with one audio hash, of which train has some and valid or test others."""
     heard = F.lower(strip_blanks("audio_hash"))
-    rows = table(spark, folder, "ingest").select("audio_id", heard.alias("h")).where("h IS NOT NULL AND NOT h RLIKE '^0*$'").distinct()
-    # A hash with one recording can't link any; the rest is a small part of the recordings.
-    some = rows.groupBy("h").agg(F.min("audio_id").alias("a"), F.max("audio_id").alias("b")).where("a <> b").select("h")
     used = _sides(spark, folder).where("side IS NOT NULL").select(F.col("source_audio_id").alias("audio_id"), "side").distinct()
-    rows = stored(rows.join(some, "h", "left_semi").join(used, "audio_id"))
-    left = rows.where("side = 1").select("h", F.col("audio_id").alias("train_id"))
-    right = rows.where("side = 2").select("h", F.col("audio_id").alias("eval_id"))
-    return left.join(right, "h").where("train_id <> eval_id").select("train_id", "eval_id").distinct()
+    rows = table(spark, folder, "ingest").select("audio_id", heard.alias("h")).where("h IS NOT NULL AND NOT h RLIKE '^0*$'").distinct()
+    return shared_keys(rows.join(used, "audio_id"), "audio_id", F.col("h"), "side")
 
 
 def _ordered(a: str, b: str) -> list:
@@ -131,26 +126,34 @@ def _ordered(a: str, b: str) -> list:
 
 @REGISTRY.query("p1_found")
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    near = overlaps(_sides(spark, folder), "utt_id", "text", "side").where("left_id <> right_id")
-    return near.select(*_ordered("left_id", "right_id")).unionByName(shared_recordings(spark, folder).select(*_ordered("train_id", "eval_id"))).distinct()
+    members, near = overlaps(_sides(spark, folder), "utt_id", "text", "side")
+    texts = record_pairs(members, near).select(*_ordered("left_id", "right_id"))
+    heard = stored(shared_recordings(spark, folder))
+    left, right = (heard.where(F.col("side") == s).select("key", F.col("id").alias(x)) for s, x in ((1, "a"), (2, "b")))
+    return texts.unionByName(left.join(right, "key").where("a <> b").select(*_ordered("a", "b"))).distinct()
 
 
 @REGISTRY.query("p1_report")
 def p1_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Overlapping records per split, source and kind: near texts, with the mean share of a record's letters that is
-    covered, and recordings with one audio hash."""
-    sides = _sides(spark, folder)
-    near = stored(overlaps(sides, "utt_id", "text", "side").where("left_id <> right_id"))
-    ends = [near.select(F.col(c).alias("utt_id"), F.lit(s).alias("side"), (1 - F.col("edits") / F.col("length")).alias("share")) for c, s in (("left_id", 1), ("right_id", 2))]
-    both = ends[0].unionByName(ends[1]).groupBy("utt_id", "side").agg(F.count("*").alias("partners"), F.max("share").alias("share"))
-    rows = sides.where("side IS NOT NULL").select("utt_id", "side", "split", "source_audio_id").distinct().join(both, ["utt_id", "side"])
-    shared = stored(shared_recordings(spark, folder))
-    heard = [shared.select(F.col(c).alias("source_audio_id"), F.lit(s).alias("side")) for c, s in (("train_id", 1), ("eval_id", 2))]
-    heard = heard[0].unionByName(heard[1]).groupBy("source_audio_id", "side").agg(F.count("*").alias("partners"))
-    used = sides.where("side IS NOT NULL").select("source_audio_id", "side", "split").distinct()
-    kinds = [rows.withColumn("kind", F.lit("text")), used.join(heard, ["source_audio_id", "side"]).withColumns({"kind": F.lit("recording"), "share": F.lit(None).cast("double")})]
-    both = kinds[0].unionByName(kinds[1], allowMissingColumns=True)
-    return both.groupBy("split", "source_audio_id", "kind").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("share"), 6).alias("covered"))
+    """Overlapping records per split, source and kind: near texts, with the mean share of a record's letters that spans
+    shared with the other side cover, and recordings with one audio hash, which are covered whole."""
+    sides = _sides(spark, folder).where("side IS NOT NULL")
+    members, per = coverage(sides, "utt_id", "text", "side")
+    # An id that stands on both sides with one text is no partner of itself.
+    both = members.groupBy("id", "class").agg(F.bit_or("side").alias("_s")).where("_s = 3").select("id", "class", F.lit(1).alias("_self"))
+    rows = members.join(per, ["class", "side"]).join(both, ["id", "class"], "left").withColumn("partners", F.col("partners") - F.coalesce("_self", F.lit(0))).where("partners > 0")
+    rows = rows.groupBy(F.col("id").alias("utt_id"), "side").agg(F.sum("partners").alias("partners"), F.max("covered").alias("covered"))
+    rows = sides.select("utt_id", "side", "split", "source_audio_id").distinct().join(rows, ["utt_id", "side"]).withColumn("kind", F.lit("text"))
+    heard = stored(shared_recordings(spark, folder))
+    sizes = heard.groupBy("key", F.col("side").alias("_other")).agg(F.count("*").alias("_n"))
+    heard = heard.join(sizes, "key").where("side <> _other")
+    own = heard.groupBy("key", F.col("id").alias("source_audio_id")).agg(F.bit_or("side").alias("_s"))
+    heard = heard.withColumnRenamed("id", "source_audio_id").join(own, ["key", "source_audio_id"]).withColumn("partners", F.col("_n") - F.when(F.col("_s") == 3, 1).otherwise(0)).where("partners > 0")
+    heard = heard.groupBy("source_audio_id", "side").agg(F.sum("partners").alias("partners"))
+    used = sides.select("source_audio_id", "side", "split").distinct()
+    heard = used.join(heard, ["source_audio_id", "side"]).withColumns({"kind": F.lit("recording"), "covered": F.lit(1.0)})
+    both = rows.unionByName(heard, allowMissingColumns=True)
+    return both.groupBy("split", "source_audio_id", "kind").agg(F.count("*").alias("records"), F.sum("partners").alias("pairs"), F.round(F.avg("covered"), 6).alias("covered"))
 
 
 #: Tokens that a training sequence holds.
