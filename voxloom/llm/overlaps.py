@@ -18,6 +18,7 @@ LEFT, RIGHT = 1, 2
 LEAST = 10
 #: Letters of a seed, and so of the common prefix that makes two suffixes candidates.
 SHORT, LONG = 5, 8
+FIRST = 0
 #: Blocks in which seeds are chosen; their number of seeds is what the text's length asks for.
 BLOCK = 96
 #: Counters of the sketches: a fixed size, whatever the data's. They steer which seeds are taken and which suffixes
@@ -85,8 +86,8 @@ def _cut_to(k2: np.ndarray, q: np.ndarray | int) -> np.ndarray:
 
 
 def _counter(k1: np.ndarray, k2: np.ndarray, q: int) -> np.ndarray:
-    """The sketch's counter of beginnings of q letters."""
-    return (mix(k1 ^ mix(_cut_to(k2, q)).view(np.int64) ^ np.int64(q)) >> np.uint64(64 - 21)).astype(np.int64)
+    """The sketch's counter of beginnings of q letters (FIRST: of as many as SHORT, counted apart)."""
+    return (mix(k1 ^ mix(_cut_to(k2, q or SHORT)).view(np.int64) ^ np.int64(q)) >> np.uint64(64 - 21)).astype(np.int64)
 
 
 def _summed(counters: Callable[[pa.RecordBatch], Iterator[np.ndarray]], rows: DataFrame) -> np.ndarray:
@@ -97,15 +98,16 @@ def _summed(counters: Callable[[pa.RecordBatch], Iterator[np.ndarray]], rows: Da
         for b in batches:
             for at in counters(b):
                 held += np.bincount(at, minlength=COUNTERS)
-        part = held.reshape(SLICES, -1).astype(np.uint32)
         if held.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in part])], names=["_i", "_n"])
+            # In as few bytes as the largest count needs.
+            part = [x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in held.reshape(SLICES, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(part)], names=["_i", "_n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             for i, n in zip(b.column("_i").to_pylist(), b.column("_n").to_pylist(), strict=True):
-                x = np.frombuffer(n, np.uint32).astype(np.int64)
+                x = np.frombuffer(n, f"u{len(n) * SLICES // COUNTERS}").astype(np.int64)
                 held[i] = held[i] + x if i in held else x
         top = np.iinfo(np.uint32).max
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([np.minimum(x, top).astype(np.uint32).tobytes() for x in held.values()], pa.binary())], names=["_i", "_n"])
@@ -207,9 +209,11 @@ def _chosen(cost: np.ndarray, first: np.ndarray, last: np.ndarray, seeds: np.nda
 def _left_counters(often: np.ndarray):
     def run(b: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, codes, offsets in _parts(b, LEFT):
-            _, _, k1, k2 = _seeds(codes, offsets, often)
-            # By the first letters alone: what is partitioned by.
-            yield _counter(k1, k2, SHORT)
+            _, q, k1, k2 = _seeds(codes, offsets, often)
+            for size in range(SHORT, LONG + 1):
+                yield _counter(k1[q == size], k2[q == size], size)
+            # And by the first letters alone: what is partitioned by.
+            yield _counter(k1, k2, FIRST)
 
     return run
 
@@ -227,7 +231,7 @@ def _suffixes(often: np.ndarray, wanted: np.ndarray, most_rows: int):
                     else:
                         k1, k2 = _beginnings(codes, offsets)
                         at = np.flatnonzero((np.arange(len(codes)) + SHORT <= np.repeat(offsets[1:], n)) & (np.repeat(n, n) >= LEAST))
-                        at = at[wanted[_counter(k1[at], k2[at], SHORT)] > 0]
+                        at = at[np.logical_or.reduce([wanted[_counter(k1[at], k2[at], size)] > 0 for size in range(SHORT, LONG + 1)])]
                         q, k1, k2 = np.full(len(at), SHORT), k1[at], k2[at]
                     row = np.searchsorted(offsets, at, "right") - 1
                     signature, pure = _signature(codes, offsets)
@@ -235,8 +239,8 @@ def _suffixes(often: np.ndarray, wanted: np.ndarray, most_rows: int):
                     # Length, place, seed length, kind and side share a long, as these rows are what the shuffle moves.
                     packed = n[row] << 32 | (at - offsets[row]) << 4 | (q - SHORT) << 2 | pure[row].astype(np.int64) << 1 | (side == RIGHT)
                     # A hot beginning: a grid of tasks, in which each row of a side meets each of the other once.
-                    spot = _counter(k1, k2, SHORT)
-                    across, down = (np.minimum(-(-x[spot].astype(np.int64) // most_rows), 1 << 10).clip(1) for x in (wanted, often))
+                    spots = ((wanted, _counter(k1, k2, FIRST)), (often, _counter(k1, k2, SHORT)))
+                    across, down = (np.minimum(-(-x[spot].astype(np.int64) // most_rows), 1 << 10).clip(1) for x, spot in spots)
                     own, other = (across, down) if side == LEFT else (down, across)
                     copy = np.repeat(np.arange(len(at)), other)
                     nth = np.arange(len(copy)) - np.repeat(np.cumsum(other) - other, other)
@@ -327,6 +331,25 @@ def _adjacent(t: pa.Table) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_ca", "_cb", "_need", "_k"])
 
 
+def _class_counter(c: np.ndarray) -> np.ndarray:
+    return (mix(c) >> np.uint64(64 - 21)).astype(np.int64)
+
+
+def _paired(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for c in b.columns:
+        yield _class_counter(c.to_numpy(zero_copy_only=False))
+
+
+def _members(some: np.ndarray):
+    """Classes without those that are in no candidate pair for sure."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(some[_class_counter(b.column("_c").to_numpy(zero_copy_only=False))] > 0))
+
+    return run
+
+
 def classes_of(rows: DataFrame) -> DataFrame:
     """(_id, _side, _c) of rows (_id, _side, _t): the class of texts with equal letters; short texts have none."""
     return rows.where("_t IS NOT NULL").mapInArrow(_letters, "_id string, _side int, _l string").where(F.length("_l") >= LEAST).select("_id", "_side", F.xxhash64("_l").alias("_c"))
@@ -340,14 +363,15 @@ def near_classes(rows: DataFrame) -> DataFrame:
     classes = stored(named.groupBy("_l").agg(F.bit_or("_side").alias("_side")).select(F.xxhash64("_l").alias("_c"), "_l", "_side"))
     often = _summed(_right_counters, classes.select("_l", "_side"))
     wanted = _summed(_left_counters(often), classes.select("_l", "_side"))
-    total = int(often.sum(dtype=np.int64)) // (LONG - SHORT + 1) + int(wanted.sum(dtype=np.int64))
+    total = int(often.sum(dtype=np.int64)) // (LONG - SHORT + 1) + int(wanted.sum(dtype=np.int64)) // 2
     parts = max(shuffle_parts(rows.sparkSession), -(-total // TASK_ROWS))
     found = classes.mapInArrow(_suffixes(often, wanted, max(HOT, total // HOT_SHARE)), ROWS)
     found = found.repartition(parts, "_k1", F.shiftright("_k2", 48), "_salt").sortWithinPartitions("_salt", "_k1", "_k2")
     pairs = found.mapInArrow(_matches, "_ca long, _cb long, _need int, _k int")
     # Each edit spoils one seed at most, so most pairs must share more than one.
-    pairs = pairs.groupBy("_ca", "_cb", "_need").agg(F.sum("_k").alias("_k")).where("_k >= _need").select("_ca", "_cb")
-    a, b = (classes.select(F.col("_c").alias(f"_c{x}"), F.col("_l").alias(f"_l{x}")) for x in "ab")
+    pairs = stored(pairs.groupBy("_ca", "_cb", "_need").agg(F.sum("_k").alias("_k")).where("_k >= _need").select("_ca", "_cb"))
+    some = classes.select("_c", "_l").mapInArrow(_members(_summed(_paired, pairs)), "_c long, _l string")
+    a, b = (some.select(F.col("_c").alias(f"_c{x}"), F.col("_l").alias(f"_l{x}")) for x in "ab")
     near = pairs.join(a, "_ca").join(b, "_cb").withColumn("_m", F.greatest(F.length("_la"), F.length("_lb")))
     near = near.withColumn("_most", F.floor(F.col("_m") / 10).cast("int"))
     return near.withColumn("_d", F.expr("levenshtein(_la, _lb, _most)")).where("_d >= 0").drop("_most")
@@ -359,7 +383,7 @@ def _sided(df: DataFrame, ident: str, text: str, side: str) -> DataFrame:
 
 
 def overlaps(df: DataFrame, ident: str, text: str, side: str) -> tuple[DataFrame, DataFrame]:
-    """Records of side 1 and of side 2 with (nearly) the same text, as classes: (id, side, class), and pairs (left, right,
+    """Records of side 1 and of side 2 with (nearly) the same text, as classes: (id, side, class), a row per row, and pairs (left, right,
     edits, length) of a class with left and one with right records; the two may be one class.
 
     Letters and digits count, without case and width; a tenth of the longer text's letters may be put in, left
@@ -375,7 +399,7 @@ def overlaps(df: DataFrame, ident: str, text: str, side: str) -> tuple[DataFrame
     """
     rows = _sided(df, ident, text, side)
     near = near_classes(rows).select(F.col("_ca").alias("left"), F.col("_cb").alias("right"), F.col("_d").alias("edits"), F.col("_m").alias("length"))
-    return classes_of(rows).select(F.col("_id").alias("id"), F.col("_side").alias("side"), F.col("_c").alias("class")).distinct(), near
+    return classes_of(rows).select(F.col("_id").alias("id"), F.col("_side").alias("side"), F.col("_c").alias("class")), near
 
 
 def record_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
