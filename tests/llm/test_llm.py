@@ -194,13 +194,28 @@ def test_shared_keys(spark):
     assert got == {("x", 1, "a"), ("x", 2, "b")}
 
 
-def test_leaks_recall_and_precision(spark):
+def test_leaks_shorter_quotations(spark):
+    """A quotation below the least length is no case, however few edits would make up for what is missing."""
+    rng = random.Random(18)
+    zh, other = ([chr(0x4E00 + 37 * i + k) for i in range(400)] for k in (0, 1))
+    items = [(i, "".join(rng.choice(zh) for _ in range(90)), 40) for i in range(40)]
+    docs = []
+    for i, text, _ in items:
+        n = 36 + i % 8
+        a = rng.randrange(90 - n)
+        docs.append((i, "".join(rng.choice(other) for _ in range(60)) + text[a : a + n] + "".join(rng.choice(other) for _ in range(60))))
+    df, it = spark.createDataFrame(docs, "d long, t string"), spark.createDataFrame(items, "i long, t string, n int")
+    got = {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()}
+    assert got == {(i, i) for i in range(40) if 36 + i % 8 >= 40}
+
+
+def test_leaks_recall_and_precision(spark, monkeypatch):
     rng = random.Random(7)
     zh = [chr(0x4E00 + 37 * i) for i in range(400)]
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
     items = [(i, "".join(rng.choice(zh) for _ in range(90)), 40) for i in range(20)] + [(100 + i, " ".join(rng.choice(words) for _ in range(45)), 120) for i in range(20)]
     docs, want = [], set()
-    for d in range(160):
+    for d in range(400):
         i, text, least = rng.choice(items)
         plain = text.replace(" ", "")
         a = rng.randrange(len(plain) - least + 1)
@@ -216,7 +231,11 @@ def test_leaks_recall_and_precision(spark):
     it = spark.createDataFrame([*items, (500, None, 40), (501, "short", 40)], "i long, t string, n int")
     got = {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()}
     assert got <= want
-    assert len(got) >= 0.95 * len(want)
+    # Recall of either script by itself, at exactly a tenth of edits and exactly the least length.
+    for script in (lambda i: i < 100, lambda i: i >= 100):
+        assert sum(script(i) for _, i in got) >= 0.95 * sum(script(i) for _, i in want)
+    monkeypatch.setattr(K, "BLOCK_LETTERS", 700)
+    assert {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()} == got
     assert K.leaked(df.limit(0), "d", "t", it, "i", "t", F.col("n")).count() == 0
     assert K.leaked(df, "d", "t", it.limit(0), "i", "t", F.col("n")).count() == 0
 

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+from ..operators.ranges import range_blocks, running_total
+from ..session import stored
 from .codepoints import from_arrow, letters
 
 
-
 @dataclass(frozen=True)
 class Walk:
     """Steps of the random walk, and how many of them each of so many hash tables samples.
@@ -27,19 +28,25 @@ class Walk:
     steps: int
     samples: int
     tables: int
+    spread: bool
 
     def sampled(self) -> list[set[int]]:
+        """Steps of each table: any, or one out of each of so many equal stretches, which read more different letters."""
         r = random.Random(0)
-        return [set(r.sample(range(self.steps), self.samples)) for _ in range(self.tables)]
+        if not self.spread:
+            return [set(r.sample(range(self.steps), self.samples)) for _ in range(self.tables)]
+        return [{int((i + r.random()) * self.steps / self.samples) for i in range(self.samples)} for _ in range(self.tables)]
 
 
-#: For runs of scripts with many letters (short runs), and of alphabets (long runs).
-SHORT, LONG, LONG_FROM = Walk(44, 8, 7), Walk(90, 10, 4), 80
+#: For scripts with many letters, whose runs are short, and for alphabets, whose letters say less and whose runs are
+#: long. An item is one or the other by its least run; both ways find runs of any length from that on.
+SHORT, LONG, LONG_FROM = Walk(44, 8, 7, False), Walk(84, 10, 6, True), 80
 SLOTS = 22
-FLAG_BITS = 14
 CHUNK = 1 << 17
 #: Letters of evaluation items that one scan of the corpus holds in memory; more are taken in blocks.
 BLOCK_LETTERS = 2_000_000
+#: Hits of an item within so many diagonals and places are looked at together.
+DIAGONALS, PLACES = 16, 64
 DOC_END, ITEM_END = 0, 1
 
 
@@ -108,11 +115,13 @@ class Items:
             other.append(low - run.max(initial=0) - low // 10)
         self.need = (min(han, default=0), min(other, default=0))
         self.any = bool((size >= least).any())
-        # Short grams of each item, as one row of flags an item: what the counting filter looks up.
+        # Short grams of the items, hashed with their item into one table of flags: what the counting filter looks up.
+        # A flag that two share only makes a candidate plausible.
         self.gram = 4 if least >= LONG_FROM else 2
-        self.flags = np.zeros((len(ids), 1 << FLAG_BITS), bool)
+        self.bits = max(14, (16 * len(codes)).bit_length())
+        self.flags = np.zeros(1 << self.bits, bool)
         inside = np.flatnonzero(self.owner[self.gram - 1 :] == self.owner[: len(self.owner) - self.gram + 1]) if len(codes) >= self.gram else np.zeros(0, int)
-        self.flags[self.owner[inside], self.grams(codes)[inside]] = True
+        self.flags[self.flag(self.grams(codes)[inside], self.owner[inside])] = True
         self.ended_grams = self.grams(self.ended)
 
     def grams(self, codes: np.ndarray) -> np.ndarray:
@@ -121,7 +130,10 @@ class Items:
         out = np.zeros(len(codes), np.uint64)
         for i in range(self.gram):
             out = out * np.uint64(0x9E3779B97F4A7C15) + bits[i : i + len(codes)]
-        return (out >> np.uint64(64 - FLAG_BITS)).astype(np.int32)
+        return (out >> np.uint64(33)).astype(np.int32)
+
+    def flag(self, grams: np.ndarray, item: np.ndarray) -> np.ndarray:
+        return ((grams.astype(np.uint64) + mix(item)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
 
 
 def _ideograph(codes: np.ndarray) -> np.ndarray:
@@ -129,10 +141,10 @@ def _ideograph(codes: np.ndarray) -> np.ndarray:
 
 
 def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
-    """best[i, j]: least edits between the first j letters of row i and any beginning of its text.
+    """best[i, j]: least edits between the first j letters of row i and any beginning of its text, if the j-th is there.
 
     text has `most` more signs before its beginning and after its end. A band of `most` edits on either side
-    of the diagonal; entries above `most` are large.
+    of the diagonal; entries above `most` are large. Letters missing at a run's end are no part of the run.
     """
     n, length = letters_.shape
     big, width = np.int16(999), 2 * most + 1
@@ -144,7 +156,10 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
     for j in range(1, length + 1):
         letter = letters_[:, j - 1]
         # No way leads past the end of an item or a document.
-        miss = (text[:, j - 1 : j - 1 + width] != letter[:, None]).astype(np.int16)
+        miss = text[:, j - 1 : j - 1 + width] != letter[:, None]
+        ended = np.where(miss, big, d).min(1)
+        ended[letter <= ITEM_END] = big
+        best[live, j] = ended
         fresh = d + miss
         np.minimum(fresh[:, :-1], d[:, 1:] + 1, out=fresh[:, :-1])
         if j <= most:
@@ -152,9 +167,7 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
             fresh[:, most - j] = j
         fresh = np.minimum.accumulate(fresh - slope, axis=1) + slope
         fresh[letter <= ITEM_END] = big
-        low = fresh.min(1)
-        best[live, j] = low
-        stay = low <= most
+        stay = fresh.min(1) <= most
         if not stay.all():
             live, fresh = live[stay], fresh[stay]
             if not len(live):
@@ -166,46 +179,52 @@ def _reach(text: np.ndarray, letters_: np.ndarray, most: int) -> np.ndarray:
 
 def _dense(seen: np.ndarray, items: Items, lost: int) -> np.ndarray:
     """Whether any stretch of a row has as many grams as a run of one of the lengths leaves: an edit spoils `gram` of
-    them at most, and `lost` more an edit may lie outside."""
+    them at most, and `lost` more an edit may lie outside. Lengths are taken three sorts at a time, which asks less."""
     upto = np.zeros((len(seen), seen.shape[1] + 1), np.int16)
     np.cumsum(seen, 1, dtype=np.int16, out=upto[:, 1:])
     out, q = np.zeros(len(seen), bool), items.gram
-    for low, high in items.lengths:
-        edits = low // 10
-        width = min(high + edits - q + 1, seen.shape[1])
-        out |= (upto[:, width:] - upto[:, :-width]).max(1) >= low - q + 1 - (q + lost) * edits
+    for k in range(0, len(items.lengths), 3):
+        some = items.lengths[k : k + 3]
+        width = min(some[-1][1] + some[-1][0] // 10 - q + 1, seen.shape[1])
+        need = min(low - q + 1 - (q + lost) * (low // 10) for low, _ in some)
+        out |= (upto[:, width:] - upto[:, :-width]).max(1) >= need
     return out
 
 
 def plausible(grams: np.ndarray, items: Items, p: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Whether the document around p has enough of the item's grams for a case of any length."""
-    around = np.lib.stride_tricks.sliding_window_view(grams, 2 * items.pad)
+    """Whether the document around p to p + PLACES has enough of the item's grams for a case of any length."""
+    around = np.lib.stride_tricks.sliding_window_view(grams, 2 * items.pad + PLACES)
     out = np.zeros(len(p), bool)
-    for a in range(0, len(p), 4096):
-        out[a : a + 4096] = _dense(items.flags[item[a : a + 4096, None], around[p[a : a + 4096] - items.pad]], items, 0)
+    for a in range(0, len(p), 1024):
+        out[a : a + 1024] = _dense(items.flags[items.flag(around[p[a : a + 1024] - items.pad], item[a : a + 1024, None])], items, 0)
     return out
 
 
-def in_place(grams: np.ndarray, items: Items, p: np.ndarray, s: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """As plausible(), but a gram of the document counts only where the item has it at most `most` places off."""
+def in_place(grams: np.ndarray, items: Items, p: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """As plausible(), but a gram of the document counts only where the item has it at most `most` places off, for any of
+    DIAGONALS diagonals. s is where the item's ended letters stand at p on the first of them in the item's order."""
     size, most = items.longest, items.most
-    around = np.lib.stride_tricks.sliding_window_view(grams, 2 * size)
-    own = np.lib.stride_tricks.sliding_window_view(items.ended_grams, 2 * (size + most))
+    width = 2 * size + PLACES
+    around = np.lib.stride_tricks.sliding_window_view(grams, width)
+    spare = np.full(PLACES + 2 * DIAGONALS, -1, np.int32)
+    own = np.r_[spare, items.ended_grams, spare]
+    own = np.lib.stride_tricks.sliding_window_view(own, width + 2 * most + DIAGONALS)
     # A run's letters in the item are within size of s, their grams in the document within size + most of p;
-    # what of them lies outside the 2 x size places looked at here is allowed for.
+    # what of them lies outside the places looked at here is allowed for.
     out = np.zeros(len(p), bool)
-    for a in range(0, len(p), 2048):
-        text = around[p[a : a + 2048] - size]
-        mine = own[s[a : a + 2048] + item[a : a + 2048] + 1 + items.pad - size - most]
+    for a in range(0, len(p), 1024):
+        text = around[p[a : a + 1024] - size]
+        mine = own[s[a : a + 1024] + len(spare) - size - most]
         seen = np.zeros(text.shape, bool)
-        for shift in range(2 * most + 1):
-            seen |= text == mine[:, shift : shift + 2 * size]
-        out[a : a + 2048] = _dense(seen, items, 1)
+        for shift in range(2 * most + DIAGONALS):
+            seen |= text == mine[:, shift : shift + width]
+        out[a : a + 1024] = _dense(seen, items, 1)
     return out
 
 
 def verified(doc: np.ndarray, items: Items, p: np.ndarray, s: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Whether a run of the item's least length or more through the aligned places p (of doc) and s has a tenth of edits at most.
+    """Whether a run of the item's least length or more through the aligned places p (of doc) and s has a tenth of edits at
+    most, and begins and ends with letters that are there.
 
     doc begins and ends with as many end signs as items.pad says, which p counts.
     """
@@ -240,12 +259,13 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     # Documents one behind the other, an end sign after each, so that no window or run leaves its document.
     owner = np.repeat(np.arange(len(n)), n)
     margin = items.pad
-    doc = np.full(n.sum() + len(n) + 2 * margin, DOC_END, np.int32)
+    stop = margin + n.sum() + len(n)
+    doc = np.full(stop + margin + PLACES, DOC_END, np.int32)
     doc[margin + np.arange(n.sum()) + owner] = codes[np.repeat(offsets[use], n) + inner]
     starts = margin + np.cumsum(n) - n + np.arange(len(n))
     hits_p, hits_s = [], []
-    for first in range(margin, len(doc) - margin, CHUNK):
-        last = min(first + CHUNK, len(doc) - margin)
+    for first in range(margin, stop, CHUNK):
+        last = min(first + CHUNK, stop)
         for key, (known, where, slot) in zip(window_keys(doc, first, last, items.walk, items.odd), items.tables, strict=True):
             at = np.flatnonzero(slot[key >> np.uint32(32 - SLOTS)])
             lo = np.searchsorted(known, key[at], "left")
@@ -259,19 +279,30 @@ def _scan(items: Items, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
     if not len(p):
         return
     item, row = items.owner[s], np.searchsorted(starts, p, "right") - 1
-    # Hits that follow each other on a diagonal lie on the same runs: the first and the last stand for them, as a
-    # window may begin shortly before an edit that moved the diagonal.
     pair = row * len(items.ids) + item
-    by = np.lexsort((p, p - s, pair))
-    p, s, item, pair = p[by], s[by], item[by], pair[by]
-    lead = np.r_[True, (pair[1:] != pair[:-1]) | (p[1:] - s[1:] != p[:-1] - s[:-1]) | (p[1:] - p[:-1] > 1)]
-    lead |= np.r_[lead[1:], True]
-    p, s, item, pair = p[lead], s[lead], item[lead], pair[lead]
+    # Hits of a pair on about one diagonal at about one place stand or fall together.
+    shift, spot = (p - s) // DIAGONALS, p // PLACES
+    by = np.lexsort((p, p - s, spot, shift, pair))
+    p, s, item, pair, shift, spot = (x[by] for x in (p, s, item, pair, shift, spot))
+    new = np.r_[True, (pair[1:] != pair[:-1]) | (shift[1:] != shift[:-1]) | (spot[1:] != spot[:-1])]
+    first, cluster = np.flatnonzero(new), np.cumsum(new) - 1
     grams = items.grams(doc)
-    some = plausible(grams, items, p, item)
-    p, s, item, pair = p[some], s[some], item[some], pair[some]
-    some = in_place(grams, items, p, s, item)
-    p, s, item, pair = p[some], s[some], item[some], pair[some]
+    begin = np.maximum(spot[first] * PLACES, margin)
+    good = plausible(grams, items, begin, item[first])
+    some = first[good]
+    good[good] = in_place(grams, items, begin[good], begin[good] - (shift[some] * DIAGONALS + DIAGONALS - 1) + item[some] + 1 + items.pad)
+    keep = good[cluster]
+    p, s, item, pair = p[keep], s[keep], item[keep], pair[keep]
+    # Of hits that follow each other on a diagonal the first and the last stand for all, as a window may begin shortly
+    # before an edit that moved the diagonal.
+    lead = np.r_[True, (pair[1:] != pair[:-1]) | (p[1:] - s[1:] != p[:-1] - s[:-1]) | (p[1:] - p[:-1] > 1)][: len(p)]
+    lead |= np.r_[lead[1:], True][: len(p)]
+    p, s, item, pair = p[lead], s[lead], item[lead], pair[lead]
+    # On to the first letter that both have: a run begins and ends with such, so one that passes here passes there too.
+    ahead = np.arange(DIAGONALS)
+    same = doc[np.minimum(p[:, None] + ahead, len(doc) - 1)] == items.ended[(s + item + 1 + items.pad)[:, None] + ahead]
+    on, some = same.argmax(1), same.any(1)
+    p, s, item, pair = (p + on)[some], (s + on)[some], item[some], pair[some]
     # One candidate of each pair decides most; the others are looked at together.
     turn = np.r_[True, pair[1:] != pair[:-1]][: len(pair)]
     for _ in range(2):
@@ -316,15 +347,21 @@ def leaked(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: s
     BLOCK_LETTERS letters, one scan of the documents for each block.
     """
     rows = items.select(F.col(item_id).alias("_i"), F.col(item_text).alias("_t"), least.cast("int").alias("_n")).where("_i IS NOT NULL AND _t <> ''")
-    total = rows.agg(F.coalesce(F.sum(F.length("_t")), F.lit(0))).first()[0]
+    rows = rows.distinct().withColumn("_w", F.length("_t").cast("long"))
+    total = rows.agg(F.coalesce(F.sum("_w"), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // BLOCK_LETTERS))
+    if blocks > 1:
+        # Cut where the running total of letters passes a block, so that none holds more than a block and one item.
+        order = [F.xxhash64("_i"), F.col("_i"), F.col("_n"), F.col("_t")]
+        rows = stored(running_total(range_blocks(rows, order), order, "_w", "_run").withColumn("_block", F.expr(f"(_run - _w) div {BLOCK_LETTERS}")).select("_i", "_t", "_n", "_block"))
+    else:
+        rows = rows.select("_i", "_t", "_n", F.lit(0).alias("_block"))
     kinds = [docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()]
     source = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("_t")).where("_d IS NOT NULL AND _t <> ''")
     found = None
-
     schema = to_arrow_schema(StructType([StructField("_d", docs.schema[doc_id].dataType), StructField("_i", items.schema[item_id].dataType)]))
     for block in range(blocks):
-        held = rows.where(F.pmod(F.xxhash64("_i"), F.lit(blocks)) == block).distinct().toPandas()
+        held = rows.where(F.col("_block") == block).drop("_block").toPandas()
         groups = [(x["_i"].tolist(), *letters(*from_arrow(pa.array(x["_t"], pa.string()))), int(n)) for n, x in held.groupby("_n")]
         part = source.mapInArrow(_finder(groups, schema), f"_d {kinds[0]}, _i {kinds[1]}")
         found = part if found is None else found.unionByName(part)
