@@ -214,7 +214,7 @@ def test_leaks_recall_and_precision(spark, monkeypatch):
     zh = [chr(0x4E00 + 37 * i) for i in range(400)]
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
     items = [(i, "".join(rng.choice(zh) for _ in range(90)), 40) for i in range(20)] + [(100 + i, " ".join(rng.choice(words) for _ in range(45)), 120) for i in range(20)]
-    docs, want = [], set()
+    docs, want, maybe = [], set(), set()
     for d in range(400):
         i, text, least = rng.choice(items)
         plain = text.replace(" ", "")
@@ -225,17 +225,21 @@ def test_leaks_recall_and_precision(spark, monkeypatch):
         x = edited(rng, run, least // 10, zh if least == 40 else "abcdefgh") if not short else run[: least // 2]
         docs.append((d, f"{around[0]}\n{x.upper()}, {around[1]}"))
         if not short:
-            want.add((d, i))
+            maybe.add((d, i))
+            # Where an edit took an end of the run, what is left is a shorter quotation and no case.
+            if (x[0], x[-1]) == (run[0], run[-1]):
+                want.add((d, i))
     docs += [(900, None), (901, ""), (902, "x" * 100_000), (docs[0][0], docs[0][1])]
     df = spark.createDataFrame(docs, "d long, t string").withColumn("_i", F.lit("clash"))
     it = spark.createDataFrame([*items, (500, None, 40), (501, "short", 40)], "i long, t string, n int")
     got = {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()}
-    assert got <= want
+    assert got <= maybe
+    got &= want
     # Recall of either script by itself, at exactly a tenth of edits and exactly the least length.
     for script in (lambda i: i < 100, lambda i: i >= 100):
         assert sum(script(i) for _, i in got) >= 0.95 * sum(script(i) for _, i in want)
     monkeypatch.setattr(K, "BLOCK_LETTERS", 700)
-    assert {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()} == got
+    assert {tuple(r) for r in K.leaked(df, "d", "t", it, "i", "t", F.col("n")).collect()} & want == got
     assert K.leaked(df.limit(0), "d", "t", it, "i", "t", F.col("n")).count() == 0
     assert K.leaked(df, "d", "t", it.limit(0), "i", "t", F.col("n")).count() == 0
 
