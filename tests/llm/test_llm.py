@@ -300,7 +300,7 @@ def test_garbled(spark):
     assert len(found) >= 0.9 * len(bad), [bad[d] for d in set(bad) - found]
     back = {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()}
     whole = [d for d, (t, c) in bad.items() if c in ("utf_8>cp1252", "utf_8>cp1252,utf_8>cp1252", "gbk>cp1252") and d in back]
-    assert sum(back[d] == bad[d][0] for d in whole) >= 0.8 * len(whole)
+    assert sum(back[d] == bad[d][0] for d in whole) >= 0.8 * len(whole), [(bad[d], back[d]) for d in whole if back[d] != bad[d][0]]
     assert G.garbled_tokens(df.limit(0), "d", "t").count() == 0
 
 
@@ -351,9 +351,10 @@ def test_garbled_clean_words_beside_suspects(spark):
     df = spark.createDataFrame(rows, "d long, t string")
     words = {r["_w"] for r in G.clean_words(df.select(F.col("t").alias("_t"))).collect()}
     assert {"网", "网格", "木槌", "р", "о", "ü", "ß", "Grüße", "grün"} <= words
-    assert "GrÃ¼n" not in words
-    found = {r["d"] for r in G.garbled_tokens(df, "d", "t").select("d").collect()}
-    assert found == {2, *range(100, 107)}
+    tokens = G.garbled_tokens(df, "d", "t").collect()
+    assert {r["d"] for r in tokens} == {2, *range(100, 107)}
+    # A garbled word is no original, though it is among the words.
+    assert not {"GrÃ¼n", "FÃ¼ÃŸe"} & {r["word"] for r in tokens}
 
 
 def test_report_counts_shared_recordings(spark, tmp_path):
@@ -376,3 +377,21 @@ def test_garbled_lone_letters_and_long_words(spark, chain):
     tokens = G.garbled_tokens(df, "d", "t")
     assert {r["d"] for r in tokens.collect()} == {10, 11}
     assert {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()} == dict(bad)
+
+
+def test_garbled_all_encodings(spark):
+    """Chains between any of the encodings; a sentence that names the sign for lost signs is no case, nor are rare letters."""
+    clean = [(0, "москва слезам не верит никогда"), (1, "Die größten Übungen für Jürgen"), (2, "η γάτα κοιμάται ήσυχα"), (3, "柳河诊所的木头话筒比槐荫花房的更响亮"), (4, "The sign � stands for what was lost"), (5, "СТАНЦИЯ МЕТРО, Рёмер, Dvořák, 19 °C"), (6, "Grundstücksverkehrsgenehmigungszuständigkeitsübertragungsverordnung")]
+    bad = [(0, "cp1251>cp1252"), (0, "koi8_r>cp1251"), (0, "cp1251>koi8_r"), (0, "utf_8>iso8859_5"), (0, "utf_8>cp1251"), (0, "utf_8>cp866"), (2, "utf_8>cp1253"), (1, "utf_8>cp1253"), (1, "cp1252>cp437"), (1, "mac_roman>cp1252"), (1, "cp1252>utf_8"), (3, "utf_8>iso8859_5"), (3, "utf_8>koi8_r"), (3, "big5>cp1252"), (3, "gbk>cp1251"), (3, "gbk>utf_8")]
+    bad += [(6, f"utf_8>{d}") for d in G.DOUBLE]
+    rows = clean * 3 + [(100 + i, G.garble(dict(clean)[d], c)) for i, (d, c) in enumerate(bad)]
+    assert all(t for _, t in rows if t is not None)
+    df = spark.createDataFrame([r for r in rows if r[1] is not None], "d long, t string")
+    want = {d for d, t in rows if d >= 100 and t is not None}
+    assert {r["d"] for r in G.garbled_records(df, "d", "t").collect()} == want
+    tokens = G.garbled_tokens(df, "d", "t")
+    back = {r["d"]: r["restored"] for r in G.restored(df, "d", "t", tokens).collect()}
+    assert set(back) == want
+    whole = [d for d in want if (c := bad[d - 100][1])[:6] == "cp1251" or c in ("utf_8>iso8859_5", "cp1252>cp437")]
+    assert all(back[d] == dict(clean)[bad[d - 100][0]] for d in whole), [back[d] for d in whole]
+    assert G.garbled_records(df.limit(0), "d", "t").count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -12,38 +13,49 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stored
 from .codepoints import SIZE, from_arrow
+from .leaks import mix
 
-# Encodings that take a byte for a sign, and those that take two bytes for most.
-SINGLE = ("cp1252", "latin_1", "cp1251", "cp1250", "mac_roman", "cp437", "cp850", "koi8_r")
+# Encodings that take a byte for a sign, of Latin and of other alphabets, and those that take two for most.
+LATIN = ("cp1252", "latin_1", "cp1250", "iso8859_15", "mac_roman", "cp437", "cp850")
+OTHER = ("cp1251", "koi8_r", "iso8859_5", "cp866", "cp1253", "iso8859_7")
 DOUBLE = ("gbk", "cp932", "big5")
-#: A chain is written as steps "encoded in > decoded as". Words of one letter go through the first two sorts,
-#: whole words of alphabets through the third, pairs of ideographs through the last.
-LETTER_CHAINS = tuple(f"utf_8>{d}" for d in SINGLE) + tuple(",".join([f"utf_8>{d}"] * n) for d in ("cp1252", "latin_1") for n in (2, 3))
-LOST_CHAINS = ("cp1252>utf_8", "gbk>utf_8")
-WORD_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE)
-PAIR_CHAINS = tuple(f"utf_8>{d}" for d in DOUBLE) + tuple(f"gbk>{d}" for d in SINGLE)
+SINGLE = LATIN + OTHER
+#: Encodings in which text is garbled again and again, up to DEPTH times.
+AGAIN, DEPTH = ("cp1252", "latin_1"), 3
 LOST = "�"
 WORDS_HELD = 1 << 20
-FORMS = "_form string, chain string, word string"
+SLICE = 1024
+#: Sorts of chains, in the order in which a form's word is chosen: through UTF-8 as often as possible (else the word itself
+#: may be garbled), from two bytes, from another alphabet's byte (only where the word is more frequent than the form),
+#: and with lost signs.
+ONCE, TWO_BYTES, ONE_BYTE, LOSING = range(DEPTH - 1, DEPTH + 3)
+LETTER, PAIR, WORD = range(3)
+FORMS = "_h long, rank int, chain string, word string, form string, n long"
 
 
-def decode(raw: bytes, encoding: str) -> str:
-    """As decoders in the wild do it: bytes without a sign become the control sign of that number, or U+FFFD."""
-    if encoding in SINGLE:
-        table = _singles(encoding)
-        return "".join(table[b] for b in raw)
-    return raw.decode(encoding, "replace")
+def _chains() -> dict[int, list[tuple[int, str]]]:
+    """Chains, written as steps "encoded in > decoded as", for single letters, pairs of wide signs, and words of alphabets.
+
+    All pairs of the encodings above where one reads what the other wrote. A single letter of UTF-8 read in another
+    alphabet than the Latin is two ordinary letters there, so only pairs and words go that way.
+    """
+    once = {x: (ONCE, f"utf_8>{x}") for x in SINGLE + DOUBLE}
+    again = [(DEPTH - n, ",".join([f"utf_8>{x}"] * n)) for x in AGAIN for n in range(2, DEPTH + 1)]
+    pairs = [once[x] for x in DOUBLE + OTHER] + [(TWO_BYTES, f"{a}>{x}") for a in DOUBLE for x in SINGLE] + [(LOSING, f"{a}>utf_8") for a in DOUBLE]
+    words = [*once.values(), *again] + [(ONE_BYTE, f"{a}>{x}") for a in SINGLE for x in SINGLE if a != x] + [(LOSING, f"{a}>utf_8") for a in SINGLE]
+    return {LETTER: [once[x] for x in LATIN] + again, PAIR: pairs, WORD: words}
 
 
 @lru_cache(None)
-def _singles(encoding: str) -> list[str]:
-    out = []
-    for b in range(256):
-        try:
-            out.append(bytes([b]).decode(encoding))
-        except UnicodeDecodeError:
-            out.append(chr(b))
-    return out
+def _singles(encoding: str) -> str:
+    """The sign of each byte, as decoders in the wild have it: where there is none, the control sign of that number."""
+    return "".join(chr(b) if c == LOST else c for b, c in enumerate(bytes([b]).decode(encoding, "replace") for b in range(256)))
+
+
+def decode(raw: bytes, encoding: str) -> str:
+    if encoding in SINGLE:
+        return codecs.charmap_decode(raw, "strict", _singles(encoding))[0]
+    return raw.decode(encoding, "replace")
 
 
 def garble(word: str, chain: str) -> str | None:
@@ -59,267 +71,343 @@ def garble(word: str, chain: str) -> str | None:
 
 
 @lru_cache(1)
-def _tables() -> dict[str, np.ndarray]:
-    """Per encoding what a sign's byte is: for single bytes the byte, or 0; for double bytes the first of two where the
-    second is such as may follow it in UTF-8, or 0."""
-    out = {}
+def _tables() -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], dict[str, np.ndarray], np.ndarray]:
+    """Per single-byte encoding a sign's byte, or 0; per double-byte one the signs that may begin a wide sign's UTF-8, and
+    those that may follow there; and the signs of any of the single-byte ones."""
+    single, begins, follows = {}, {}, {}
+    some = np.zeros(SIZE, bool)
     for d in SINGLE:
-        t = np.zeros(SIZE, np.uint8)
-        for b, ch in enumerate(_singles(d)):
-            if b >= 0x80:
-                t[ord(ch)] = b
-        out[d] = t
+        single[d] = np.zeros(SIZE, np.uint8)
+        for b in range(0x80, 0x100):
+            single[d][ord(_singles(d)[b])] = b
+        some |= single[d] > 0
     for d in DOUBLE:
-        t = np.zeros(SIZE, np.uint8)
-        for a in range(0xE3, 0xEA):
-            for b in range(0x80, 0xC0):
-                try:
-                    ch = bytes([a, b]).decode(d)
-                except UnicodeDecodeError:
-                    continue
-                if len(ch) == 1:
-                    t[ord(ch)] = a
-        out[d] = t
-    return out
+        begins[d], follows[d] = np.zeros(SIZE, bool), np.zeros(SIZE, bool)
+        rest = range(0x80, 0xC0)
+        heads = range(0xE2, 0xF0)
+        raws = [(begins, bytes([a, b])) for a in heads for b in rest] + [(follows, bytes([b])) for b in [*rest, *heads]]
+        raws += [(follows, bytes([a, b])) for a in [*rest, *heads] for b in [*rest, *heads]]
+        for where, raw in raws:
+            out = raw.decode(d, "replace")
+            if len(out) == 1:
+                where[d][ord(out)] = True
+        begins[d][0xFFFD], follows[d][0xFFFD] = False, True
+        if d == "cp932":
+            # Its single bytes read the UTF-8's first byte too.
+            begins[d][[ord(bytes([a]).decode(d, "replace")[0]) for a in range(0xC2, 0xE0)]] = True
+    return single, begins, follows, some
+
+
+class Hashes:
+    """Hashes of any stretches of a row of letters, without making the stretches."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        n = len(codes)
+        power, self.back = _powers(1 << max(10, n.bit_length()))
+        self.upto = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(codes) * power[:n], out=self.upto[1:])
+
+    def of(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return mix((self.upto[first + n] - self.upto[first]) * self.back[first] ^ n.astype(np.uint64)).view(np.int64)
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        p = np.full(n, x, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    return out[0], out[1]
+
+
+def hashes_of(texts: list[str]) -> np.ndarray:
+    codes, offsets = from_arrow(pa.array(texts, pa.string()))
+    return Hashes(codes).of(offsets[:-1], np.diff(offsets))
 
 
 def _row_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
-def _mixed(codes: np.ndarray, offsets: np.ndarray, east: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first, length) of words, bounded by ASCII blanks and signs, of ASCII letters or digits and other letters:
-    with ideographs or half-width kana among these (east), or without. A word of one letter, which may be garbled to
-    an ordinary ideograph, comes with the word before or after it."""
+def _wide(codes: np.ndarray) -> np.ndarray:
+    return (codes >= 0x2E80) & (codes < 0x10000) & (codes != 0xFFFD) | (codes >= 0x20000)
+
+
+def _runs(codes: np.ndarray, row: np.ndarray, clean: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(first, length) of words with a sign beyond ASCII, bounded by ASCII blanks and signs; of clean words those without
+    wide signs, which belong to no alphabet. A lone letter, which may be garbled to an ordinary sign, comes with the
+    word before or after it."""
     ascii_ = codes < 0x80
     plain = ascii_ & ((codes >= 0x30) & (codes < 0x3A) | ((codes | 32) >= 0x61) & ((codes | 32) < 0x7B))
-    inside = plain | ~ascii_
-    none = np.zeros(0, np.int64)
-    if not inside.any():
-        return none, none, none
-    row = _row_of(offsets)
-    at = np.flatnonzero(inside)
-    head = np.r_[True, (np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]])]
-    begin = np.flatnonzero(head)
-    wide = (codes[at] >= 0x3000) & (codes[at] != 0xFFFD)
+    at = np.flatnonzero(plain | ~ascii_)
+    if not len(at):
+        return at, at
+    begin = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]])])
     n = np.diff(np.r_[begin, len(at)])
-    wides, plains = np.add.reduceat(wide.astype(np.int64), begin), np.add.reduceat(plain[at].astype(np.int64), begin)
-    ok = (plains > 0) & (plains < n) & ((wides > 0) if east else (wides == 0))
-    # Such words: one sign, garbled up to four; the neighbour must have an ASCII letter or digit.
-    fit = (wides > 0) if east else (wides == 0)
-    lone = np.flatnonzero((plains == 0) & (n <= (4 if east else 1)) & fit)
-    first, last = at[begin], at[begin] + n
+    plains = np.add.reduceat(plain[at].astype(np.int64), begin)
+    fit = np.add.reduceat(_wide(codes[at]).astype(np.int64), begin) == 0 if clean else np.ones(len(begin), bool)
+    first = at[begin]
+    ok = (plains < n) & fit & (n > 1)
+    lone = np.flatnonzero((plains == 0) & (n <= (1 if clean else 4)) & fit)
     out = [(first[ok], n[ok])]
     for a, b in ((lone[lone > 0] - 1, lone[lone > 0]), (lone[lone < len(n) - 1], lone[lone < len(n) - 1] + 1)):
-        # A whole word of the garbled side may have no ideographs, one of the clean side never has.
-        some = (row[first[a]] == row[first[b]]) & (plains[a] + plains[b] > 0)
-        if not east:
-            some &= wides[a] + wides[b] == 0
-        out.append((first[a[some]], last[b[some]] - first[a[some]]))
-    first, length = (np.concatenate(x) for x in zip(*out, strict=True))
-    return row[first], first, length
-
-
-def suspects(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first, length) of stretches that could be garbled forms of words, by the bytes they would stand for."""
-    tables, row = _tables(), _row_of(offsets)
-    high = np.flatnonzero(codes >= 0x80)
-    none = np.zeros(0, np.int64)
-    if not len(high):
-        return none, none, none
+        some = (row[first[a]] == row[first[b]]) & (plains[a] + plains[b] > 0) & fit[a] & fit[b]
+        out.append((first[a[some]], first[b[some]] + n[b[some]] - first[a[some]]))
+    first, n = (np.concatenate(x) for x in zip(*out, strict=True))
+    return first, n
+
+
+def _sequences(b: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """How long a UTF-8 sequence of bytes b begins at each place, or 0."""
+    size = len(b)
+    b = np.r_[b, np.zeros(4, np.uint8)]
+    follows = (b & 0xC0) == 0x80
+    n = np.zeros(size, np.int64)
+    for k, low, top in ((2, 0xC2, 0xDF), (3, 0xE0, 0xEF), (4, 0xF0, 0xF4)):
+        ok = (b[:size] >= low) & (b[:size] <= top) & (left >= k)
+        for i in range(1, k):
+            ok &= follows[i : i + size]
+        n[ok] = k
+    return n
+
+
+def _left(at: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """How many of the places at follow each other from each on, within a row."""
+    end = np.r_[np.flatnonzero((np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]])), len(at) - 1]
+    return end[np.searchsorted(end, np.arange(len(at)))] - np.arange(len(at)) + 1
+
+
+def suspects(codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, length) of stretches that could be garbled forms of letters or pairs, by the bytes they would stand for."""
+    single, begins, follows, some = _tables()
     starts, lengths = [], []
-    # Only signs beyond ASCII matter: c[i] is the sign at at[i]; run[i] tells how many of them follow each other.
-    end = np.r_[np.flatnonzero((np.diff(high) != 1) | (row[high[1:]] != row[high[:-1]])), len(high) - 1]
-    left = end[np.searchsorted(end, np.arange(len(high)))] - np.arange(len(high)) + 1
-    c = codes[high]
-    for d in SINGLE:
-        b = np.r_[tables[d][c], np.zeros(4, np.uint8)]
-        follows = (b & 0xC0) == 0x80
-        n = np.zeros(len(c), np.int64)
-        for k, (low, top) in ((2, (0xC2, 0xDF)), (3, (0xE0, 0xEF)), (4, (0xF0, 0xF4))):
-            ok = (b[: len(c)] >= low) & (b[: len(c)] <= top) & (left >= k)
-            for i in range(1, k):
-                ok &= follows[i : i + len(c)]
-            n[ok] = k
-        at = np.flatnonzero(n)
-        starts.append(at), lengths.append(n[at])
-        if d in ("cp1252", "latin_1") and len(at):
-            # Letters garbled more than once are several such stretches on end.
-            after = np.full(len(c) + 5, -1)
-            after[at] = at + n[at]
-            origin, stop = at, at + n[at]
-            for _ in range(7):
-                more = after[stop] >= 0
-                more &= left[origin] > stop - origin
-                origin, stop = origin[more], after[stop[more]]
-                starts.append(origin), lengths.append(stop - origin)
-        # Pairs of ideographs in two bytes each.
-        pair = (b[: len(c)] >= 0xA1) & (b[: len(c)] <= 0xFE)
-        four = np.r_[pair, np.zeros(4, bool)]
-        ok = pair & four[1 : 1 + len(c)] & four[2 : 2 + len(c)] & four[3 : 3 + len(c)] & (left >= 4)
-        at = np.flatnonzero(ok)
-        starts.append(at), lengths.append(np.full(len(at), 4))
-    for d in DOUBLE:
-        at = np.flatnonzero(tables[d][c] > 0)
-        for k in (3, 4):
-            some = at[left[at] >= k]
-            starts.append(some), lengths.append(np.full(len(some), k))
-    at = np.flatnonzero(c == 0xFFFD)
-    starts.append(at), lengths.append(np.ones(len(at), np.int64))
-    first, n = high[np.concatenate(starts)], np.concatenate(lengths)
-    return row[first], first, n
+    at = np.flatnonzero(some[codes])
+    if len(at):
+        left, c = _left(at, row), codes[at]
+        for d in SINGLE:
+            b = single[d][c]
+            n = _sequences(b, left)
+            if d in LATIN:
+                hit = np.flatnonzero(n)
+                starts.append(at[hit]), lengths.append(n[hit])
+                if d in AGAIN and len(hit):
+                    # Letters garbled more than once are several sequences on end: of four at most for the first time,
+                    # so of 12 at most for the third.
+                    after = np.full(len(c) + 5, -1)
+                    after[hit] = hit + n[hit]
+                    origin, stop = hit, hit + n[hit]
+                    for _ in range(4 * 3 ** (DEPTH - 2) - 1):
+                        more = (after[stop] >= 0) & (left[origin] > stop - origin)
+                        origin, stop = origin[more], after[stop[more]]
+                        starts.append(at[origin]), lengths.append(stop - origin)
+            else:
+                # Two wide signs on end.
+                three = np.r_[n == 3, np.zeros(3, bool)]
+                hit = np.flatnonzero(three[: len(n)] & three[3:] & (left >= 6))
+                starts.append(at[hit]), lengths.append(np.full(len(hit), 6))
+            # Two wide signs in two bytes each.
+            high = np.r_[b >= 0x81, np.zeros(4, bool)]
+            hit = np.flatnonzero(high[: len(c)] & high[1 : 1 + len(c)] & high[2 : 2 + len(c)] & high[3 : 3 + len(c)] & (left >= 4))
+            starts.append(at[hit]), lengths.append(np.full(len(hit), 4))
+    at = np.flatnonzero(codes >= 0x80)
+    if len(at):
+        left, c = _left(at, row), codes[at]
+        for d in DOUBLE:
+            on = np.r_[follows[d][c], np.zeros(5, bool)]
+            hit = np.flatnonzero(begins[d][c] & on[1 : 1 + len(c)])
+            for k in (2, 3, 4, 5):
+                hit = hit[(left[hit] >= k) & on[hit + k - 1]]
+                if k > 2:
+                    starts.append(at[hit]), lengths.append(np.full(len(hit), k))
+        # What is left of signs of two bytes read as UTF-8: lost ones, and others of two bytes between them.
+        lost = np.r_[c == 0xFFFD, np.zeros(4, bool)]
+        pale = np.r_[(c == 0xFFFD) | (c < 0x800), np.zeros(4, bool)]
+        for k in (2, 3, 4):
+            ok, any_, all_ = left >= k, np.zeros(len(c), bool), np.ones(len(c), bool)
+            for i in range(k):
+                ok, any_, all_ = ok & pale[i : i + len(c)], any_ | lost[i : i + len(c)], all_ & lost[i : i + len(c)]
+            hit = np.flatnonzero(ok & any_ & ~all_)
+            starts.append(at[hit]), lengths.append(np.full(len(hit), k))
+    if not starts:
+        return at, at
+    return np.concatenate(starts), np.concatenate(lengths)
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for whole in batches:
+        for a in range(0, whole.num_rows, SLICE):
+            b = whole.slice(a, SLICE)
+            codes, offsets = from_arrow(b.column("_t"))
+            if len(codes):
+                yield b, codes, offsets
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_d, _h): hashes of all stretches of a text that could be garbled forms; one of equal ones in a row is enough."""
+    for b, codes, offsets in _sliced(batches):
+        row = _row_of(offsets)
+        first, n = (np.concatenate(x) for x in zip(suspects(codes, row), _runs(codes, row, False), strict=True))
+        if len(first):
+            h = Hashes(codes).of(first, n)
+            by = np.lexsort((h, row[first]))
+            h, r = h[by], row[first][by]
+            new = np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])]
+            yield pa.RecordBatch.from_arrays([b.column("_d").take(pa.array(r[new])), pa.array(h[new])], names=["_d", "_h"])
 
 
-def _found():
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, 1024):
-                b = whole.slice(a, 1024)
-                codes, offsets = from_arrow(b.column("_t"))
-                row, first, n = (np.concatenate(x) for x in zip(suspects(codes, offsets), _mixed(codes, offsets, True), strict=True))
-                if not len(row):
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_w, _kind, n): the distinct letters beyond ASCII, pairs of adjacent wide signs, and words of alphabets, with how often
+    a word comes."""
+    held, words = np.zeros(0, np.int64), {}
+
+    def out() -> pa.RecordBatch:
+        made = [chr(w >> 21) + chr(w & 0x1FFFFF) if w >> 21 else chr(w) for w in held.tolist()]
+        kinds = [PAIR if len(w) == 2 else LETTER for w in made] + [WORD] * len(words)
+        return pa.RecordBatch.from_arrays([pa.array([*made, *words], pa.string()), pa.array(kinds, pa.int32()), pa.array([1] * len(made) + list(words.values()), pa.int64())], names=["_w", "_kind", "n"])
+
+    for _, codes, offsets in _sliced(batches):
+        row, c = _row_of(offsets), codes.astype(np.int64)
+        wide = _wide(codes)
+        both = np.flatnonzero(wide[:-1] & wide[1:] & (row[1:] == row[:-1]))
+        fresh = (c >= 0x80) & (c != 0xFFFD)
+        held = np.unique(np.r_[held, c[fresh], c[both] << 21 | c[both + 1]])
+        first, n = _runs(codes, row, True)
+        if len(first):
+            _, one, count = np.unique(Hashes(codes).of(first, n), return_index=True, return_counts=True)
+            text = codes.astype("<u4").tobytes().decode("utf-32-le")
+            for x, k, m in zip(first[one].tolist(), n[one].tolist(), count.tolist(), strict=True):
+                w = text[x : x + k]
+                words[w] = words.get(w, 0) + m
+        if len(held) + len(words) > WORDS_HELD:
+            yield out()
+            held, words = held[:0], {}
+    yield out()
+
+
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct garbled forms of each word, each with the surest of its chains."""
+    chains = _chains()
+    for b in batches:
+        out: list[tuple] = []
+        for word, kind, n in zip(*(b.column(c).to_pylist() for c in ("_w", "_kind", "n")), strict=True):
+            made: dict[str, tuple] = {}
+            for rank, chain in chains[kind]:
+                # A word of few letters reads as an ordinary one in another alphabet.
+                if rank == ONE_BYTE and len(word) < 4:
                     continue
-                text = codes.astype("<u4").tobytes().decode("utf-32-le")
-                # One of equal stretches in a row is enough.
-                tokens = {(r, text[x : x + k]) for r, x, k in zip(row.tolist(), first.tolist(), n.tolist())}
-                rows, forms = zip(*tokens, strict=True)
-                yield pa.RecordBatch.from_arrays([b.column("_d").take(pa.array(rows)), pa.array(forms)], names=["_d", "_form"])
+                form = garble(word, chain)
+                # Lost signs alone say nothing of the word; with its other signs around them they do.
+                if form and (rank != LOSING or LOST in form and form.strip(LOST)):
+                    made.setdefault(form, (rank, chain, word, form, n))
+            out += made.values()
+        if out:
+            rank, chain, word, form, n = zip(*out, strict=True)
+            h = hashes_of(list(form))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n)], names=FORM_NAMES)
 
-    return run
 
+FORM_NAMES = [c.split()[0] for c in FORMS.split(", ")]
 
-def _marked(size: int, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Which of so many places lie in one of the stretches."""
-    return np.cumsum(np.bincount(first, minlength=size + 1) - np.bincount(first + n, minlength=size + 1))[:size] > 0
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(hashes_of(b.column("_w").to_pylist())), b.column("n")], names=["_h", "_often"])
 
-def _clean(codes: np.ndarray, offsets: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, set[str], set[str]]:
-    """What lies outside the marked places: letters beyond ASCII and pairs of adjacent ideographs, as numbers, and words
-    of ASCII and other letters; and such words that hold a marked place."""
-    row, c = _row_of(offsets), codes.astype(np.int64)
-    use = ~marked & (codes >= 0x80)
-    han = use & (c >= 0x3400) & (c < 0xA000)
-    both = np.flatnonzero(han[:-1] & han[1:] & (row[1:] == row[:-1])) if len(c) > 1 else np.zeros(0, int)
-    at, first, n = _mixed(codes, offsets, False)
-    words, hit = set(), set()
-    if len(at):
-        text = codes.astype("<u4").tobytes().decode("utf-32-le")
-        upto = np.r_[0, np.cumsum(marked)]
-        for x, k, m in zip(first.tolist(), n.tolist(), (upto[first + n] - upto[first]).tolist(), strict=True):
-            (hit if m else words).add(text[x : x + k])
-    return np.unique(np.r_[c[use], c[both] << 21 | c[both + 1]]), words, hit
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(hashes_of(b.column("_w").to_pylist())), b.column("_w")], names=["_h", "word"])
 
-def _made(held: np.ndarray) -> list[str]:
-    return [chr(w >> 21) + chr(w & 0x1FFFFF) if w >> 21 else chr(w) for w in held.tolist()]
 
+def clean_words(rows: DataFrame) -> DataFrame:
+    """(_w, _kind, n): distinct words of the texts _t, with counts.
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of texts outside suspect stretches: letters beyond ASCII, pairs of adjacent ideographs, and words
-    of ASCII and other letters. As _open, what is still to be decided: suspect stretches that overlap or touch, with a
-    sign on either side, and words with such a stretch."""
-    held, words, opened = np.zeros(0, np.int64), set(), set()
+    Words of garbled texts are among them: their forms are those of texts garbled twice. Only a chain from one
+    single-byte encoding to another can lead back to a clean word; forms() counts those out.
+    """
+    return rows.select("_t").mapInArrow(_words, "_w string, _kind int, n long").groupBy("_w", "_kind").agg(F.sum("n").alias("n"))
 
-    def out() -> pa.RecordBatch:
-        w = [*_made(held), *words]
-        return pa.RecordBatch.from_arrays([pa.array([*w, *opened], pa.string()), pa.array([False] * len(w) + [True] * len(opened))], names=["_w", "_open"])
 
-    for whole in batches:
-        for a in range(0, whole.num_rows, 1024):
-            codes, offsets = from_arrow(whole.slice(a, 1024).column("_t"))
-            _, first, n = suspects(codes, offsets)
-            marked = _marked(len(codes), first, n)
-            more, plain, hit = _clean(codes, offsets, marked)
-            held = np.unique(np.r_[held, more])
-            words |= plain
-            opened |= hit
-            at = np.flatnonzero(marked)
-            if len(at):
-                row = _row_of(offsets)
-                head = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]])])
-                begin, end = at[head], at[np.r_[head[1:], len(at)] - 1] + 1
-                begin, end = np.maximum(begin - 1, offsets[row[begin]]), np.minimum(end + 1, offsets[row[begin] + 1])
-                text = codes.astype("<u4").tobytes().decode("utf-32-le")
-                opened.update(text[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True))
-            if len(held) + len(words) + len(opened) > WORDS_HELD:
-                yield out()
-                held, words, opened = held[:0], set(), set()
-    yield out()
+def forms(words: DataFrame) -> DataFrame:
+    """(_h, rank, chain, word, form, n) of the words' garbled forms, without those as frequent as the word."""
+    made = words.mapInArrow(_forms, FORMS)
+    often = words.where(F.col("_kind") == WORD).select("_w", "n").mapInArrow(_hashed, "_h long, _often long").groupBy("_h").agg(F.max("_often").alias("_often"))
+    read = made.where(F.col("rank") == ONE_BYTE).join(often, "_h", "left").where("n > coalesce(_often, 0)").drop("_often")
+    return made.where(F.col("rank") != ONE_BYTE).unionByName(read)
 
 
-def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of undecided stretches _t outside those forms _x of theirs that are garbled."""
-    for b in batches:
-        codes, offsets = from_arrow(b.column("_t"))
-        row, first, n = suspects(codes, offsets)
-        text, known = codes.astype("<u4").tobytes().decode("utf-32-le"), [{"\N{REPLACEMENT CHARACTER}", *(x or ())} for x in b.column("_x").to_pylist()]
-        bad = np.array([text[x : x + k] in known[r] for r, x, k in zip(row.tolist(), first.tolist(), n.tolist(), strict=True)], bool)
-        held, words, _ = _clean(codes, offsets, _marked(len(codes), first[bad], n[bad]))
-        yield pa.RecordBatch.from_arrays([pa.array([*_made(held), *words], pa.string())], names=["_w"])
+def _texts(df: DataFrame, ident: str, text: str) -> DataFrame:
+    return df.select(F.col(ident).alias("_d"), F.col(text).alias("_t")).where("_d IS NOT NULL AND _t <> ''")
 
 
-def clean_words(rows: DataFrame) -> DataFrame:
-    """(_w): distinct clean words of the texts _t. Suspect stretches are left out only where a first pass, with the words
-    outside all of them, shows them to be garbled forms."""
-    found = stored(rows.select("_t").mapInArrow(_words, "_w string, _open boolean").distinct())
-    sure, opened = found.where("NOT _open").select("_w"), found.where("_open").select(F.col("_w").alias("_t"))
-    forms = sure.mapInArrow(_forms, FORMS).select("_form").distinct()
-    # A hash names a stretch; two that share one only see each other's garbled forms too, which are such anywhere.
-    opened = opened.withColumn("_d", F.xxhash64("_t"))
-    hits = opened.select("_d", "_t").mapInArrow(_found(), "_d long, _form string").join(forms, "_form", "left_semi")
-    per = hits.groupBy("_d").agg(F.collect_set("_form").alias("_x"))
-    return sure.unionByName(opened.join(per, "_d", "left").select("_t", "_x").mapInArrow(_rest, "_w string")).distinct()
+def garbled_records(df: DataFrame, ident: str, text: str) -> DataFrame:
+    """(ident), distinct: records with a stretch that is a garbled form of a word of all of df, as garbled_tokens() has it."""
+    return _hits(df, ident, text)[0].select(F.col("_d").alias(ident)).distinct()
 
 
-def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for word in b.column("_w").to_pylist():
-            pair = len(word) == 2 and min(word) >= "\u3400"
-            for chain in PAIR_CHAINS if pair else LETTER_CHAINS + LOST_CHAINS if len(word) == 1 else WORD_CHAINS:
-                form = garble(word, chain)
-                # A form that lost signs is known by them alone, whatever the word was.
-                if form and chain in LOST_CHAINS:
-                    form = LOST if LOST in form else None
-                if form:
-                    out.append((form, chain, word))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["_form", "chain", "word"])
+def _hits(df: DataFrame, ident: str, text: str) -> tuple[DataFrame, DataFrame]:
+    rows = _texts(df, ident, text)
+    words = stored(clean_words(rows))
+    tokens = rows.mapInArrow(_found, f"_d {df.schema[ident].dataType.simpleString()}, _h long")
+    return tokens.join(forms(words).select("_h").distinct(), "_h"), words
 
 
 def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
-    """(ident, form, chain, word), distinct: stretches of texts that are garbled forms of clean words of all of df.
+    """(ident, form, chain, word, sure), distinct: stretches of texts that are garbled forms of words of all of df.
 
     Null and empty texts, and null ids, are left out; a foreign or rare sign is no case, as it is no garbled
-    form of a word; repeated rows count once; other columns aren't read; texts are read whole. chain is one of
-    the encoding chains that give this form, word an original of it (the least one, where several have it; then
-    the form can't be restored with certainty).
+    form of a word, nor is a sign that names a lost one; repeated rows count once; other columns aren't read; texts are
+    read whole. Stretches are found by a hash of 64 bits, so nothing but hashes is shuffled. chain is the surest
+    encoding chain that gives this form, word its original; sure is false where that chain's sort has several.
     """
-    rows = df.select(F.col(ident).alias("_d"), F.col(text).alias("_t")).where("_d IS NOT NULL AND _t <> ''")
-    forms = clean_words(rows).mapInArrow(_forms, FORMS)
-    forms = forms.groupBy("_form").agg(F.min(F.struct("chain", "word")).alias("_x"), (F.min("word") == F.max("word")).alias("sure"))
-    tokens = rows.mapInArrow(_found(), f"_d {df.schema[ident].dataType.simpleString()}, _form string")
-    out = tokens.join(forms, "_form").select(F.col("_d").alias(ident), F.col("_form").alias("form"), "_x.chain", "_x.word", "sure")
-    return out.distinct()
-
-
-def _restore(text: str, forms: list[str], chains: list[str], words: list[str], sure: list[bool]) -> str:
-    """Runs are decoded back along the chain that was found; single stretches are replaced by their words."""
-    pairs = {c for c, w in zip(chains, words, strict=True) if c in PAIR_CHAINS and len(w) == 2}
+    hits, words = _hits(df, ident, text)
+    hits = stored(hits)
+    made = forms(words)
+    some = stored(made.join(hits.select("_h").distinct(), "_h", "left_semi"))
+    # Words that are garbled forms themselves are originals only where there is no other.
+    names = some.select(F.col("word").alias("_w")).distinct().mapInArrow(_named, "_h long, word string")
+    again = names.join(made.where(F.col("rank") <= ONCE).select("_h"), "_h", "left_semi").select("word", F.lit(True).alias("_again")).distinct()
+    some = some.join(again, "word", "left").withColumn("_order", F.struct(F.coalesce("_again", F.lit(False)).alias("again"), "rank"))
+    best = some.groupBy("_h").agg(F.min(F.struct("_order", "chain", "word", "form")).alias("_x"))
+    best = best.join(some.select("_h", F.col("_order").alias("_r"), F.col("word").alias("_w")), "_h").where("_r = _x._order")
+    best = best.groupBy("_h").agg(F.first("_x").alias("_x"), (F.min("_w") == F.max("_w")).alias("sure"))
+    return hits.join(best, "_h").select(F.col("_d").alias(ident), "_x.form", "_x.chain", "_x.word", "sure").distinct()
+
+
+def _restore(text: str, found: list[dict]) -> str:
+    """Letters first, the surest; then runs are decoded back along the chain that was found for pairs of signs, and other
+    stretches replaced by their words."""
+    sure = {x["form"]: x["word"] for x in found if x["sure"] and LOST not in x["form"]}
+    text = _replaced(text, {f: w for f, w in sure.items() if len(w) == 1})
+    pairs = {x["chain"] for x in found if len(x["word"]) == 2 and _wide(np.array(list(map(ord, x["word"])))).all() and not x["chain"].endswith(">utf_8")}
     # Forms that both encodings have in common name the one; the rest of a run may need the other.
     pairs |= {c.replace("cp1252", "latin_1") for c in pairs}
     for chain in sorted(pairs):
         source, target = chain.split(">")
         text = re.sub(r"[^\x00-\x7f�]{3,}", lambda m: _back(m[0], source, target), text)
-    known = {f: w for f, c, w, s in zip(forms, chains, words, sure, strict=True) if s and LOST not in f and not (c in pairs and len(w) == 2)}
-    if known:
-        text = re.sub("|".join(map(re.escape, sorted(known, key=len, reverse=True))), lambda m: known[m[0]], text)
-    return text
+    known = {f: w for f, w in sure.items() if len(w) > 1 and not _wide(np.array(list(map(ord, w)))).all()}
+    if not known:
+        return text
+    # Short words say too little to be known by themselves; among known ones they went the same way.
+    ways = {x["chain"] for x in found if x["form"] in known and "," not in x["chain"] and all(e in SINGLE for e in x["chain"].split(">"))}
+    lines = text.split("\n")
+    for source, target in (c.split(">") for c in sorted(ways)):
+        for i, line in enumerate(lines):
+            words = [m for m in re.findall(r"[^\W_]*[^\x00-\x7f](?:[^\x00-\x7f]|[^\W_])*", line) if m not in known]
+            if len(words) * 2 < sum(line.count(f) for f in known if len(f) > 3):
+                lines[i] = line = re.sub("|".join(map(re.escape, [*sorted(known, key=len, reverse=True), *words])), lambda m: known.get(m[0]) or _back(m[0], source, target), line)
+    return _replaced("\n".join(lines), known)
+
+
+def _replaced(text: str, known: dict[str, str]) -> str:
+    return re.sub("|".join(map(re.escape, sorted(known, key=len, reverse=True))), lambda m: known[m[0]], text) if known else text
 
 
 def _back(run: str, source: str, target: str) -> str:
     try:
-        raw = b"".join(bytes([_singles(target).index(ch)]) for ch in run) if target in SINGLE else run.encode(target)
+        raw = bytes(_singles(target).index(ch) for ch in run) if target in SINGLE else run.encode(target)
     except (ValueError, UnicodeEncodeError):
         return run
     # Where signs were lost at a run's ends, up to three bytes there belong to them.
@@ -341,10 +429,9 @@ def restored(df: DataFrame, ident: str, text: str, tokens: DataFrame) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t, x in zip(b.column("_t").to_pylist(), b.column("_x").to_pylist(), strict=True):
-                out.append(_restore(t, *([y[k] for y in x] for k in ("form", "chain", "word", "sure"))))
-            chains = [sorted({y["chain"] for y in x}) for x in b.column("_x").to_pylist()]
+            found = b.column("_x").to_pylist()
+            out = [_restore(t, x) for t, x in zip(b.column("_t").to_pylist(), found, strict=True)]
+            chains = [sorted({y["chain"] for y in x}) for x in found]
             yield pa.RecordBatch.from_arrays([b.column("_d"), pa.array(chains, pa.list_(pa.string())), pa.array(out, pa.string())], names=[ident, "chains", "restored"])
 
     rows = df.select(F.col(ident).alias("_d"), F.col(text).alias("_t")).where("_t <> ''")

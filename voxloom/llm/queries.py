@@ -10,7 +10,7 @@ from ..session import stored
 from .capping import dropped_by_cap
 from .common import LATEST_SQL, SCORED_SQL, latest_rows, scored_rows
 from .cutoffs import below_cutoff, cutoffs
-from .garbled import garbled_tokens, restored
+from .garbled import garbled_records, garbled_tokens, restored
 from .grouping import assign_splits, linked_groups
 from .leaks import leaked
 from .lookalike import alike_pairs
@@ -174,7 +174,7 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("p10_found")
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return garbled_tokens(table(spark, folder, "documents"), "doc_id", "text").select("doc_id").distinct()
+    return garbled_records(table(spark, folder, "documents"), "doc_id", "text")
 
 
 @REGISTRY.query("p10_restored")
