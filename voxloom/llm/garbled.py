@@ -24,7 +24,7 @@ SINGLE = LATIN + OTHER
 AGAIN, DEPTH = ("cp1252", "latin_1"), 3
 LOST = "�"
 WORDS_HELD = 1 << 20
-SLICE = 1024
+SLICE = 512
 #: Sorts of chains, in the order in which a form's word is chosen: through UTF-8 as often as possible (else the word itself
 #: may be garbled), from two bytes, from another alphabet's byte (only where the word is more frequent than the form),
 #: and with lost signs.
@@ -286,26 +286,44 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct garbled forms of each word, each with the surest of its chains."""
-    chains = _chains()
-    for b in batches:
-        out: list[tuple] = []
-        for word, kind, n in zip(*(b.column(c).to_pylist() for c in ("_w", "_kind", "n")), strict=True):
-            made: dict[str, tuple] = {}
-            for rank, chain in chains[kind]:
-                # A word of few letters reads as an ordinary one in another alphabet.
-                if rank == ONE_BYTE and len(word) < 4:
-                    continue
-                form = garble(word, chain)
-                # Lost signs alone say nothing of the word; with its other signs around them they do.
-                if form and (rank != LOSING or LOST in form and form.strip(LOST)):
-                    made.setdefault(form, (rank, chain, word, form, n))
-            out += made.values()
-        if out:
-            rank, chain, word, form, n = zip(*out, strict=True)
-            h = hashes_of(list(form))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n)], names=FORM_NAMES)
+def _garbled(word: str, chains: list[tuple[int, str]]) -> dict[str, tuple[int, str]]:
+    """The distinct forms of word, each with the surest of its chains; what is encoded alike is encoded once."""
+    raws: dict[str, bytes | None] = {}
+    made: dict[str, tuple[int, str]] = {}
+    for rank, chain in chains:
+        source, _, target = chain.partition(">")
+        if "," in target:
+            form = garble(word, chain)
+        else:
+            if source not in raws:
+                try:
+                    raws[source] = word.encode(source)
+                except UnicodeEncodeError:
+                    raws[source] = None
+            raw = raws[source]
+            form = None if raw is None else decode(raw, target)
+        # Lost signs alone say nothing of the word; with its other signs around them they do.
+        if form and form != word and (rank != LOSING or LOST in form and form.strip(LOST)):
+            made.setdefault(form, (rank, chain))
+    return made
+
+
+def _forms(read: bool):
+    """Forms of words: of those chains from one single-byte encoding to another, or of all other chains."""
+    chains = {k: [x for x in v if (x[0] == ONE_BYTE) == read] for k, v in _chains().items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, SLICE):
+                b = whole.slice(a, SLICE)
+                out: list[tuple] = []
+                for word, kind, n in zip(*(b.column(c).to_pylist() for c in ("_w", "_kind", "n")), strict=True):
+                    out += [(rank, chain, word, form, n) for form, (rank, chain) in _garbled(word, chains[kind]).items()]
+                if out:
+                    rank, chain, word, form, n = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes_of(list(form))), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n)], names=FORM_NAMES)
+
+    return run
 
 
 FORM_NAMES = [c.split()[0] for c in FORMS.split(", ")]
@@ -332,10 +350,11 @@ def clean_words(rows: DataFrame) -> DataFrame:
 
 def forms(words: DataFrame) -> DataFrame:
     """(_h, rank, chain, word, form, n) of the words' garbled forms, without those as frequent as the word."""
-    made = words.mapInArrow(_forms, FORMS)
+    made = words.mapInArrow(_forms(False), FORMS)
+    # A word of few letters reads as an ordinary one in another alphabet.
+    read = words.where((F.col("_kind") == WORD) & (F.length("_w") >= 4)).mapInArrow(_forms(True), FORMS)
     often = words.where(F.col("_kind") == WORD).select("_w", "n").mapInArrow(_hashed, "_h long, _often long").groupBy("_h").agg(F.max("_often").alias("_often"))
-    read = made.where(F.col("rank") == ONE_BYTE).join(often, "_h", "left").where("n > coalesce(_often, 0)").drop("_often")
-    return made.where(F.col("rank") != ONE_BYTE).unionByName(read)
+    return made.unionByName(read.join(often, "_h", "left").where("n > coalesce(_often, 0)").drop("_often"))
 
 
 def _texts(df: DataFrame, ident: str, text: str) -> DataFrame:
@@ -377,16 +396,22 @@ def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
 
 
 def _restore(text: str, found: list[dict]) -> str:
-    """Letters first, the surest; then runs are decoded back along the chain that was found for pairs of signs, and other
-    stretches replaced by their words."""
+    """Letters are replaced and runs decoded back along the chain that was found for pairs of signs, what covers more of the
+    text first; then other stretches are replaced by their words."""
     sure = {x["form"]: x["word"] for x in found if x["sure"] and LOST not in x["form"]}
-    text = _replaced(text, {f: w for f, w in sure.items() if len(w) == 1})
+    letters = {f: w for f, w in sure.items() if len(w) == 1}
+    two = [x["form"] for x in found if len(x["word"]) == 2 and _order_of(x["chain"]) == TWO_BYTES]
+    first = _covered(text, list(letters)) >= _covered(text, two)
+    if first:
+        text = _replaced(text, letters)
     pairs = {x["chain"] for x in found if len(x["word"]) == 2 and _wide(np.array(list(map(ord, x["word"])))).all() and not x["chain"].endswith(">utf_8")}
     # Forms that both encodings have in common name the one; the rest of a run may need the other.
     pairs |= {c.replace("cp1252", "latin_1") for c in pairs}
     for chain in sorted(pairs):
         source, target = chain.split(">")
         text = re.sub(r"[^\x00-\x7f�]{3,}", lambda m: _back(m[0], source, target), text)
+    if not first:
+        text = _replaced(text, letters)
     known = {f: w for f, w in sure.items() if len(w) > 1 and not _wide(np.array(list(map(ord, w)))).all()}
     if not known:
         return text
@@ -401,6 +426,14 @@ def _restore(text: str, found: list[dict]) -> str:
     return _replaced("\n".join(lines), known)
 
 
+def _order_of(chain: str) -> int:
+    return TWO_BYTES if chain.split(">")[0] in DOUBLE and not chain.endswith(">utf_8") else ONCE
+
+
+def _covered(text: str, stretches: list[str]) -> int:
+    return sum(len(m[0]) for m in re.finditer("|".join(map(re.escape, sorted(stretches, key=len, reverse=True))), text)) if stretches else 0
+
+
 def _replaced(text: str, known: dict[str, str]) -> str:
     return re.sub("|".join(map(re.escape, sorted(known, key=len, reverse=True))), lambda m: known[m[0]], text) if known else text
 
