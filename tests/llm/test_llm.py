@@ -395,3 +395,10 @@ def test_garbled_all_encodings(spark):
     whole = [d for d in want if (c := bad[d - 100][1])[:6] == "cp1251" or c in ("utf_8>iso8859_5", "cp1252>cp437")]
     assert all(back[d] == dict(clean)[bad[d - 100][0]] for d in whole), [back[d] for d in whole]
     assert G.garbled_records(df.limit(0), "d", "t").count() == 0
+
+
+def test_garbled_chains_that_undo_one_another(spark):
+    """A clean stretch is no case for a garbled text whose signs would give it: it stands in more texts."""
+    word = b"\xe9\xb3\xb7\xec\xb2\xb9".decode("gbk")
+    rows = [(i, f"木{word}{'很好' * i}") for i in range(4)] + [(9, word.encode("gbk").decode("utf_8"))]
+    assert {r["d"] for r in G.garbled_records(spark.createDataFrame(rows, "d long, t string"), "d", "t").collect()} <= {9}

@@ -30,7 +30,9 @@ SLICE = 512
 #: and with lost signs.
 ONCE, TWO_BYTES, ONE_BYTE, LOSING = range(DEPTH - 1, DEPTH + 3)
 LETTER, PAIR, WORD = range(3)
+#: n: in how many texts a form may stand to be one; any number for letters of UTF-8, whose forms are no words.
 FORMS = "_h long, rank int, chain string, word string, form string, n long"
+ANY = 1 << 62
 
 
 def _chains() -> dict[int, list[tuple[int, str]]]:
@@ -257,32 +259,42 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("_d").take(pa.array(r[new])), pa.array(h[new])], names=["_d", "_h"])
 
 
+def _per_text(row: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct names, one place of each, and in how many rows each stands."""
+    by = np.lexsort((name, row))
+    new = np.r_[True, (name[by[1:]] != name[by[:-1]]) | (row[by[1:]] != row[by[:-1]])][: len(by)]
+    name_, one, n = np.unique(name[by[new]], return_index=True, return_counts=True)
+    return name_, by[new][one], n
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_w, _kind, n): the distinct letters beyond ASCII, pairs of adjacent wide signs, and words of alphabets, with how often
-    a word comes."""
-    held, words = np.zeros(0, np.int64), {}
+    """(_w, _kind, n): the distinct letters beyond ASCII, pairs of adjacent wide signs, and words of alphabets, with the
+    number of texts that have them."""
+    held, often, words = np.zeros(0, np.int64), np.zeros(0, np.int64), {}
 
     def out() -> pa.RecordBatch:
         made = [chr(w >> 21) + chr(w & 0x1FFFFF) if w >> 21 else chr(w) for w in held.tolist()]
         kinds = [PAIR if len(w) == 2 else LETTER for w in made] + [WORD] * len(words)
-        return pa.RecordBatch.from_arrays([pa.array([*made, *words], pa.string()), pa.array(kinds, pa.int32()), pa.array([1] * len(made) + list(words.values()), pa.int64())], names=["_w", "_kind", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([*made, *words], pa.string()), pa.array(kinds, pa.int32()), pa.array([*often.tolist(), *words.values()], pa.int64())], names=["_w", "_kind", "n"])
 
     for _, codes, offsets in _sliced(batches):
         row, c = _row_of(offsets), codes.astype(np.int64)
         wide = _wide(codes)
         both = np.flatnonzero(wide[:-1] & wide[1:] & (row[1:] == row[:-1]))
-        fresh = (c >= 0x80) & (c != 0xFFFD)
-        held = np.unique(np.r_[held, c[fresh], c[both] << 21 | c[both + 1]])
+        fresh = np.unique(c[(c >= 0x80) & (c != 0xFFFD)])
+        pair, _, n = _per_text(row[both], c[both] << 21 | c[both + 1])
+        held, at = np.unique(np.r_[held, fresh, pair], return_inverse=True)
+        often = np.bincount(at, np.r_[often, np.ones(len(fresh), np.int64), n], len(held)).astype(np.int64)
         first, n = _runs(codes, row, True)
         if len(first):
-            _, one, count = np.unique(Hashes(codes).of(first, n), return_index=True, return_counts=True)
+            _, one, count = _per_text(row[first], Hashes(codes).of(first, n))
             text = codes.astype("<u4").tobytes().decode("utf-32-le")
             for x, k, m in zip(first[one].tolist(), n[one].tolist(), count.tolist(), strict=True):
                 w = text[x : x + k]
                 words[w] = words.get(w, 0) + m
         if len(held) + len(words) > WORDS_HELD:
             yield out()
-            held, words = held[:0], {}
+            held, often, words = held[:0], often[:0], {}
     yield out()
 
 
@@ -308,55 +320,39 @@ def _garbled(word: str, chains: list[tuple[int, str]]) -> dict[str, tuple[int, s
     return made
 
 
-def _forms(read: bool):
-    """Forms of words: of those chains from one single-byte encoding to another, or of all other chains."""
-    chains = {k: [x for x in v if (x[0] == ONE_BYTE) == read] for k, v in _chains().items()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, SLICE):
-                b = whole.slice(a, SLICE)
-                out: list[tuple] = []
-                for word, kind, n in zip(*(b.column(c).to_pylist() for c in ("_w", "_kind", "n")), strict=True):
-                    out += [(rank, chain, word, form, n) for form, (rank, chain) in _garbled(word, chains[kind]).items()]
-                if out:
-                    rank, chain, word, form, n = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes_of(list(form))), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n)], names=FORM_NAMES)
-
-    return run
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chains = _chains()
+    # A word of few letters reads as an ordinary one in another alphabet.
+    short = [x for x in chains[WORD] if x[0] != ONE_BYTE]
+    for whole in batches:
+        for a in range(0, whole.num_rows, SLICE):
+            b = whole.slice(a, SLICE)
+            out: list[tuple] = []
+            for word, kind, n in zip(*(b.column(c).to_pylist() for c in ("_w", "_kind", "n")), strict=True):
+                for form, (rank, chain) in _garbled(word, short if kind == WORD and len(word) < 4 else chains[kind]).items():
+                    out.append((rank, chain, word, form, ANY if kind == LETTER else n - (rank == ONE_BYTE)))
+            if out:
+                rank, chain, word, form, n = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes_of(list(form))), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n, pa.int64())], names=FORM_NAMES)
 
 
 FORM_NAMES = [c.split()[0] for c in FORMS.split(", ")]
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(hashes_of(b.column("_w").to_pylist())), b.column("n")], names=["_h", "_often"])
-
-
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         yield pa.RecordBatch.from_arrays([pa.array(hashes_of(b.column("_w").to_pylist())), b.column("_w")], names=["_h", "word"])
 
 
 def clean_words(rows: DataFrame) -> DataFrame:
-    """(_w, _kind, n): distinct words of the texts _t, with counts.
+    """(_w, _kind, n): distinct words of the texts _t, with the number of texts.
 
-    Words of garbled texts are among them: their forms are those of texts garbled twice. Only a chain from one
-    single-byte encoding to another can lead back to a clean word; forms() counts those out.
+    Words of garbled texts are among them. Their forms are those of texts garbled twice, or, where one chain undoes another,
+    clean words: therefore a form must not stand in more texts than its word does.
     """
     return rows.select("_t").mapInArrow(_words, "_w string, _kind int, n long").groupBy("_w", "_kind").agg(F.sum("n").alias("n"))
 
 
-def forms(words: DataFrame) -> DataFrame:
-    """(_h, rank, chain, word, form, n) of the words' garbled forms, without those as frequent as the word."""
-    made = words.mapInArrow(_forms(False), FORMS)
-    # A word of few letters reads as an ordinary one in another alphabet.
-    read = words.where((F.col("_kind") == WORD) & (F.length("_w") >= 4)).mapInArrow(_forms(True), FORMS)
-    often = words.where(F.col("_kind") == WORD).select("_w", "n").mapInArrow(_hashed, "_h long, _often long").groupBy("_h").agg(F.max("_often").alias("_often"))
-    return made.unionByName(read.join(often, "_h", "left").where("n > coalesce(_often, 0)").drop("_often"))
-
-
 def _texts(df: DataFrame, ident: str, text: str) -> DataFrame:
     return df.select(F.col(ident).alias("_d"), F.col(text).alias("_t")).where("_d IS NOT NULL AND _t <> ''")
 
@@ -370,7 +366,10 @@ def _hits(df: DataFrame, ident: str, text: str) -> tuple[DataFrame, DataFrame]:
     rows = _texts(df, ident, text)
     words = stored(clean_words(rows))
     tokens = rows.mapInArrow(_found, f"_d {df.schema[ident].dataType.simpleString()}, _h long")
-    return tokens.join(forms(words).select("_h").distinct(), "_h"), words
+    forms = words.mapInArrow(_forms, FORMS)
+    hits = stored(tokens.join(forms.groupBy("_h").agg(F.max("n").alias("_most")), "_h"))
+    rare = hits.groupBy("_h").agg(F.count("*").alias("_n"), F.max("_most").alias("_most")).where("_n <= _most").select("_h", "_n")
+    return hits.join(rare, "_h").select("_d", "_h", "_n"), forms
 
 
 def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
@@ -381,10 +380,9 @@ def garbled_tokens(df: DataFrame, ident: str, text: str) -> DataFrame:
     read whole. Stretches are found by a hash of 64 bits, so nothing but hashes is shuffled. chain is the surest
     encoding chain that gives this form, word its original; sure is false where that chain's sort has several.
     """
-    hits, words = _hits(df, ident, text)
+    hits, made = _hits(df, ident, text)
     hits = stored(hits)
-    made = forms(words)
-    some = stored(made.join(hits.select("_h").distinct(), "_h", "left_semi"))
+    some = stored(made.join(hits.select("_h", "_n").distinct(), "_h").where("_n <= n"))
     # Words that are garbled forms themselves are originals only where there is no other.
     names = some.select(F.col("word").alias("_w")).distinct().mapInArrow(_named, "_h long, word string")
     again = names.join(made.where(F.col("rank") <= ONCE).select("_h"), "_h", "left_semi").select("word", F.lit(True).alias("_again")).distinct()
