@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm import codepoints as C, garbled as G, leaks as K
+from voxloom.operators import skew
 from voxloom.llm.capping import dropped_by_cap
 from voxloom.llm.cutoffs import below_cutoff, cutoffs
 from voxloom.llm.grouping import assign_splits, linked_groups
@@ -20,6 +21,17 @@ from voxloom.llm.packing import pack, sum_of_squares, token_counts
 from voxloom.llm.percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
 
 
+def test_hot_contributors_and_groups(spark, monkeypatch):
+    """Joins that spread hot keys give what plain ones give."""
+    rng = random.Random(19)
+    rows = [(rng.choice(["hot", "hot", "warm", *"abcdef"]), round(rng.random(), 3), f"i{i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "c string, s double, i string")
+    plain = [sorted(map(tuple, dropped_by_cap(df, "c", "s", "i", most=30).collect())), sorted(map(tuple, exact_percentiles(value_counts(df, "c", ["s"]), ["0.1", "0.5"]).collect()))]
+    monkeypatch.setattr(skew, "FLOOR", 10)
+    monkeypatch.setattr(skew, "SHARE", 5)
+    assert plain == [sorted(map(tuple, dropped_by_cap(df, "c", "s", "i", most=30).collect())), sorted(map(tuple, exact_percentiles(value_counts(df, "c", ["s"]), ["0.1", "0.5"]).collect()))]
+
+
 def test_capping(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["hot", "hot", "b", "c", None]), rng.choice([0.5, 0.25, -1.0, 0.1234, None, 0.5001]), f"id{rng.randrange(10**rng.randrange(1, 12)):d}-{i}") for i in range(600)]
@@ -72,7 +84,7 @@ def test_percentiles(spark):
     assert exact_percentiles(value_counts(df.limit(0), "g", ["x"]), fr).count() == 0
 
 
-def test_groups(spark):
+def test_groups(spark, monkeypatch):
     rng = random.Random(4)
     rows = [(f"r{rng.randrange(120):03d}", rng.choice([None, f"s{rng.randrange(70)}"])) for _ in range(200)] + [(f"h{i:02d}", "hub") for i in range(60)] + [(None, "s1")]
     parent = {}
@@ -91,7 +103,7 @@ def test_groups(spark):
     for r, _ in rows:
         if r is not None:
             group[find(("r", r))].append(r)
-    want = {r: min(g) for g in group.values() for r in g}
+    want = want_groups = {r: min(g) for g in group.values() for r in g}
     df = spark.createDataFrame(rows, "r string, s string").withColumn("group_id", F.lit("clash"))
     got = linked_groups(df, "r", F.col("s"))
     assert {x["r"]: x["group_id"] for x in got.collect()} == want and got.count() == len(want)
@@ -101,6 +113,20 @@ def test_groups(spark):
     assert len(splits) == 2002 and splits["big"][1] == "train"
     for name, share in (("train", 0.8), ("valid", 0.1), ("test", 0.1)):
         assert sum(w for w, s in splits.values() if s == name) / 3000 == pytest.approx(share, abs=0.01)
+    # Few groups: none is split, and each split has one if there are as many.
+    for weights, want in (([1.0] * 4, [2, 1, 1]), ([9.0, 1.0, 1.0], [1, 1, 1]), ([5.0, 4.0], [1, 1, 0]), ([5.0], [1, 0, 0]), ([100.0] + [0.1] * 400, None)):
+        sizes = spark.createDataFrame([(f"g{i}", w) for i, w in enumerate(weights)], "g string, w double")
+        got = assign_splits(sizes, "g", "w", {"train": "0.92", "valid": "0.04", "test": "0.04"}).collect()
+        count = [sum(r["split"] == n for r in got) for n in ("train", "valid", "test")]
+        assert count == want if want else min(count) > 20
+        if not want:
+            assert all(sum(r["w"] for r in got if r["split"] == n) == pytest.approx(s * 140, abs=0.2) for n, s in (("train", 0.92), ("valid", 0.04), ("test", 0.04)))
+    assert assign_splits(sizes.limit(0), "g", "w", {"train": "0.9", "test": "0.1"}).count() == 0
+    # A hot entity's records meet by broadcast.
+    monkeypatch.setattr(skew, "FLOOR", 10)
+    monkeypatch.setattr(skew, "SHARE", 50)
+    got = linked_groups(df, "r", F.col("s"))
+    assert {x["r"]: x["group_id"] for x in got.collect()} == want_groups
 
 
 def look(s):
@@ -273,7 +299,7 @@ def test_packing(spark):
         assert end <= 100
     assert all(r["length"] == 100 for r in got if r["piece"] == 0 and r["i"] in {i for i, n in rows if n == 250})
     again = pack(df.repartition(7), "i", "n", 100, shard=50).collect()
-    assert sorted((r["i"], r["piece"], r["offset"], r["length"]) for r in got) == sorted((r["i"], r["piece"], r["offset"], r["length"]) for r in again)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
     assert pack(df.limit(0), "i", "n", 100).count() == 0
     counts = token_counts(spark.createDataFrame([(1, "hello world"), (2, None), (3, "")], "i int, t string"), "i", "t").collect()
     assert [(r["i"], r["n_tokens"] > 0) for r in counts] == [(1, True)]

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.order import codes_of
+from ..operators.skew import Skew
 from ..session import cut, stored
 
 LOW, HIGH = -(2**63), 2**63 - 1
@@ -45,7 +46,7 @@ def dropped_by_cap(df: DataFrame, contributor: str, score: str, ident: str, *, s
     still in question are counted per contributor and next differing byte (partially before the shuffle,
     at most 256 rows a contributor after it), the byte at which the cap is reached becomes a cutoff digit, and
     the other rows are decided. Bytes that all rows in question share are skipped. No contributor's
-    rows are ever sorted or gathered, so one that owns a third of all rows is no special case.
+    rows are ever sorted or gathered: those of hot ones stay where they are and meet their cutoffs by broadcast.
     """
     rows = df.select(F.col(contributor).alias("_c"), F.col(score).cast("double").alias("_score"), F.col(ident).cast("string").cast("binary").alias("_id"))
     rows = rows.where("_c IS NOT NULL AND _score IS NOT NULL AND _id IS NOT NULL")
@@ -53,24 +54,28 @@ def dropped_by_cap(df: DataFrame, contributor: str, score: str, ident: str, *, s
     if share is not None:
         total, part = df.count(), Fraction(share)
         most = total * part.numerator // part.denominator
-    over = counts.where(F.col("_n") > most)
-    # With a share there are fewer than 1/share contributors above it: a proven bound for the broadcast.
-    small = (lambda x: F.broadcast(x)) if share is not None and Fraction(share) >= Fraction(1, 10_000) else (lambda x: x)
+    over = cut(counts.where(F.col("_n") > most))
+    if share is not None and Fraction(share) >= Fraction(1, 10_000):
+        # There are fewer than 1/share contributors above it: a proven bound for the broadcast.
+        def met(x: DataFrame, few: DataFrame, how: str = "inner") -> DataFrame:
+            return x.join(F.broadcast(few), "_c", how)
+    else:
+        met = Skew(over, ["_c"], "_n").join
     kind = rows.schema["_c"].dataType.simpleString()
-    big = stored(rows.join(small(cut(over.select("_c"))), "_c", "left_semi").mapInArrow(_words, f"_c {kind}, _w array<long>, _score double, _id binary"))
+    big = stored(met(rows, over.select("_c"), "left_semi").mapInArrow(_words, f"_c {kind}, _w array<long>, _score double, _id binary"))
 
     state = cut(over.select("_c", F.lit(most).cast("long").alias("_k"), F.array().cast("array<bigint>").alias("_fix"), F.lit(LOW).alias("_lo"), F.lit(HIGH).alias("_hi"), F.lit(most == 0).alias("_done"), F.lit(False).alias("_with")))
     per = Window.partitionBy("_c").orderBy("_digit")
     while not (live := state.where("NOT _done")).isEmpty():
         at = F.size("_fix")
-        inside = big.join(small(live), "_c").where((F.slice("_w", 1, at) == F.col("_fix")) & _word(at).between(F.col("_lo"), F.col("_hi")))
+        inside = met(big, live).where((F.slice("_w", 1, at) == F.col("_fix")) & _word(at).between(F.col("_lo"), F.col("_hi")))
         differ = F.col("_lo").bitwiseXOR(F.col("_hi"))
         shift = F.coalesce(*[F.when(F.shiftrightunsigned(differ, s) != 0, F.lit(s)) for s in range(56, 0, -8)], F.lit(0))
         # Bytes of the word with its top bit turned back, so that they sort as unsigned.
         digit = F.expr("shiftrightunsigned(_v ^ CAST(-9223372036854775808 AS BIGINT), _shift) & 255")
         bins = inside.select("_c", _word(at).alias("_v"), shift.alias("_shift"), (F.size("_w") > at).alias("_more")).withColumn("_digit", digit)
         bins = bins.groupBy("_c", "_digit").agg(F.count("*").alias("_m"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.max("_more").alias("_more"))
-        bins = bins.withColumn("_upto", F.sum("_m").over(per)).join(small(live), "_c")
+        bins = bins.withColumn("_upto", F.sum("_m").over(per)).join(live, "_c")
         bins = bins.where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_m") < F.col("_k")))
         left = F.col("_k") - (F.col("_upto") - F.col("_m"))
         fits, same = left == F.col("_m"), F.col("_min") == F.col("_max")
@@ -85,5 +90,5 @@ def dropped_by_cap(df: DataFrame, contributor: str, score: str, ident: str, *, s
     head = F.slice(F.transform(F.sequence(F.lit(0), F.size("_fix")), _word), 1, F.size("_fix"))
     state = state.select("_c", "_fix", "_with")
     keep = (F.size("_fix") > 0) & ((head < F.col("_fix")) | ((head == F.col("_fix")) & F.col("_with")))
-    out = big.join(small(state), "_c").where(~keep)
+    out = met(big, state).where(~keep)
     return out.select(F.col("_c").alias(contributor), F.col("_score").alias(score), F.col("_id").cast("string").alias(ident))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..operators.ranges import range_blocks, running_total
+from ..operators.skew import Skew
 from ..session import cut
 
 
@@ -70,32 +72,66 @@ def linked_groups(df: DataFrame, record: str, entity: Column) -> DataFrame:
     to the smallest of them, which replaces the entity by a star of at most as many edges as it has records.
     """
     pairs = cut(df.select(F.col(record).alias("v"), entity.alias("_e")).where("v IS NOT NULL").distinct())
-    first = pairs.where("_e IS NOT NULL").groupBy("_e").agg(F.min("v").alias("b"))
-    edges = pairs.join(first, "_e").select(F.col("v").alias("a"), "b")
+    first = cut(pairs.where("_e IS NOT NULL").groupBy("_e").agg(F.min("v").alias("b"), F.count("*").alias("_n")))
+    edges = Skew(first, ["_e"], "_n").join(pairs, first.select("_e", "b")).select(F.col("v").alias("a"), "b")
     found = cut(contract(edges, pairs.select("v")))
     name = found.groupBy("root").agg(F.min("v").alias("_name"))
     return found.join(name, "root").select(F.col("v").alias(record), F.col("_name").alias("group_id"))
 
 
+#: Groups that weigh more than one in so many of all are dealt one by one; there are fewer than twice as many.
+LARGE = 10_000
+
+
+def dealt(groups: list[tuple], shares: dict[str, Fraction], total: float, rest: float) -> dict:
+    """Splits of large groups (name, weight), heaviest first: each goes to the split that lacks most of its share.
+
+    Where the small groups weigh less (rest) than the splits after the first should, those splits have one of the large
+    groups each beforehand, from the lightest up, as long as one is left for the first.
+    """
+    names, out = [k for k, v in shares.items() if v > 0], {}
+    lack = {k: float(shares[k]) * total for k in names}
+    groups = sorted(groups, key=lambda g: (-g[1], str(g[0])))
+    if rest < sum(lack[k] for k in names[1:]):
+        for name in names[1:]:
+            if len(groups) > 1:
+                g, w = groups.pop()
+                out[g], lack[name] = name, lack[name] - w
+    for g, w in groups:
+        best = max(names, key=lambda k: lack[k])
+        out[g], lack[best] = best, lack[best] - w
+    return out
+
+
 def assign_splits(groups: DataFrame, group: str, weight: str, ratios: dict[str, str], seed: int = 42) -> DataFrame:
     """(group, weight, split): whole groups dealt to splits so that the weights come near the ratios.
 
-    Groups are put into the order of a seeded hash and cut where the cumulative weight passes a split's
-    share; a group that alone weighs more than half of the smallest share goes to the first split, before
-    all others, so that it can't fill a small one. groups has one row per group with its weight; null
-    groups are left out, null weights count 0. The cumulative weight is summed block by block.
+    Groups heavier than half of the smallest share (fewer than 2 / that share, and than 2 x LARGE) are dealt one by one to the
+    split that lacks most; each split has a group if there are as many. All others are put into the order of a seeded
+    hash and cut where their cumulative weight passes what each split still lacks, summed block by block. groups
+    has one row per group with its weight; null groups are left out, null weights count 0. A split with ratio 0
+    has no group, and an empty input no row.
     """
     shares = {k: Fraction(v) for k, v in ratios.items()}
     rows = groups.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), F.coalesce(F.col(weight).cast("double"), F.lit(0.0)).alias("_w"))
     total = float(rows.agg(F.coalesce(F.sum("_w"), F.lit(0.0))).first()[0])
-    small = float(min(shares.values())) * total / 2
-    rows = rows.withColumn("_o", F.when(F.col("_w") > small, F.lit(-(2**63))).otherwise(F.xxhash64("_g", F.lit(seed))))
-    order = [F.col("_o"), F.col("_g")]
-    run = running_total(range_blocks(rows, order), order, "_w", "_run")
-    middle, split, upto = F.col("_run") - F.col("_w") / 2, F.lit(None).cast("string"), Fraction(0)
-    names = list(shares)
+    large = max(float(min(v for v in shares.values() if v > 0)) / 2, 1 / (2 * LARGE)) * total
+    heavy = [(r["_g"], r["_w"]) for r in rows.where(F.col("_w") > large).collect()]
+    rest = total - sum(w for _, w in heavy)
+    of = dealt(heavy, shares, total, rest)
+    have = {k: sum(w for g, w in heavy if of[g] == k) for k in shares}
+    lack = {k: max(0.0, float(v) * total - have[k]) for k, v in shares.items()}
+    scale = rest / sum(lack.values()) if sum(lack.values()) else 0.0
+    order = [F.xxhash64("_g", F.lit(seed)), F.col("_g")]
+    run = running_total(range_blocks(rows.where(F.col("_w") <= large), order), order, "_w", "_run")
+    middle, split, upto = F.col("_run") - F.col("_w") / 2, F.lit(None).cast("string"), 0.0
+    names = [k for k, v in shares.items() if v > 0]
     for name in names[:-1]:
-        upto += shares[name]
-        split = F.coalesce(split, F.when(middle <= float(upto) * total, F.lit(name)))
-    split = F.when(F.col("_w") > small, F.lit(names[0])).otherwise(F.coalesce(split, F.lit(names[-1])))
-    return run.select(F.col("_g").alias(group), F.col("_w").alias(weight), split.alias("split"))
+        upto += lack[name] * scale
+        split = F.coalesce(split, F.when(middle <= upto, F.lit(name)))
+    run = run.select("_g", "_w", F.coalesce(split, F.lit(names[-1])).alias("split"))
+    if heavy:
+        spark = groups.sparkSession
+        named = spark.createDataFrame([(g, w, of[g]) for g, w in heavy], StructType([StructField("_g", rows.schema["_g"].dataType), StructField("_w", DoubleType()), StructField("split", StringType())]))
+        run = run.unionByName(named)
+    return run.select(F.col("_g").alias(group), F.col("_w").alias(weight), "split")

@@ -79,35 +79,44 @@ def pack(sizes: DataFrame, ident: str, size: str, capacity: int, shard: int = SH
     An item longer than the capacity is cut into full containers and a rest, any other stays whole, and no
     container holds more than its capacity. Rows with a null id, or a null or non-positive size, fill nothing;
     rows with one id are one item each time they occur; other columns aren't read. An empty input has an
-    empty result. Apart from the names of full containers, the result
-    depends on ids and sizes only, not on how rows are partitioned: items are dealt
-    to shards by a hash of the id and packed in the order of hash, id and size. Full pieces never meet the packer.
+    empty result. The result depends on ids and sizes only, not on how rows are partitioned: items are dealt to
+    shards by a hash of the id (as many shards as `shard` rows each need) and packed in the order of hash, id and
+    size. Full pieces never meet the packer.
     """
     rows = sizes.select(F.col(ident).alias("_d"), F.col(size).cast("long").alias("_n")).where("_d IS NOT NULL AND _n > 0")
     rows = stored(rows)
     shards = max(1, -(-rows.count() // shard))
     full, rest = F.expr(f"_n div {capacity}"), F.expr(f"_n % {capacity}")
     name = F.col("_d").cast("string")
-    # A row number among equal ids isn't needed: equal rows are interchangeable.
-    whole = rows.where(full > 0).select("_d", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"))
-    whole = whole.select("_d", "piece", F.concat(F.lit("f-"), name, F.lit("-"), F.col("piece"), F.lit("-"), F.monotonically_increasing_id()).alias("container"), F.lit(0).cast("long").alias("offset"), F.lit(capacity).cast("long").alias("length"))
+    # Equal rows are interchangeable: they fold into one with a count, so that every full container has a name of its own.
+    alike = rows.where(full > 0).groupBy("_d", "_n").agg(F.count("*").alias("_copies"))
+    whole = alike.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))).select("_d", "_n", "_copy", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"))
+    whole = whole.select("_d", "piece", F.concat_ws("-", F.lit("f"), name, "_n", "_copy", "piece").alias("container"), F.lit(0).cast("long").alias("offset"), F.lit(capacity).cast("long").alias("length"))
     kind = rows.schema["_d"].dataType.simpleString()
     mixed = F.xxhash64("_d")
     small = rows.where(rest > 0).select("_d", full.alias("piece"), rest.alias("length"), F.pmod(mixed, F.lit(shards)).cast("int").alias("_shard"), mixed.alias("_o"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        shard_of = t.column("_shard").to_numpy()
-        cuts = np.r_[0, np.flatnonzero(np.diff(shard_of)) + 1, len(shard_of)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            part = t.slice(a, b - a)
-            container, offset = sum_of_squares(part.column("length").to_numpy(), capacity)
-            names = pa.array([f"s-{shard_of[a]}-{c}" for c in container])
-            columns = [part.column("_d").combine_chunks(), part.column("piece").combine_chunks(), names, pa.array(offset), part.column("length").combine_chunks()]
-            yield pa.RecordBatch.from_arrays(columns, names=["_d", "piece", "container", "offset", "length"])
+        # One shard at a time, as they come in order.
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            shard_of = b.column("_shard").to_numpy()
+            cuts = np.r_[0, np.flatnonzero(np.diff(shard_of)) + 1, len(shard_of)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and held[0].column("_shard")[0].as_py() != shard_of[x]:
+                    yield packed_shard(held)
+                    held = []
+                held.append(b.slice(x, y - x))
+        if held:
+            yield packed_shard(held)
+
+    def packed_shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        part = pa.Table.from_batches(held)
+        container, offset = sum_of_squares(part.column("length").to_numpy(), capacity)
+        shard_of = part.column("_shard")[0].as_py()
+        names = pa.array([f"s-{shard_of}-{c}" for c in container])
+        columns = [part.column("_d").combine_chunks(), part.column("piece").combine_chunks(), names, pa.array(offset), part.column("length").combine_chunks()]
+        return pa.RecordBatch.from_arrays(columns, names=["_d", "piece", "container", "offset", "length"])
 
     packed = small.repartition(shards, "_shard").sortWithinPartitions("_shard", "_o", "_d", "length").mapInArrow(run, f"_d {kind}, piece long, container string, offset long, length long")
     return whole.unionByName(packed).withColumnRenamed("_d", ident)

@@ -7,6 +7,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.order import from_code, order_code
+from ..operators.skew import Skew
 from ..session import cut, stored
 
 #: Parts into which a pass divides each interval: with 16, one pass does the work of four halvings.
@@ -18,10 +19,14 @@ def value_counts(df: DataFrame, group: str, metrics: list[str], by: tuple[str, .
 
     The tables of single days or partitions can be unioned: their counts add up.
     """
+    rows = _values(df, group, metrics, by).groupBy(*by, "_g", "metric", "x").agg(F.count("*").alias("n"))
+    return rows.select(*by, "_g", "metric", order_code(F.col("x")).alias("_code"), "n")
+
+
+def _values(df: DataFrame, group: str, metrics: list[str], by: tuple[str, ...]) -> DataFrame:
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))
     rows = df.where(F.col(group).isNotNull()).select(*by, F.col(group).alias("_g"), pairs.alias("_p"))
-    rows = rows.where("_p.x IS NOT NULL AND NOT isnan(_p.x)").groupBy(*by, "_g", "_p.metric", "_p.x").agg(F.count("*").alias("n"))
-    return rows.select(*by, "_g", "metric", order_code(F.col("x")).alias("_code"), "n")
+    return rows.where("_p.x IS NOT NULL AND NOT isnan(_p.x)").select(*by, "_g", "_p.metric", "_p.x")
 
 
 def exact_percentiles(counts: DataFrame, fractions: list[str]) -> DataFrame:
@@ -34,11 +39,12 @@ def exact_percentiles(counts: DataFrame, fractions: list[str]) -> DataFrame:
     below the interval's midpoints (SECTIONS - 1 evenly spaced ones), all ranks of all groups at once, moves
     each rank to the section that holds it and narrows that to the values that occur in it. The rank is
     resolved when one value is left. Counts are summed before the shuffle; a pass moves a few numbers
-    per group and task, never the values.
+    per group and task, and the values only of groups that aren't hot.
     """
     counts = stored(counts.groupBy("_g", "metric", "_code").agg(F.sum("n").alias("n")))
-    sizes = counts.groupBy("_g", "metric").agg(F.sum("n").alias("_all"), F.min("_code").alias("_lo"), F.max("_code").alias("_hi"))
+    sizes = counts.groupBy("_g", "metric").agg(F.sum("n").alias("_all"), F.min("_code").alias("_lo"), F.max("_code").alias("_hi"), F.count("*").alias("_values"))
     sizes = cut(sizes)
+    skew = Skew(sizes, ["_g", "metric"], "_values")
     wanted = [F.struct(F.lit(f).alias("fraction"), *_ranks(f)) for f in fractions]
     asked = sizes.withColumn("_w", F.explode(F.array(*wanted))).select("_g", "metric", "_all", "_lo", "_hi", "_w.*")
     both = F.array_distinct(F.array(F.col("_r"), F.least(F.col("_r") + 1, F.col("_all"))))
@@ -49,7 +55,7 @@ def exact_percentiles(counts: DataFrame, fractions: list[str]) -> DataFrame:
     while not ranks.where(open_).isEmpty():
         spans = ranks.where(open_).groupBy("_g", "metric").agg(F.collect_set(F.struct("_lo", "_hi")).alias("_spans"))
         hit = F.get(F.filter("_spans", lambda s: F.col("_code").between(s["_lo"], s["_hi"])), F.lit(0))
-        rows = counts.join(spans, ["_g", "metric"]).withColumn("_span", hit).where("_span IS NOT NULL")
+        rows = skew.join(counts, spans).withColumn("_span", hit).where("_span IS NOT NULL")
         rows = rows.select("_g", "metric", "_code", "n", "_span._lo", "_span._hi").withColumn("_part", _section())
         bins = rows.groupBy("_g", "metric", "_lo", "_part").agg(F.sum("n").alias("_m"), F.min("_code").alias("_a"), F.max("_code").alias("_b"))
         bins = bins.withColumn("_upto", F.sum("_m").over(per))
@@ -84,10 +90,10 @@ def sketch(df: DataFrame, group: str, metrics: list[str], by: tuple[str, ...] =
 
     A bucket holds the values that share sign, exponent and the first `bits` bits of the mantissa, so any value
     in it is within a share 2^-bits of any other. Summaries merge by adding counts, and a group has at
-    most 2^(12+bits) buckets however many rows it has.
+    most 2^(12+bits) buckets however many rows it has; values are put into buckets before they are shuffled.
     """
-    codes = value_counts(df, group, metrics, by)
-    return codes.groupBy(*by, "_g", "metric", F.shiftright("_code", 52 - bits).alias("_bucket")).agg(F.sum("n").alias("n"))
+    codes = _values(df, group, metrics, by).select(*by, "_g", "metric", F.shiftright(order_code(F.col("x")), 52 - bits).alias("_bucket"))
+    return codes.groupBy(*by, "_g", "metric", "_bucket").agg(F.count("*").alias("n"))
 
 
 def sketch_percentiles(sketches: DataFrame, fractions: list[str], bits: int = 7) -> DataFrame:

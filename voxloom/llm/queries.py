@@ -59,11 +59,20 @@ def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return exact_percentiles(counts, FRACTIONS).select(F.col("_g").alias("speaker"), "metric", "fraction", "n", F.round("value", 6).alias("value"))
 
 
-@REGISTRY.query("p4_merged_days")
+#: Bounds of the values that share sign, exponent and seven bits of the mantissa with the one of the wanted rank.
+P4_DAYS = P4_V + """, o AS (SELECT speaker, metric, x, row_number() OVER (PARTITION BY speaker, metric ORDER BY x) AS i, count(*) OVER (PARTITION BY speaker, metric) AS n FROM v),
+f AS (SELECT unnest([""" + ", ".join(f"'{f}'" for f in FRACTIONS) + """]) AS fraction),
+r AS (SELECT speaker, metric, fraction, n, x, CASE WHEN x = 0 THEN 0.0 ELSE pow(2.0::DOUBLE, floor(log2(abs(x))) - 7) END AS unit FROM o, f WHERE i = greatest(1, ceil(n * fraction::DECIMAL(9,4)))),
+b AS (SELECT *, CASE WHEN x = 0 THEN 0.0 ELSE floor(abs(x) / unit) * unit END AS a FROM r)
+SELECT speaker, metric, fraction, n, round(CASE WHEN x < 0 THEN -(a + unit) ELSE a END, 6) AS low, round(CASE WHEN x < 0 THEN -a ELSE a + unit END, 6) AS high FROM b"""
+
+
+@REGISTRY.query("p4_merged_days", P4_DAYS)
 def p4_merged_days(spark: SparkSession, folder: str) -> DataFrame:
     """The percentiles again, from summaries of the single run_dates: bounds that hold the exact value."""
     days = sketch(latest_rows(spark, folder, ["speaker_id", "run_date", *PITCH]), "speaker", PITCH, by=("run_date",))
-    return sketch_percentiles(days, FRACTIONS).withColumnRenamed("_g", "speaker")
+    out = sketch_percentiles(days, FRACTIONS).withColumnRenamed("_g", "speaker")
+    return out.select("speaker", "metric", "fraction", "n", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 P5_SQL = """WITH RECURSIVE f AS (SELECT DISTINCT source_audio_id AS v, lower(regexp_replace(speaker_id, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')) AS s FROM fine_segment WHERE source_audio_id IS NOT NULL),
