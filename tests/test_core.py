@@ -196,5 +196,30 @@ def test_numbers_wider_than_their_padding(spark):
 
     df = spark.range(1001).selectExpr("id", "'s' AS l", "'a' AS r")
     ids = {r[0] for r in df.select(segment_ids(df, "l", "r", ["id"], 3, "seg")).collect()}
-    assert len(ids) == 1001 and {"s_a_seg007", "s_a_seg100", "s_a_seg1000"} <= ids
+    assert len(ids) == 1001 and {"s_a_seg007", "s_a_seg100", "s_a_seg1000", "s_a_seg1001"} <= ids
     assert df.where("id = 1").select(audio_id(F.lit("s"), F.lit(""), F.lit(12345))).first()[0] == "s_row12345"
+
+
+def test_rejected_rows_neither_count_nor_change(spark):
+    """Limits of a speaker come from rows that aren't rejected, and a rejected row keeps what it has."""
+    s = profile("default").with_changes({"f0.adaptive_min_utts": 5})
+    rows = [("a", float(i), 5.0, None, None, None) for i in range(1, 6)] + [("a", 900.0, 900.0, "rejected", ["x"], 0.123)] * 5 + [(None, 2.0, 5.0, None, None, None)] * 5
+    df = spark.createDataFrame(rows, "speaker_id string, f0_std_st double, f0_range_st double, status string, reject_reasons array<string>, quality_score double")
+    got = {r["speaker_id"]: r["f0_std_st_hi"] for r in C.adaptive_limits(df.withColumns({"global_rate_cps": F.lit(1.0), "local_rate_cv": F.lit(1.0)}), "speaker_id", s).collect()}
+    assert got == {"a": pytest.approx(np.percentile([1, 2, 3, 4, 5], 95)), None: 2.0}
+    more = df.withColumns({c: F.lit(1.0) for c in ("voiced_ratio", "f0_delta_p95_st", "global_rate_cps", "local_rate_cv", "pause_ratio")} | {"local_rate_skipped": F.lit(False)})
+    out = C.scored(more, s).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        if r["reject_reasons"] == ["x"]:
+            assert (r["quality_score"], r["grade"], r["pitch_score"]) == (0.123, None, None)
+        else:
+            assert r["text_quality_score"] == 0.85 and r["grade"] is not None
+
+
+def test_silhouette_leaves_out_singletons():
+    near = [np.array([1.0, x, 0]) for x in (0, 0.1, -0.1)]
+    v = np.stack([x / np.linalg.norm(x) for x in [*near, np.array([0, 0, 1.0])]])
+    d = 1 - v @ v.T
+    want = np.mean([(d[i, 3] - np.mean([d[i, j] for j in range(3) if j != i])) / d[i, 3] for i in range(3)])
+    assert silhouette(v) == pytest.approx(want)

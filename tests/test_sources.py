@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from voxloom.config import profile, read_settings
 from voxloom.functions import signal as G
-from voxloom.operators.corpus import joined_parts, long_cuts, sample_groups, synthetic_speech
+from voxloom.operators.corpus import adapted, cut_pieces, duration_band, joined_parts, long_cuts, precut_metadata, sample_groups, synthetic_speech
 from voxloom.operators.diarization import diarization_errors, meeting_errors, pooled
 from voxloom.sources import readers as R, writers as W
 
@@ -29,6 +29,16 @@ def test_audio(spark, tmp_path):
     wrong = f0.copy()
     wrong[np.flatnonzero(f0)[20:24]] *= 2
     assert abs(np.median(G.octave_corrected(wrong, 60, 500)[np.flatnonzero(f0)[20:24]]) - 220) < 30
+    few = np.array([0, 100, 200, 0], np.float32)
+    assert G.octave_corrected(few, 60, 600).tolist() == [0, 100, 100, 0] and G.octave_corrected(few, 110, 600).tolist() == [0, 0, 0, 0]
+    tone = np.sin(2 * np.pi * 997 * np.arange(48_000 * 5) / 48_000)
+    # The standard's own check: a full-scale sine of 997 Hz has -3.01 LUFS.
+    assert G.lufs(tone, 48_000) == pytest.approx(-3.01, abs=0.1) and G.lufs(tone * 0.1, 48_000) == pytest.approx(-23.01, abs=0.1)
+    assert G.lufs(tone[:100], 48_000) is None and G.peak_db(tone * 1e-7) == pytest.approx(-140, abs=0.1)
+    loud = np.r_[np.zeros(8000), np.ones(8000), np.zeros(1000)].astype(np.float32)
+    assert G.overlapping_speech(loud + np.float32(1e-6), 16_000)[0] == pytest.approx((0.48, 1.0), abs=0.03)
+    assert G.slice_audio(np.arange(10), 2, 1.0, 3.9).tolist() == [2, 3, 4, 5, 6] and len(G.slice_audio(np.arange(10), 2, 9.0, 12.0)) == 0
+    assert len(G.resample(np.ones(1), 24_000, 16_000)) == 0
     silent = np.zeros(1000, np.float32)
     assert (G.snr_db(silent), G.peak_db(silent), G.clipping_ratio(silent), G.bandwidth_hz(silent, 100)) == (0.0, -120.0, 0.0, 0.0)
     df = spark.createDataFrame([("x/1.wav", x[:100].tolist(), 8000)], "p string, s array<float>, r int")
@@ -76,6 +86,19 @@ def test_corpus(spark):
     assert some.count() == 5 and {r["c"] for r in some.collect()} == {r["c"] for r in sample_groups(clips.repartition(7), "s", "c", 1, 5).collect()}
     assert long_cuts([(4.0, 4.2), (8.0, 9.0)], 20.5, 3.0, 10.0, 0.5) == [(0.0, 8.5), (8.5, 18.5), (18.5, 20.5)]
     assert long_cuts([], 10.5, 3.0, 10.0, 0.5) == [(0.0, 10.5)]
+    # A silence counts by its beginning, and a piece ends there even where the rest would fit into one.
+    assert long_cuts([(30.0, 31.0)], 50.0, 20.0, 60.0, 0.6) == [(0.0, 30.5), (30.5, 50.0)]
+    assert long_cuts([(2.9, 4.0), (5.0, 5.3), (7.0, 7.2)], 30.0, 3.0, 10.0, 0.5) == [(0.0, 5.15), (5.15, 15.15), (15.15, 25.15), (25.15, 30.0)]
+    # A short held part takes the next clip, however long it is.
+    clips = spark.createDataFrame([("s", "c1", 40.0), ("s", "c2", 40.0), ("s", "c3", 50.0), ("t", "d", 44.0)], "s string, c string, d double")
+    assert {(r["c"], r["part"]) for r in joined_parts(clips, "s", "c", "d").collect()} == {("c1", 0), ("c2", 0), ("c3", 1)}
+    pieces = cut_pieces(spark.createDataFrame([("a", "/x.wav", [(0.0, 30.0), (31.0, 50.0)], 50.0), ("b", "/y.wav", [], 9.0), ("c", "/z.wav", None, 0.0)], "i string, p string, s array<struct<start:double,end:double>>, t double"), "i", "p", F.col("s"), F.col("t"), "/out", 20.0, 60.0, 0.6)
+    assert sorted(tuple(r)[:4] for r in pieces.collect()) == [("a_p00", "a", 0.0, 30.5), ("a_p01", "a", 30.5, 50.0), ("b_p00", "b", 0.0, 9.0)]
+    assert {r["audio_path"] for r in precut_metadata(pieces).collect()} == {"/out/a_p00.wav", "/out/a_p01.wav", "/out/b_p00.wav"}
+    audio, texts = spark.createDataFrame([("p_S1", 1), ("q_S2", 2)], "stem string, n int"), spark.createDataFrame([("p_S1", "x"), ("p_S1", "y")], "stem string, text string")
+    assert [r["text"] for r in adapted(audio, texts, "inner").collect()] == ["x"] and adapted(audio, texts, "left").count() == 2
+    assert adapted(audio, texts, "left", spark.createDataFrame([("q",)], "episode string")).first()["n"] == 2
+    assert duration_band(spark.createDataFrame([(2.9,), (3.0,), (20.0,), (None,)], "d double"), "d").count() == 2
 
 
 def test_streaming(spark, tmp_path):

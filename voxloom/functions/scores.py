@@ -54,7 +54,9 @@ def rate_score(s: Settings) -> Column:
 
 
 def text_score(cer: str = "cer_vs_manual") -> Column:
-    return F.coalesce(clip01(1.0 - F.col(cer).cast("double")), F.lit(0.85))
+    c = F.col(cer).cast("double")
+    # greatest() and least() skip nulls: a missing rate must not become a zero score.
+    return F.when(c.isNull(), 0.85).otherwise(clip01(1.0 - c))
 
 
 def quality(s: Settings, parts: dict[str, Column]) -> Column:

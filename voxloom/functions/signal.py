@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import io
+import math
 import wave
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
@@ -36,11 +37,57 @@ def encode_wav(x: np.ndarray, rate: int) -> bytes:
 
 
 def resample(x: np.ndarray, rate: int, target: int) -> np.ndarray:
-    """Linear interpolation to round(N x target / rate) samples."""
+    """Linear interpolation to round(N x target / rate) samples; one sample or none gives none."""
     if rate == target or not len(x):
         return np.asarray(x, np.float32)
     n = round(len(x) * target / rate)
-    return np.interp(np.linspace(0, len(x) - 1, n), np.arange(len(x)), x).astype(np.float32)
+    if n <= 1:
+        return np.zeros(0, np.float32)
+    return np.interp(np.arange(n) * (len(x) / n), np.arange(len(x)), x).astype(np.float32)
+
+
+def slice_audio(x: np.ndarray, rate: int, start: float, end: float) -> np.ndarray:
+    """Samples from start to end seconds, bounds cut to whole samples and to the recording."""
+    return x[max(0, int(start * rate)) : min(len(x), max(0, int(end * rate)))]
+
+
+def lufs(x: np.ndarray, rate: int) -> float | None:
+    """Integrated loudness by ITU-R BS.1770: K-weighted power of 400 ms blocks every 100 ms, those below -70 and those more
+    than 10 below the mean of the rest left out. Null for less than a block. The weighting is taken from the filters'
+    response at each frequency of a block's spectrum.
+    """
+    size, hop = int(0.4 * rate), int(0.1 * rate)
+    if len(x) < size or hop < 1:
+        return None
+    response = np.abs(_k_response(rate, size)) ** 2
+    response[1 : -1 if size % 2 == 0 else None] *= 2
+    blocks = np.lib.stride_tricks.sliding_window_view(np.asarray(x, np.float64), size)[::hop]
+    power = np.concatenate([(np.abs(np.fft.rfft(blocks[a : a + 256], axis=1)) ** 2 @ response) / size**2 for a in range(0, len(blocks), 256)])
+
+    def level(p: np.ndarray) -> float:
+        return -0.691 + 10 * float(np.log10(p.mean())) if len(p) and p.mean() > 0 else -math.inf
+
+    loud = power[power > 10 ** ((-70 + 0.691) / 10)]
+    if not len(loud):
+        return -math.inf
+    return level(loud[loud > 10 ** ((level(loud) - 10 + 0.691) / 10)])
+
+
+def _k_response(rate: int, size: int) -> np.ndarray:
+    """Response of the shelf and the high pass of BS.1770 at the frequencies of a spectrum."""
+    z = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
+
+    def ratio(b: tuple, a: tuple) -> np.ndarray:
+        return (b[0] + b[1] * z + b[2] * z**2) / (a[0] + a[1] * z + a[2] * z**2)
+
+    # Gain, quality and corner frequency of the standard's two stages.
+    gain, q, corner = 3.999843853973347, 0.7071752369554196, 1681.974450955533
+    k, v = math.tan(math.pi * corner / rate), 10 ** (gain / 20)
+    w = v**0.4996667741545416
+    shelf = ratio((v + w * k / q + k * k, 2 * (k * k - v), v - w * k / q + k * k), (1 + k / q + k * k, 2 * (k * k - 1), 1 - k / q + k * k))
+    q, corner = 0.5003270373238773, 38.13547087602444
+    k = math.tan(math.pi * corner / rate)
+    return shelf * ratio((1, -2, 1), (1 + k / q + k * k, 2 * (k * k - 1), 1 - k / q + k * k))
 
 
 def snr_db(x: np.ndarray) -> float:
@@ -58,7 +105,7 @@ def snr_db(x: np.ndarray) -> float:
 
 def peak_db(x: np.ndarray) -> float:
     top = float(np.abs(x).max()) if len(x) else 0.0
-    return 20 * float(np.log10(top)) if top > 1e-6 else -120.0
+    return 20 * float(np.log10(top)) if top > 0 else -120.0
 
 
 def clipping_ratio(x: np.ndarray) -> float:
@@ -93,72 +140,89 @@ def speech_spans(x: np.ndarray, rate: int, frame_ms: float = 30.0, factor: float
     return [(a * size / rate, b * size / rate) for a, b in edges.reshape(-1, 2)]
 
 
-def pitch_track(x: np.ndarray, rate: int, low: float = 60.0, high: float = 500.0, hop_ms: float = 10.0) -> tuple[np.ndarray, np.ndarray]:
-    """F0 (0 where unvoiced) and confidence per hop, by the peak of the normalised autocorrelation of 40 ms windows."""
+def overlapping_speech(x: np.ndarray, rate: int) -> list[tuple[float, float]]:
+    """Runs of 25 ms frames every 10 ms whose level is above 1.2 x P30 (1e-4 at least), those below 200 ms left out."""
+    size, hop = int(0.025 * rate), int(0.010 * rate)
+    if len(x) < size:
+        return []
+    sums = np.r_[0, np.cumsum(np.asarray(x, np.float64) ** 2)]
+    at = np.arange(1 + (len(x) - size) // hop) * hop
+    level = np.sqrt((sums[at + size] - sums[at]) / size + 1e-12)
+    on = np.r_[0, (level > max(1e-4, np.percentile(level, 30) * 1.2)).astype(np.int8), 0]
+    edges = np.flatnonzero(np.diff(on)).reshape(-1, 2)
+    # A run that lasts to the last frame lasts to the last sample.
+    ends = np.where(edges[:, 1] == len(at), len(x), edges[:, 1] * hop)
+    return [(a * hop / rate, b / rate) for a, b in zip(edges[:, 0], ends) if b - a * hop >= 0.2 * rate]
+
+
+def pitch_track(x: np.ndarray, rate: int, low: float = 60.0, high: float = 600.0, hop_ms: float = 10.0) -> tuple[np.ndarray, np.ndarray]:
+    """F0 (0 where unvoiced) and confidence per hop, by the peak of the normalised autocorrelation of 40 ms windows.
+
+    Frames below a tenth of the recording's level, or with a peak below 0.3, are unvoiced.
+    """
     low, high = max(30.0, low), min(500.0, high)
-    size, hop = int(rate * 0.04), max(1, int(rate * hop_ms / 1000))
+    hop = max(1, round(rate * hop_ms / 1000))
+    size = max(round(rate * 0.04), 2 * hop)
+    none = np.zeros(1, np.float32)
     if len(x) < size:
-        return np.zeros(0, np.float32), np.zeros(0, np.float32)
-    frames = np.lib.stride_tricks.sliding_window_view(np.asarray(x, np.float64), size)[::hop]
-    frames = frames - frames.mean(1, keepdims=True)
-    spectrum = np.fft.rfft(frames, 2 * size, axis=1)
-    ac = np.fft.irfft(np.abs(spectrum) ** 2, axis=1)[:, :size]
-    short, long_ = max(1, int(rate / high)), min(int(rate / low), size - 1)
-    part = ac[:, short : long_ + 1]
-    if not part.shape[1]:
-        return np.zeros(len(frames), np.float32), np.zeros(len(frames), np.float32)
-    at = part.argmax(1)
-    energy = ac[:, 0]
-    peak = np.where(energy > 1e-10, part[np.arange(len(at)), at] / np.maximum(energy, 1e-12), 0.0)
-    voiced = (peak >= 0.3) & (energy / size > 1e-6)
-    return np.where(voiced, rate / (short + at), 0.0).astype(np.float32), np.where(voiced, np.clip(peak, 0, 1), 0.0).astype(np.float32)
+        return none, none.copy()
+    x = np.asarray(x, np.float64)
+    quiet = max(1e-4, 0.1 * math.sqrt(float((x * x).mean()) + 1e-12))
+    short, long_ = max(2, int(rate / high)), min(int(rate / low), size - 1)
+    every = np.lib.stride_tricks.sliding_window_view(x, size)[::hop]
+    f0, confidence = np.zeros(len(every), np.float32), np.zeros(len(every), np.float32)
+    if long_ <= short:
+        return f0, confidence
+    for a in range(0, len(every), 1024):
+        frames = every[a : a + 1024]
+        frames = frames - frames.mean(1, keepdims=True)
+        ac = np.fft.irfft(np.abs(np.fft.rfft(frames, 2 * size, axis=1)) ** 2, axis=1)[:, : long_ + 1]
+        at = ac[:, short:].argmax(1) + short
+        peak = ac[np.arange(len(at)), at] / (ac[:, 0] + 1e-12)
+        voiced = (peak >= 0.3) & (np.sqrt((frames**2).mean(1) + 1e-12) >= quiet)
+        f0[a : a + 1024] = np.where(voiced, rate / at, 0.0)
+        confidence[a : a + 1024] = np.where(voiced, np.clip(peak, 0, 1), 0.0)
+    return f0, confidence
 
 
 def octave_corrected(f0: np.ndarray, low: float, high: float) -> np.ndarray:
-    """Octave errors undone: first towards the mode of log2 F0, then against the voiced frame before; outliers become unvoiced."""
+    """Octave errors undone, what can't be undone unvoiced: from four voiced frames on first those more than six semitones
+    off the mode of log2 F0, then those as far off the voiced frame before; at last those outside the range."""
     out = np.asarray(f0, np.float64).copy()
     voiced = np.flatnonzero(out > 0)
-    if len(voiced) < 2:
-        return out.astype(np.float32)
-    counts, edges = np.histogram(np.log2(out[voiced]), bins=120)
-    mode = 2 ** ((edges[counts.argmax()] + edges[counts.argmax() + 1]) / 2)
-
-    def snapped(x: float, near: float, factors: tuple[float, ...]) -> float:
-        fits = [x * k for k in factors if low <= x * k <= high] or [x]
-        return min(fits, key=lambda v: abs(np.log2(v / near)))
-
+    if len(voiced) >= 4:
+        counts, edges = np.histogram(np.log2(out[voiced]), bins=120)
+        mode = (edges[counts.argmax()] + edges[counts.argmax() + 1]) / 2
+        far = voiced[np.abs(12 * (np.log2(out[voiced]) - mode)) > 6]
+        tried = out[far, None] * np.array([1.0, 2.0, 0.5, 4.0, 0.25])
+        off = np.abs(np.log2(tried) - mode)
+        best = off.argmin(1)
+        out[far] = np.where(12 * off[np.arange(len(far)), best] <= 6, tried[np.arange(len(far)), best], 0.0)
     before = 0.0
-    for i in voiced:
-        out[i] = snapped(out[i], mode, (1.0, 2.0, 0.5, 4.0, 0.25))
-        if before > 0 and abs(12 * np.log2(out[i] / before)) > 6:
-            out[i] = snapped(out[i], before, (1.0, 2.0, 0.5))
-            if abs(12 * np.log2(out[i] / before)) > 4:
-                out[i] = 0.0
-        if out[i] and not low <= out[i] <= high:
-            out[i] = 0.0
+    for i in np.flatnonzero(out > 0):
+        if before > 0 and abs(12 * math.log2(out[i] / before)) > 6:
+            best = min((out[i] * k for k in (1.0, 2.0, 0.5)), key=lambda v: abs(math.log2(v / before)))
+            out[i] = best if abs(12 * math.log2(best / before)) <= 4 else 0.0
         before = out[i] or before
-    return out.astype(np.float32)
+    return np.where((out >= low) & (out <= high), out, 0.0).astype(np.float32)
 
 
 MEASURES = StructType([
     StructField("duration_sec", DoubleType()), StructField("native_sr", IntegerType()), StructField("snr_db", DoubleType()), StructField("peak_db", DoubleType()),
-    StructField("clipping_ratio", DoubleType()), StructField("effective_bw_hz", DoubleType()), StructField("error", StringType()),
+    StructField("clipping_ratio", DoubleType()), StructField("effective_bw_hz", DoubleType()), StructField("lufs", DoubleType()), StructField("error", StringType()),
 ])
 
 
+def measures(content: bytes) -> tuple:
+    """One row of MEASURES."""
+    try:
+        x, rate = decode_wav(content)
+        return len(x) / rate, rate, snr_db(x), peak_db(x), clipping_ratio(x), bandwidth_hz(x, rate), lufs(x, rate), None
+    except Exception as e:
+        return (None,) * 7 + (f"sf_info_failed:{type(e).__name__}",)
+
+
 @F.pandas_udf(MEASURES)
 def measured(content: pd.Series) -> pd.DataFrame:
     """Measures of WAV files; a file that can't be read gives nulls and an error, never a failed task."""
-    rows = []
-    for c in content:
-        try:
-            x, rate = decode_wav(bytes(c))
-            rows.append((len(x) / rate, rate, snr_db(x), peak_db(x), clipping_ratio(x), bandwidth_hz(x, rate), None))
-        except Exception as e:
-            rows.append((None, None, None, None, None, None, f"sf_info_failed:{type(e).__name__}"))
-    return pd.DataFrame(rows, columns=MEASURES.names)
-
-
-@F.pandas_udf(ArrayType(FloatType()))
-def octave_corrected_udf(f0: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
-    return pd.Series([octave_corrected(np.asarray(x), a, b) if x is not None else None for x, a, b in zip(f0, low, high, strict=True)])
+    return pd.DataFrame([measures(bytes(c)) for c in content], columns=MEASURES.names)

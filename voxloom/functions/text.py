@@ -24,7 +24,7 @@ def speaker_key(c: Column | str) -> Column:
 
 
 # ASCII punctuation and what it becomes.
-HALF, FULL = ",.?!:;()[]", "，。？！：；（）【】"
+HALF, FULL = ",.?!:;()[]", "，。？！：；（）［］"
 
 
 def normalized(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import grams
 from ..session import stored
@@ -16,7 +16,7 @@ def similar_pairs(df: DataFrame, ident: str, group: str, text: str, threshold: s
     (1 - threshold) share + 1 grams of either text in the order of rising frequency, so common phrases
     join nothing. Null and empty texts have no pairs.
     """
-    rows = df.select(F.struct(F.col(group).alias("v")).alias("_gk"), F.struct(F.col(ident).alias("v")).alias("_id"), grams(text).alias("_s")).where(F.size("_s") > 0)
+    rows = df.select(F.struct(F.col(group).alias("v")).alias("_gk"), F.struct(F.col(ident).alias("v")).alias("_id"), _set(text).alias("_s")).where(F.size("_s") > 0)
     pairs = similar_sets(stored(rows.groupBy("_gk", "_s").agg(F.min("_id").alias("_ik"))), "_ik", "_gk", threshold)
     return pairs.select(F.col("_gk.v").alias(group), F.col("a.v").alias("a"), F.col("b.v").alias("b"), "jaccard")
 
@@ -29,7 +29,7 @@ def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order:
     """
     best = F.coalesce(F.nanvl(F.col(quality).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
     # The place in the order as one sortable key: copies fold to their best row.
-    rows = df.withColumn("_k", F.struct((-best).alias("q"), F.col(order).alias("o"))).withColumn("_s", grams(text))
+    rows = df.withColumn("_k", F.struct((-best).alias("q"), F.col(order).alias("o"))).withColumn("_s", _set(text))
     # Null speakers and ids are values of their own, as members of structs are equal when both are null; texts tell
     # apart records of one id.
     rows = rows.withColumns({"_gk": F.struct(F.col(group).alias("v")), "_ik": F.struct(F.col(ident).alias("v"), F.xxhash64("_s").alias("s"))})
@@ -45,6 +45,11 @@ def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order:
     return kept.drop("_k", "_s", "_gk", "_ik")
 
 
+def _set(text: str) -> Column:
+    """The 5-grams as sorted longs: half the size of texts, and equal sets are equal arrays."""
+    return F.array_sort(F.transform(grams(text), lambda g: F.xxhash64(g)))
+
+
 def similar_sets(sets: DataFrame, ident: str, group: str, threshold: str) -> DataFrame:
     """As similar_pairs(), for one row per distinct set _s."""
     t = float(threshold)

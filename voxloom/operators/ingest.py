@@ -33,12 +33,15 @@ def audio_id(speaker: Column, path: Column, row: Column) -> Column:
     return F.concat(speaker, F.lit("_"), F.when(path == "", F.concat(F.lit("row"), padded(row, 4))).otherwise(stem(path)))
 
 
-def ingest_reasons(found: Column | None = None) -> Column:
-    """The first that holds: columns are missing, the file is missing. Expects cleaned() columns."""
+def ingest_reasons(found: Column | None = None, failed: Column | None = None) -> Column:
+    """The first that holds: columns are missing, the file is missing, it can't be hashed (failed tells why, or null).
+    Expects cleaned() columns."""
     empty = F.array_compact(F.array(*[F.when(F.col(c) == "", F.lit(c)) for c in REQUIRED]))
     rules = F.when(F.size(empty) > 0, F.array(F.concat(F.lit("missing_columns:"), F.array_join(empty, ","))))
     if found is not None:
-        rules = rules.when(~found, F.array(F.lit("audio_missing")))
+        rules = rules.when(~F.coalesce(found, F.lit(False)), F.array(F.lit("audio_missing")))
+    if failed is not None:
+        rules = rules.when(failed.isNotNull(), F.array(F.concat(F.lit("hash_failed:"), failed)))
     return rules.otherwise(F.array().cast("array<string>"))
 
 
@@ -53,21 +56,21 @@ def qc_reasons(s: Settings, kind: Column, duration: Column, snr: Column, clip: C
         return out
 
     def text(prefix: str, name: str, whole: bool = False) -> Column:
-        out = F.lit(prefix + str(s.get(f"qc.podcast.{name}")))
+        out = F.lit(prefix + str(float(s.get(f"qc.podcast.{name}"))))
         for n in names:
-            out = F.when(kind == n, F.lit(prefix + str(s.get(f"qc.{n}.{name}")))).otherwise(out)
+            out = F.when(kind == n, F.lit(prefix + str(float(s.get(f"qc.{n}.{name}"))))).otherwise(out)
         return out
 
     if s.get("qc.smoke_test"):
         return F.array().cast("array<string>")
-    lo, hi = s.get("qc.lufs")
-    least = s.get("qc.min_duration_sec")
+    lo, hi = map(float, s.get("qc.lufs"))
+    least = float(s.get("qc.min_duration_sec"))
     return reasons(
         (duration < least, f"duration<{least}"), (snr < limit("min_snr_db"), text("snr<", "min_snr_db")), (clip > limit("max_clipping_ratio"), text("clipping>", "max_clipping_ratio")),
-        (bw < limit("min_bw_hz"), text("bw<", "min_bw_hz")), ((lufs < lo) | (lufs > hi), f"lufs_out_of_[{lo},{hi}]"))
+        (bw < limit("min_bw_hz"), text("effective_bw<", "min_bw_hz")), ((lufs < lo) | (lufs > hi), f"lufs_out_of_range[{lo},{hi}]"))
 
 
 def segment_ids(df: DataFrame, label: str, source: str, order: list[str], width: int, tag: str) -> Column:
-    """label_source_tagNNN, counted per source from 0 over all its segments."""
-    n = F.row_number().over(Window.partitionBy(source).orderBy(*order)) - 1
+    """label_source_tagNNN, counted per source from 1 over all its segments."""
+    n = F.row_number().over(Window.partitionBy(source).orderBy(*order))
     return F.concat_ws("_", F.col(label), F.col(source), F.concat(F.lit(tag), padded(n, width)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
@@ -55,10 +58,10 @@ def with_rate(df: DataFrame, chars: str, duration: str, s: Settings) -> DataFram
     return out.drop("_c", "_n", "_spoken", "_gaps", "_rates", "_skip", "_mean", "_std")
 
 
-def alignment_quality(chars: Column, text_chars: Column, start: Column, end: Column, confident: float = 0.85) -> dict[str, Column]:
+def alignment_quality(chars: Column, text_chars: Column, start: Column, end: Column, confident: float = 0.6) -> dict[str, Column]:
     """Coverage, degenerate and match ratios and confidences of an aligned text; 0 where there are no characters."""
     n = F.size(chars)
-    length = F.aggregate(chars, F.lit(0.0), lambda x, c: x + (c["end"] - c["start"]))
+    length = F.aggregate(chars, F.lit(0.0), lambda x, c: x + F.greatest(F.lit(0.0), c["end"] - c["start"]))
     odd = F.size(F.filter(chars, lambda c: (c["end"] - c["start"] < 0.02) | (c["end"] - c["start"] > 0.5)))
     conf = F.array_sort(F.transform(chars, lambda c: c["confidence"]))
     some = n > 0
@@ -82,22 +85,37 @@ def shifted(chars: Column, offset: float, start: Column, end: Column) -> Column:
     return F.transform(chars, move)
 
 
+CHARS = "array<struct<char:string,start:double,end:double,confidence:double>>"
+
+
 def even_chars(text: Column, start: Column, end: Column, confidence: float = 0.95) -> Column:
     """A deterministic stand-in for an aligner: the text's non-blank characters tile [start, end].
 
-    Each is as wide as 1 + (code point mod 7).
+    Each is as wide as 1 + (code point mod 7). Widths are summed up over a whole Arrow batch at once.
     """
-    letters = F.filter(F.split(text, ""), lambda c: (c != "") & (F.trim(c) != ""))
-    kind = "struct<at:double,list:array<struct<char:string,a:double,b:double>>>"
-
-    def add(acc: Column, c: Column) -> Column:
-        end = acc["at"] + (F.lit(1) + F.pmod(F.ascii(c), F.lit(7))).cast("double")
-        return F.struct(end.alias("at"), F.concat(acc["list"], F.array(F.struct(c.alias("char"), acc["at"].alias("a"), end.alias("b")))).alias("list"))
-
-    def place(acc: Column) -> Column:
-        return F.transform(acc["list"], lambda x: F.struct(
-            x["char"].alias("char"), (start_ + width * x["a"] / acc["at"]).alias("start"), (start_ + width * x["b"] / acc["at"]).alias("end"), F.lit(confidence).alias("confidence")))
 
-    # One fold, so that nothing is computed anew for each character.
-    start_, width = start, end - start
-    return F.aggregate(letters, F.struct(F.lit(0.0).alias("at"), F.array().alias("list")).cast(kind), lambda acc, c: add(acc, c).cast(kind), place)
+    @F.arrow_udf(CHARS)
+    def run(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+        null = pc.or_(pc.or_(texts.is_null(), starts.is_null()), ends.is_null())
+        whole = pc.fill_null(texts, "").to_pylist()
+        letters = "".join(whole)
+        codes = np.frombuffer(letters.encode("utf-32-le"), np.uint32)
+        row = np.repeat(np.arange(len(whole)), [len(t) for t in whole])
+        shown = codes != 0x20
+        codes, row = codes[shown], row[shown]
+        n = np.bincount(row, minlength=len(whole))
+        offsets = np.r_[0, np.cumsum(n)]
+        upto = np.r_[0, np.cumsum(1 + codes % 7)].astype(float)
+        total = (upto[offsets[1:]] - upto[offsets[:-1]])[row]
+        a, b = (x.fill_null(0.0).to_numpy(zero_copy_only=False) for x in (starts, ends))
+        length = (b - a)[row]
+        before = upto[:-1] - upto[offsets[:-1]][row]
+        after = upto[1:] - upto[offsets[:-1]][row]
+        raw = codes.astype("<u4").tobytes().decode("utf-32-le").encode()
+        width = 1 + (codes >= 0x80).astype(np.int32) + (codes >= 0x800) + (codes >= 0x10000)
+        signs = pa.StringArray.from_buffers(len(codes), pa.py_buffer(np.r_[0, np.cumsum(width)].astype(np.int32)), pa.py_buffer(raw))
+        fields = [signs, pa.array(a[row] + length * before / total), pa.array(a[row] + length * after / total), pa.array(np.full(len(codes), confidence))]
+        chars = pa.StructArray.from_arrays(fields, names=["char", "start", "end", "confidence"])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), chars, mask=null.combine_chunks() if isinstance(null, pa.ChunkedArray) else null)
+
+    return run(text, start.cast("double"), end.cast("double"))

@@ -65,6 +65,6 @@ def write_html(totals: DataFrame, by_grade: DataFrame, by_bucket: DataFrame, pat
     blocks = []
     for title, df in (("Totals", totals), ("Grades", by_grade), ("Prosody", by_bucket)):
         head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in df.limit(100).collect())
+        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in df.toLocalIterator())
         blocks.append(f"<h2>{title}</h2><table><tr>{head}</tr>{body}</table>")
     Path(path).write_text(f"<!doctype html><meta charset='utf-8'><title>Report</title>{''.join(blocks)}", encoding="utf-8")

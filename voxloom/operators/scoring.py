@@ -21,18 +21,29 @@ def group_percentiles(df: DataFrame, keys: list[str], value: Column, fractions:
     return ties.groupBy(*keys).agg(F.percentile("_x", fractions, F.col("_n")).alias(out), F.sum("_n").alias("n"))
 
 
+def rejected() -> Column:
+    return F.coalesce(F.col("status") == "rejected", F.lit(False))
+
+
 def adaptive_limits(df: DataFrame, speaker: str, s: Settings) -> DataFrame:
     """(speaker, f0_std_st_lo, ..._hi, ...): P10 and P95 per speaker with enough rows; null where switched off.
 
-    A missing metric counts as 0, and skipped local rates count as they are stored.
+    Rejected rows don't count (df has a status); a missing metric counts as 0, and skipped local rates count as they
+    are stored; rows without a speaker are a speaker of their own.
     """
-    out = None
+    out, keyed = None, df.where(~rejected()).withColumn("_spk", F.struct(F.col(speaker).alias("v")))
     for on, least, metrics in ((s.get("f0.adaptive"), s.get("f0.adaptive_min_utts"), PITCH), (s.get("rate.adaptive"), s.get("rate.adaptive_min_utts"), RATE)):
         for m in metrics:
-            per = group_percentiles(df.where(F.col(speaker).isNotNull()), [speaker], S.number(m), [0.10, 0.95], "_p")
-            per = per.where((F.col("n") >= least) & F.lit(bool(on))).select(speaker, F.col("_p")[0].alias(f"{m}_lo"), F.col("_p")[1].alias(f"{m}_hi"))
-            out = per if out is None else out.join(per, speaker, "full")
-    return out
+            per = group_percentiles(keyed, ["_spk"], S.number(m), [0.10, 0.95], "_p")
+            per = per.where((F.col("n") >= least) & F.lit(bool(on))).select("_spk", F.col("_p")[0].alias(f"{m}_lo"), F.col("_p")[1].alias(f"{m}_hi"))
+            out = per if out is None else out.join(per, "_spk", "full")
+    return out.withColumn(speaker, F.col("_spk.v")).drop("_spk")
+
+
+def with_limits(df: DataFrame, speaker: str, s: Settings) -> DataFrame:
+    """df with its speaker's own limits, null where it has none."""
+    own = adaptive_limits(df, speaker, s).withColumnRenamed(speaker, "_spk")
+    return df.join(own, df[speaker].eqNullSafe(own["_spk"]), "left").drop("_spk")
 
 
 def limits(s: Settings) -> dict[str, tuple[Column, Column]]:
@@ -52,19 +63,21 @@ def scored(df: DataFrame, s: Settings, speaker: str = "speaker_id") -> DataFrame
     Rows already rejected pass through as they are. The per-speaker limits are a small aggregate joined back.
     """
     df = with_columns(df, "f0_confidence", "clipping_ratio", "cer_vs_manual", "align_coverage", "align_degenerate_char_ratio", "align_char_match_ratio", "align_conf_mean", "high_conf_char_ratio", "snr_db", "lufs")
-    df = df.join(adaptive_limits(df, speaker, s), speaker, "left")
+    df = with_limits(df, speaker, s)
+    had = set(df.columns)
     parts = {"audio": S.audio_score(), "align": S.align_score(), "pitch": S.pitch_score(s), "rate": S.rate_score(s), "text": S.text_score()}
     names = {"audio": "audio_quality_score", "align": "align_quality_score", "pitch": "pitch_score", "rate": "rate_score", "text": "text_quality_score"}
-    out = df.withColumn("_gone", F.coalesce(F.col("status") == "rejected", F.lit(False))).withColumn("_why", S.hard_rules(s, limits(s)))
-    out = out.withColumns({names[k]: v for k, v in parts.items()})
-    out = out.withColumn("quality_score", S.quality(s, {k: F.col(n) for k, n in names.items()}))
+    out = df.withColumn("_gone", rejected()).withColumn("_why", S.hard_rules(s, limits(s)))
+    out = out.withColumns({f"_{k}": v for k, v in parts.items()})
+    out = out.withColumn("_quality", S.quality(s, {k: F.col(f"_{k}") for k in names}))
     old = F.coalesce("reject_reasons", F.array().cast("array<string>"))
+    new = {names[k]: F.col(f"_{k}") for k in names} | {"quality_score": F.col("_quality"), "grade": S.grade(F.col("_quality"), s), "prosody_bucket": S.bucket()}
+    out = out.withColumns({n: F.when(~F.col("_gone"), c).otherwise(F.col(n) if n in had else F.lit(None)) for n, c in new.items()})
     out = out.withColumns({
-        "grade": S.grade(F.col("quality_score"), s), "prosody_bucket": S.bucket(),
         "reject_reasons": F.when(F.col("_gone"), old).otherwise(F.concat(old, "_why")),
         "status": F.when(F.col("_gone") | (F.size("_why") > 0), "rejected").otherwise(F.coalesce("status", F.lit("ok"))),
     })
-    return out.drop("_gone", "_why", *[f"{m}_{e}" for m in PITCH + RATE for e in ("lo", "hi")])
+    return out.drop("_gone", "_why", "_quality", *[f"_{k}" for k in names], *[f"{m}_{e}" for m in PITCH + RATE for e in ("lo", "hi")])
 
 
 def reason_counts(df: DataFrame, column: str = "reject_reasons") -> DataFrame:

@@ -32,7 +32,8 @@ def mean_vectors(df: DataFrame, keys: list[str], vector: str, out: str) -> DataF
 
 
 def silhouette(vectors: np.ndarray) -> float:
-    """Mean silhouette of two clusters by cosine distance, seeded by the farthest pair, after up to 8 refinements; 0 if there are not two."""
+    """Mean silhouette of two clusters by cosine distance, seeded by the farthest pair, after up to 8 refinements; vectors
+    alone in their cluster don't count; 0 if there are not two clusters."""
     n = len(vectors)
     if n < 4:
         return 0.0
@@ -53,8 +54,9 @@ def silhouette(vectors: np.ndarray) -> float:
     sums = np.stack([d[:, label == k].sum(1) for k in (0, 1)], 1)
     own, other = sums[np.arange(n), label], sums[np.arange(n), 1 - label]
     inner, outer = own / np.maximum(size[label] - 1, 1), other / size[1 - label]
-    score = np.where((size[label] > 1) & (np.maximum(inner, outer) > 0), (outer - inner) / np.maximum(np.maximum(inner, outer), 1e-12), 0.0)
-    return float(score.mean())
+    score = (outer - inner) / np.maximum(np.maximum(inner, outer), 1e-12)
+    counted = size[label] > 1
+    return float(score[counted].mean()) if counted.any() else 0.0
 
 
 @F.pandas_udf(DoubleType())

@@ -44,21 +44,23 @@ def ingest_validate(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("audio_id", F.coalesce(F.get("r", F.lit(0)), F.lit("")).alias("reason"), short_hash("audio_path").alias("path_hash")).distinct()
 
 
-@query("audio_ids", """SELECT DISTINCT audio_id, trim(coalesce(speaker_id, '')) || '_' || CASE WHEN trim(coalesce(audio_path, '')) = '' THEN 'row0000' ELSE regexp_replace(regexp_replace(trim(audio_path), '^.*/', ''), '\\.[^.]*$', '') END AS made_id FROM ingest""")
+@query("audio_ids", """SELECT DISTINCT audio_id, trim(coalesce(speaker_id, '')) || '_' || CASE WHEN trim(coalesce(audio_path, '')) = '' THEN 'row' || lpad((length(audio_id) * 777)::VARCHAR, greatest(4, length((length(audio_id) * 777)::VARCHAR))::INT, '0') ELSE regexp_replace(regexp_replace(trim(audio_path), '^.*/', ''), '\\.[^.]*$', '') END AS made_id FROM ingest""")
 def audio_ids(spark: SparkSession, folder: str) -> DataFrame:
     rows = G.cleaned(table(spark, folder, "ingest"), G.REQUIRED)
-    return rows.select("audio_id", G.audio_id(F.col("speaker_id"), F.col("audio_path"), F.lit(0)).alias("made_id")).distinct()
+    return rows.select("audio_id", G.audio_id(F.col("speaker_id"), F.col("audio_path"), F.length("audio_id") * 777).alias("made_id")).distinct()
 
 
 @query("qc_threshold_reasons", f"""WITH {SPEECH}, ing AS (SELECT audio_id, max(recording_type) AS kind FROM ingest GROUP BY audio_id),
-j AS (SELECT seg_id, snr_db, lufs, coalesce(kind, '') AS kind FROM sp LEFT JOIN ing ON audio_id = source_audio_id),
-t AS (SELECT *, CASE kind WHEN 'studio' THEN 20.0 WHEN 'interview' THEN 8.0 WHEN 'field' THEN 8.0 ELSE 12.0 END AS least FROM j)
-SELECT seg_id, array_to_string(list_filter([CASE WHEN snr_db < least::DOUBLE THEN 'snr<' || least::VARCHAR END, CASE WHEN lufs < -45.0::DOUBLE OR lufs > -10.0::DOUBLE THEN 'lufs_out_of_[-45.0,-10.0]' END], lambda x: x IS NOT NULL), ';') AS reasons FROM t""")
+j AS (SELECT seg_id, s, e, snr_db, lufs, coalesce(kind, '') AS kind FROM sp LEFT JOIN ing ON audio_id = source_audio_id),
+t AS (SELECT *, CASE kind WHEN 'studio' THEN 20.0 WHEN 'interview' THEN 8.0 WHEN 'field' THEN 8.0 ELSE 12.0 END AS least, CASE kind WHEN 'studio' THEN '0.001' WHEN 'field' THEN '0.01' ELSE '0.005' END AS clip,
+ CASE kind WHEN 'studio' THEN '7500.0' WHEN 'interview' THEN '1000.0' ELSE '6000.0' END AS bw FROM j)
+SELECT seg_id, array_to_string(list_filter([CASE WHEN e - s < 30 THEN 'duration<30.0' END, CASE WHEN snr_db < least::DOUBLE THEN 'snr<' || least::VARCHAR END, CASE WHEN s / 10000 > clip::DOUBLE THEN 'clipping>' || clip END, CASE WHEN e * 100 < bw::DOUBLE THEN 'effective_bw<' || bw END,
+ CASE WHEN lufs < -45.0::DOUBLE OR lufs > -10.0::DOUBLE THEN 'lufs_out_of_range[-45.0,-10.0]' END], lambda x: x IS NOT NULL), ';') AS reasons FROM t""")
 def qc_threshold_reasons(spark: SparkSession, folder: str) -> DataFrame:
     kinds = table(spark, folder, "ingest").groupBy(F.col("audio_id").alias("source_audio_id")).agg(F.max("recording_type").alias("kind"))
     rows = _speech(spark, folder).join(kinds, KEYS, "left")
-    none = F.lit(None).cast("double")
-    why = G.qc_reasons(S0, F.coalesce("kind", F.lit("")), none, F.col("snr_db"), none, none, F.col("lufs"))
+    # The tables have no clipping and bandwidth of recordings: the bounds stand in, so that every rule meets both sides.
+    why = G.qc_reasons(S0, F.coalesce("kind", F.lit("")), F.col("end") - F.col("start"), F.col("snr_db"), F.col("start") / 10000, F.col("end") * 100, F.col("lufs"))
     return rows.select("seg_id", F.array_join(why, ";").alias("reasons"))
 
 
@@ -121,17 +123,19 @@ def interval_overlap(spark: SparkSession, folder: str) -> DataFrame:
     return I.overlapping(utt, seg, KEYS, 30.0)
 
 
-@query("force_cut")
+@query("force_cut", MIDS + """, w AS (WITH RECURSIVE k AS (SELECT source_audio_id, total, 0.0::DOUBLE AS cur, false AS is_cut FROM tot UNION ALL
+  (SELECT k.source_audio_id, total, coalesce(max(m), cur + 30), true FROM k LEFT JOIN mid ON mid.source_audio_id = k.source_audio_id AND m > cur AND m <= cur + 30 WHERE total - cur > 30 GROUP BY k.source_audio_id, total, cur)) SELECT * FROM k)
+ SELECT source_audio_id, round(cur, 6) AS cut FROM w WHERE is_cut""")
 def force_cut(spark: SparkSession, folder: str) -> DataFrame:
     """Speech of a recording as one segment, cut at silence middles so that no part is longer than the limit."""
     sp = _speech(spark, folder)
     totals = _totals(sp)
     mids = I.long_silence_middles(I.silences(sp, KEYS, "start", "end", totals, "total"), KEYS, S0.get("vad.min_silence_ms"))
     lists = totals.join(mids.groupBy(*KEYS).agg(F.array_sort(F.collect_list("mid")).alias("m")), KEYS, "left").withColumn("m", F.coalesce("m", F.array().cast("array<double>")))
-    return lists.select(*KEYS, F.explode(I.forced_cuts(F.lit(0.0), F.col("total"), F.col("m"), S0.get("vad.max_segment_sec"))).alias("cut"))
+    return lists.select(*KEYS, F.explode(I.forced_cuts(F.lit(0.0), F.col("total"), F.col("m"), S0.get("vad.max_segment_sec"))).alias("cut")).select(*KEYS, F.round("cut", 6).alias("cut"))
 
 
-@query("text_normalize", r"""SELECT DISTINCT seg_id, trim(regexp_replace(regexp_replace(regexp_replace(translate(asr_text, ',.?!:;()[]', '，。？！：；（）【】'), '[\s\p{Z}\x{0b}\x{85}]+', ' ', 'g'), '([^\x00-\x7f]) ([^\x00-\x7f])', '\1\2', 'g'), '([^\x00-\x7f]) ([^\x00-\x7f])', '\1\2', 'g')) AS text FROM asr WHERE asr_text IS NOT NULL""")
+@query("text_normalize", r"""SELECT DISTINCT seg_id, trim(regexp_replace(regexp_replace(regexp_replace(translate(asr_text, ',.?!:;()[]', '，。？！：；（）［］'), '[\s\p{Z}\x{0b}\x{85}]+', ' ', 'g'), '([^\x00-\x7f]) ([^\x00-\x7f])', '\1\2', 'g'), '([^\x00-\x7f]) ([^\x00-\x7f])', '\1\2', 'g')) AS text FROM asr WHERE asr_text IS NOT NULL""")
 def text_normalize(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "asr").where("asr_text IS NOT NULL").select("seg_id", normalized("asr_text").alias("text")).distinct()
 
@@ -162,15 +166,17 @@ RATE_SQL = """WITH u AS (SELECT DISTINCT utt_id, text, "start" AS s, "end" AS e
  w AS (SELECT *, (1 + unicode(ch) % 7)::DOUBLE AS w FROM c), k AS (SELECT *, sum(w) OVER v AS upto, sum(w) OVER (PARTITION BY utt_id, text, s, e) AS total FROM w WINDOW v AS (PARTITION BY utt_id, text, s, e ORDER BY i ROWS UNBOUNDED PRECEDING)),
  b AS (SELECT *, s + (e - s) * (upto - w) / total AS a, s + (e - s) * upto / total AS z FROM k),
  g AS (SELECT *, lead(z, 5) OVER (PARTITION BY utt_id, text, s, e ORDER BY i) AS far FROM b),
- r AS (SELECT utt_id, text, s, e, count(*) AS n, sum(z - a) AS spoken, list(6.0::DOUBLE / (far - a)) FILTER (far IS NOT NULL AND (i - 1) % 3 = 0) AS rates FROM g GROUP BY utt_id, text, s, e),
+ r AS (SELECT utt_id, text, s, e, count(*) AS n, sum(z - a) AS spoken, list(6.0::DOUBLE / (far - a)) FILTER (far IS NOT NULL AND (i - 1) % 3 = 0) AS rates, max(coalesce(gap, 0)) AS widest FROM (SELECT *, lead(a) OVER (PARTITION BY utt_id, text, s, e ORDER BY i) - z AS gap FROM g) GROUP BY utt_id, text, s, e),
  m AS (SELECT *, list_avg(rates) AS mu, list_stddev_pop(rates) AS sd, n < 12 OR coalesce(len(rates), 0) < 2 AS skip FROM r),
- rate AS (SELECT utt_id, text, n::INT AS n_chars, n / spoken AS cps, CASE WHEN skip THEN 0.0 ELSE sd / mu END AS cv, skip FROM m)"""
+ rate AS (SELECT utt_id, text, n::INT AS n_chars, n / spoken AS cps, CASE WHEN skip THEN 0.0 ELSE sd / mu END AS cv, CASE WHEN skip THEN 0.0 ELSE mu END AS mean, CASE WHEN skip THEN 0.0 ELSE sd END AS std, CASE WHEN skip THEN 0.0 ELSE list_aggregate(rates, 'quantile_cont', 0.95) - list_aggregate(rates, 'quantile_cont', 0.05) END AS width,
+  CASE WHEN widest > 0.2::DOUBLE THEN widest ELSE 0.0 END AS pause, (CASE WHEN widest > 0.5::DOUBLE THEN 1 ELSE 0 END)::INT AS long_pauses, skip FROM m)"""
 
 
-@query("rate_metrics", RATE_SQL + " SELECT utt_id, n_chars, round(cps, 6) AS cps, round(cv, 6) AS cv, skip AS skipped FROM rate")
+@query("rate_metrics", RATE_SQL + " SELECT utt_id, n_chars, round(cps, 6) AS cps, round(cv, 6) AS cv, round(mean, 6) AS mean, round(std, 6) AS std, round(width, 6) AS width, round(pause, 6) AS pause_ratio, long_pauses AS long_pause_count, skip AS skipped FROM rate")
 def rate_metrics(spark: SparkSession, folder: str) -> DataFrame:
     rows = R.with_rate(_aligned(spark, folder).where("size(chars) > 0"), "chars", "duration", S0)
-    return rows.select("utt_id", "n_chars", F.round("global_rate_cps", 6).alias("cps"), F.round("local_rate_cv", 6).alias("cv"), F.col("local_rate_skipped").alias("skipped"))
+    names = {"cps": "global_rate_cps", "cv": "local_rate_cv", "mean": "local_rate_mean", "std": "local_rate_std", "width": "local_rate_p5_p95_range", "pause_ratio": "pause_ratio"}
+    return rows.select("utt_id", "n_chars", *[F.round(c, 6).alias(n) for n, c in names.items()], "long_pause_count", F.col("local_rate_skipped").alias("skipped"))
 
 
 def _curve(x: str, lo: float, hi: float, d: float) -> str:
@@ -185,7 +191,8 @@ def rate_grades(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(S.grade(F.round(S.rate_score(S0), 9), S0).alias("grade")).groupBy("grade").agg(F.count("*").alias("n"))
 
 
-@query("align_quality")
+@query("align_quality", RATE_SQL + """, q AS (SELECT u.utt_id, u.text, u.s, u.e, count(b.ch) AS n, coalesce(sum(b.z - b.a), 0) / (u.e - u.s) AS cover, count(*) FILTER (b.z - b.a < 0.02::DOUBLE OR b.z - b.a > 0.5::DOUBLE) AS odd FROM u LEFT JOIN b ON b.utt_id = u.utt_id AND b.text = u.text AND b.s = u.s AND b.e = u.e GROUP BY u.utt_id, u.text, u.s, u.e)
+ SELECT utt_id, round(cover, 6) AS align_coverage, round(CASE WHEN n > 0 THEN odd / n ELSE 1.0 END, 6) AS align_degenerate_char_ratio, round(CASE WHEN length(text) > 0 THEN n / length(text) ELSE 0.0 END, 6) AS align_char_match_ratio, CASE WHEN n > 0 THEN 0.95 ELSE 0.0 END::DOUBLE AS align_conf_mean, CASE WHEN n > 0 THEN 0.95 ELSE 0.0 END::DOUBLE AS align_conf_p10, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS high_conf_char_ratio FROM q""")
 def align_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = _aligned(spark, folder)
     return rows.select("utt_id", *[F.round(c, 6).alias(n) for n, c in R.alignment_quality(F.col("chars"), F.length("text"), F.col("start"), F.col("end")).items()])
@@ -215,10 +222,11 @@ def _frames(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("pitch_stats", f"""WITH {FRAMES} SELECT user_id, round(count(*) FILTER (hz > 0) / count(*), 6) AS voiced_ratio, round(quantile_cont(hz, 0.5) FILTER (hz > 0), 6) AS f0_median_hz, round(stddev_pop(st), 6) AS f0_std_st,
- round(quantile_cont(st, 0.95) - quantile_cont(st, 0.05), 6) AS f0_range_st, round(coalesce(quantile_cont(d, 0.95), 0), 6) AS f0_delta_p95_st FROM dl GROUP BY user_id HAVING count(*) FILTER (hz > 0) >= 2""")
+ round(quantile_cont(st, 0.95) - quantile_cont(st, 0.05), 6) AS f0_range_st, round(coalesce(quantile_cont(d, 0.95), 0), 6) AS f0_delta_p95_st, round(coalesce(avg(0.5 + hz / 1000) FILTER (hz > 0), 0), 6) AS f0_confidence FROM dl GROUP BY user_id HAVING count(*) FILTER (hz > 0) >= 2
+ UNION ALL SELECT user_id, round(count(*) FILTER (hz > 0) / count(*), 6), 0.0, 0.0, 0.0, 0.0, round(coalesce(avg(0.5 + hz / 1000) FILTER (hz > 0), 0), 6) FROM fr GROUP BY user_id HAVING count(*) FILTER (hz > 0) < 2""")
 def pitch(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pitch_stats(_frames(spark, folder), "user_id", "i", "hz", "speaker_median_f0_hz").where("f0_median_hz > 0")
-    return rows.select("user_id", *[F.round(c, 6).alias(c) for c in ("voiced_ratio", "f0_median_hz", "f0_std_st", "f0_range_st", "f0_delta_p95_st")])
+    rows = pitch_stats(_frames(spark, folder).withColumn("conf", F.col("hz") / 1000 + 0.5), "user_id", "i", "hz", "speaker_median_f0_hz", "conf")
+    return rows.select("user_id", *[F.round(c, 6).alias(c) for c in ("voiced_ratio", "f0_median_hz", "f0_std_st", "f0_range_st", "f0_delta_p95_st", "f0_confidence")])
 
 
 @query("speaker_f0_median", "SELECT speaker_id, round(quantile_cont(f0_median_hz, 0.5), 6) AS median_hz FROM filter_score WHERE f0_median_hz > 0 AND NOT isnan(f0_median_hz) GROUP BY speaker_id")
@@ -231,7 +239,7 @@ def _num(c: str) -> str:
 
 
 LIMITS = f"""lim AS (SELECT speaker_id, quantile_cont({_num('f0_std_st')}, 0.1) AS std_lo, quantile_cont({_num('f0_std_st')}, 0.95) AS std_hi, quantile_cont({_num('f0_range_st')}, 0.1) AS range_lo, quantile_cont({_num('f0_range_st')}, 0.95) AS range_hi
- FROM filter_score WHERE speaker_id IS NOT NULL GROUP BY speaker_id HAVING count(*) >= 200)"""
+ FROM filter_score WHERE status IS DISTINCT FROM 'rejected' GROUP BY speaker_id HAVING count(*) >= 200)"""
 
 
 @query("adaptive_thresholds", f"WITH {LIMITS} SELECT speaker_id, round(std_lo, 6) AS std_lo, round(std_hi, 6) AS std_hi, round(range_lo, 6) AS range_lo, round(range_hi, 6) AS range_hi FROM lim")
@@ -241,24 +249,22 @@ def adaptive_thresholds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 RULES = f"""WITH {LIMITS}, f AS (SELECT utt_id, quality_score, duration, loaded_at, {', '.join(f'{_num(c)} AS {c}' for c in ('voiced_ratio', 'f0_delta_p95_st', 'f0_std_st', 'f0_range_st', 'global_rate_cps', 'local_rate_cv', 'pause_ratio'))}, coalesce(local_rate_skipped, false) AS skip,
-  coalesce(std_lo, 1.0) AS std_lo, coalesce(std_hi, 10.0) AS std_hi, coalesce(range_lo, 3.0) AS range_lo, coalesce(range_hi, 20.0) AS range_hi FROM filter_score LEFT JOIN lim USING (speaker_id)),
+  coalesce(std_lo, 1.0) AS std_lo, coalesce(std_hi, 10.0) AS std_hi, coalesce(range_lo, 3.0) AS range_lo, coalesce(range_hi, 20.0) AS range_hi FROM filter_score LEFT JOIN lim ON filter_score.speaker_id IS NOT DISTINCT FROM lim.speaker_id),
  r AS (SELECT *, list_filter([CASE WHEN voiced_ratio < 0.35::DOUBLE THEN 'voiced_ratio<0.35' END, 'f0_confidence<0.65', CASE WHEN f0_delta_p95_st > 6 THEN 'f0_delta_p95_st>6.0' END,
-  CASE WHEN f0_std_st < std_lo THEN 'f0_std_st<' END, CASE WHEN f0_std_st > std_hi THEN 'f0_std_st>' END, CASE WHEN f0_range_st < range_lo THEN 'f0_range_st<' END, CASE WHEN f0_range_st > range_hi THEN 'f0_range_st>' END,
-  CASE WHEN global_rate_cps < 2 THEN 'global_rate_cps<' END, CASE WHEN global_rate_cps > 9 THEN 'global_rate_cps>' END, CASE WHEN NOT skip AND local_rate_cv < 0.06::DOUBLE THEN 'local_rate_cv<' END, CASE WHEN NOT skip AND local_rate_cv > 0.65::DOUBLE THEN 'local_rate_cv>' END,
+  CASE WHEN f0_std_st < std_lo THEN printf('f0_std_st<%.2f', std_lo) END, CASE WHEN f0_std_st > std_hi THEN printf('f0_std_st>%.2f', std_hi) END, CASE WHEN f0_range_st < range_lo THEN printf('f0_range_st<%.2f', range_lo) END, CASE WHEN f0_range_st > range_hi THEN printf('f0_range_st>%.2f', range_hi) END,
+  CASE WHEN global_rate_cps < 2 THEN 'global_rate_cps<2.00' END, CASE WHEN global_rate_cps > 9 THEN 'global_rate_cps>9.00' END, CASE WHEN NOT skip AND local_rate_cv < 0.06::DOUBLE THEN 'local_rate_cv<0.06' END, CASE WHEN NOT skip AND local_rate_cv > 0.65::DOUBLE THEN 'local_rate_cv>0.65' END,
   CASE WHEN pause_ratio > 0.45::DOUBLE THEN 'pause_ratio>0.45' END], lambda x: x IS NOT NULL) AS why FROM f)"""
 
 
 def _rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = C.with_columns(table(spark, folder, "filter_score"), "f0_confidence", "align_coverage", "align_degenerate_char_ratio", "align_char_match_ratio", "align_conf_mean", "high_conf_char_ratio")
-    rows = rows.join(C.adaptive_limits(rows, "speaker_id", S0), "speaker_id", "left")
+    rows = C.with_limits(rows, "speaker_id", S0)
     return rows.withColumn("why", S.hard_rules(S0, C.limits(S0)))
 
 
 @query("hard_rules", RULES + " SELECT utt_id, array_to_string(why, ';') AS why, count(*) AS n FROM r GROUP BY 1, 2")
 def hard_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Reasons without the limits that vary by speaker, as SQL and Spark print their last digits in their own ways."""
-    plain = F.transform("why", lambda x: F.regexp_replace(x, r"^(f0_std_st|f0_range_st|global_rate_cps|local_rate_cv)([<>]).*$", "$1$2"))
-    return _rules(spark, folder).groupBy("utt_id", F.array_join(plain, ";").alias("why")).agg(F.count("*").alias("n"))
+    return _rules(spark, folder).groupBy("utt_id", F.array_join("why", ";").alias("why")).agg(F.count("*").alias("n"))
 
 
 @query("reject_reason_counts", "SELECT x AS reject_reason, count(*) AS \"count\" FROM (SELECT unnest(reject_reasons) AS x FROM filter_score) GROUP BY 1")
@@ -266,16 +272,21 @@ def reject_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
     return C.reason_counts(table(spark, folder, "filter_score"))
 
 
-@query("quality_scores")
+SCORES = f"""f AS (SELECT utt_id, {_num('f0_std_st')} AS s, {_num('f0_delta_p95_st')} AS d, {_num('global_rate_cps')} AS c, {_num('local_rate_cv')} AS v, coalesce(local_rate_skipped, false) AS k FROM filter_score),
+ p AS (SELECT utt_id, 0.5 * ({_curve('s', 2.0, 6.0, 2.0)} + CASE WHEN d < 0 THEN 0 WHEN d <= 4 THEN 1 ELSE greatest(0, least(1, 1 - (d - 4) / 2)) END) AS pitch, CASE WHEN k THEN {_curve('c', 4.0, 7.5, 2.0)} ELSE 0.5 * ({_curve('c', 4.0, 7.5, 2.0)} + {_curve('v', 0.12, 0.45, 0.2)}) END AS rate,
+  CASE WHEN s < 2 OR (NOT k AND v < 0.1::DOUBLE) THEN 'flat' WHEN s < 5 AND (k OR v < 0.35::DOUBLE) THEN 'natural' WHEN (s >= 5 AND s <= 8) OR (NOT k AND v >= 0.35::DOUBLE AND v <= 0.55::DOUBLE) THEN 'expressive' ELSE 'chaotic' END AS bucket FROM f)"""
+
+
+# Without signal measures a clip has 0.45 for its audio and 0 for its alignment, and its pitch no confidence.
+@query("quality_scores", f"""WITH {SCORES}, q AS (SELECT utt_id, bucket, 0.25::DOUBLE * 0.45::DOUBLE + 0.25::DOUBLE * pitch + 0.2::DOUBLE * rate + 0.1::DOUBLE * 0.85::DOUBLE AS x FROM p)
+ SELECT utt_id, round(x, 6) AS quality_score, CASE WHEN round(x, 9) >= 0.85 THEN 'A' WHEN round(x, 9) >= 0.75 THEN 'B' WHEN round(x, 9) >= 0.6 THEN 'C' ELSE 'D' END AS grade, bucket AS prosody_bucket, 'rejected' AS status FROM q""")
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     """All sub-scores, grades, buckets and reject reasons anew from the stored metrics."""
     rows = C.scored(table(spark, folder, "filter_score").drop("status", "reject_reasons").withColumns({"status": F.lit(None).cast("string"), "reject_reasons": F.array().cast("array<string>")}), S0)
     return rows.select("utt_id", F.round("quality_score", 6).alias("quality_score"), "grade", "prosody_bucket", "status")
 
 
-@query("pitch_rate_scores", f"""WITH f AS (SELECT DISTINCT utt_id, {_num('f0_std_st')} AS s, {_num('f0_delta_p95_st')} AS d, {_num('global_rate_cps')} AS c, {_num('local_rate_cv')} AS v, coalesce(local_rate_skipped, false) AS k FROM filter_score)
- SELECT DISTINCT utt_id, round(0.5 * ({_curve('s', 2.0, 6.0, 2.0)} + CASE WHEN d < 0 THEN 0 WHEN d <= 4 THEN 1 ELSE greatest(0, least(1, 1 - (d - 4) / 2)) END), 6) AS pitch, round(CASE WHEN k THEN {_curve('c', 4.0, 7.5, 2.0)} ELSE 0.5 * ({_curve('c', 4.0, 7.5, 2.0)} + {_curve('v', 0.12, 0.45, 0.2)}) END, 6) AS rate,
- CASE WHEN s < 2 OR (NOT k AND v < 0.1::DOUBLE) THEN 'flat' WHEN s < 5 AND (k OR v < 0.35::DOUBLE) THEN 'natural' WHEN (s >= 5 AND s <= 8) OR (NOT k AND v >= 0.35::DOUBLE AND v <= 0.55::DOUBLE) THEN 'expressive' ELSE 'chaotic' END AS bucket FROM f""")
+@query("pitch_rate_scores", f"WITH {SCORES} SELECT DISTINCT utt_id, round(pitch, 6) AS pitch, round(rate, 6) AS rate, bucket FROM p")
 def pitch_rate_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "filter_score")
     return rows.select("utt_id", F.round(S.pitch_score(S0), 6).alias("pitch"), F.round(S.rate_score(S0), 6).alias("rate"), S.bucket().alias("bucket")).distinct()
@@ -291,10 +302,14 @@ def _clips(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "manifests").where("utt_id IS NOT NULL").dropDuplicates(["utt_id"])
 
 
-@query("similar_texts")
+@query("similar_texts", """WITH t AS (SELECT "language", utt_id, list_sort(list_distinct(list_transform(range(1, greatest(length(text) - 3, 2)), lambda i: substr(text, i, 5)))) AS g FROM manifests WHERE text <> ''),
+ c AS (SELECT "language", g, min(utt_id) AS id, len(g) AS n FROM t GROUP BY ALL), w AS (SELECT "language", id, n, unnest(g) AS w FROM c),
+ p AS (SELECT x."language", least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, x.n + y.n AS n, count(*) AS both_ FROM w x JOIN w y ON x."language" IS NOT DISTINCT FROM y."language" AND x.w = y.w AND x.id < y.id GROUP BY ALL)
+ SELECT "language", a, b, round(both_ / (n - both_), 6) AS jaccard FROM p WHERE both_ / (n - both_) > 0.8""")
 def similar_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-alike texts of one language: the tables have none of one speaker."""
     rows = table(spark, folder, "manifests").where("text IS NOT NULL")
-    return similar_pairs(rows, "utt_id", "speaker_id", "text", "0.8").select("speaker_id", "a", "b", F.round("jaccard", 6).alias("jaccard"))
+    return similar_pairs(rows, "utt_id", "language", "text", "0.8").select("language", "a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query("dedup_keep")
@@ -352,9 +367,11 @@ def rate_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return P.histogram(table(spark, folder, "filter_score").where("global_rate_cps > 0"), F.col("global_rate_cps"), 0.0, 10.0, 30)
 
 
-@query("grade_export", "SELECT split, count(*) AS n, round(sum(duration), 3) AS total_sec FROM manifests WHERE grade = 'A' GROUP BY split")
+@query("grade_export", """WITH a AS (SELECT split, coalesce(speaker_label, '?') AS l, count(*) AS c, sum(duration) AS d FROM manifests WHERE grade = 'A' GROUP BY 1, 2)
+ SELECT split, sum(c)::BIGINT AS n, round(sum(d), 3) AS total_sec, string_agg(l || '=' || c, ';' ORDER BY l) AS per_label FROM a GROUP BY split""")
 def grade_export(spark: SparkSession, folder: str) -> DataFrame:
-    return P.export_summary(table(spark, folder, "manifests"), "A").select("split", "n", F.round("total_sec", 3).alias("total_sec"))
+    labels = F.array_join(F.transform(F.array_sort(F.map_entries("per_label")), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ";")
+    return P.export_summary(table(spark, folder, "manifests"), "A").select("split", "n", F.round("total_sec", 3).alias("total_sec"), labels.alias("per_label"))
 
 
 @query("rescore", """WITH f AS (SELECT utt_id, coalesce(reject_reasons, []) AS old, spk_consistency AS m FROM filter_score),
@@ -391,7 +408,9 @@ def speaker_consistency(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("utt", "label", "n_windows", *[F.round(c, 6).alias(c) for c in ("silhouette", "max_dist_to_center", "max_neighbor_delta", "ref_outlier_ratio")], F.array_join("reasons", ";").alias("reasons"))
 
 
-@query("adjacent_jaccard")
+@query("adjacent_jaccard", """WITH x AS (SELECT utt_id, source_audio_id, max(text) AS text FROM fine_segment WHERE utt_id IS NOT NULL GROUP BY 1, 2), l AS (SELECT *, lag(text) OVER (PARTITION BY source_audio_id ORDER BY utt_id) AS b FROM x),
+ g AS (SELECT utt_id, list_distinct(list_transform(range(1, greatest(length(text) - 3, 2)), lambda i: substr(text, i, 5))) AS p, list_distinct(list_transform(range(1, greatest(length(b) - 3, 2)), lambda i: substr(b, i, 5))) AS q, text, b FROM l WHERE text IS NOT NULL AND b IS NOT NULL)
+ SELECT utt_id, round(CASE WHEN text = '' OR b = '' THEN 0.0 ELSE len(list_intersect(p, q)) / (len(p) + len(q) - len(list_intersect(p, q))) END, 6) AS jaccard FROM g""")
 def adjacent_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "fine_segment").where("utt_id IS NOT NULL").groupBy("utt_id", "source_audio_id").agg(F.max("text").alias("text"))
     w = Window.partitionBy("source_audio_id").orderBy("utt_id")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.signal import measured
@@ -18,8 +19,12 @@ def read_manifest(spark: SparkSession, path: str, schema: StructType | str) -> D
 def read_metadata(spark: SparkSession, path: str, base: str = "") -> DataFrame:
     """The ingest table of a CSV file with header: stripped fields, ids, reasons."""
     rows = cleaned(spark.read.option("header", True).csv(path), (*REQUIRED, "transcript_path"))
-    # The place in the file names rows without a path; a single small file is read in order.
-    rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("reject_reasons", ingest_reasons())
+    # The place in the file names rows without a path. Only those need numbers that don't depend on partitions: by what
+    # the row says, as a file has no order once it is read in parts.
+    alike = Window.partitionBy(F.col("audio_path") == "").orderBy("_at")
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    bare = rows.where("audio_path = ''").withColumn("_row", F.row_number().over(alike) - 1)
+    rows = rows.where("audio_path <> ''").withColumn("_row", F.lit(0)).unionByName(bare).drop("_at").withColumn("reject_reasons", ingest_reasons())
     rows = rows.withColumn("audio_id", audio_id(F.col("speaker_id"), F.col("audio_path"), F.col("_row"))).withColumn("audio_path", resolved(F.col("audio_path"), base))
     return rows.withColumn("status", F.when(F.size("reject_reasons") > 0, "rejected").otherwise("passed")).drop("_row")
 
@@ -53,12 +58,16 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
 
 def textgrid_turns(text: Column) -> Column:
     """Non-empty intervals of all tiers of a verbose TextGrid: array of (speaker, start, end, text)."""
-    tiers = F.slice(F.split(text, r"item\s*\[\d+\]\s*:"), 2, 1_000_000)
+    def rest(parts: Column) -> Column:
+        """What follows the part before the first heading."""
+        return F.slice(parts, 2, F.size(parts))
+
+    tiers = rest(F.split(text, r"item\s*\[\d+\]\s*:"))
     number = r"\s*=\s*([0-9.eE+-]+)"
 
     def turns(tier: Column) -> Column:
         name = F.regexp_extract(tier, r'name\s*=\s*"([^"]*)"', 1)
-        spans = F.slice(F.split(tier, r"intervals\s*\[\d+\]\s*:?"), 2, 10_000_000)
+        spans = rest(F.split(tier, r"intervals\s*\[\d+\]\s*:?"))
         return F.transform(spans, lambda s: F.struct(name.alias("speaker"), F.regexp_extract(s, "xmin" + number, 1).try_cast("double").alias("start"), F.regexp_extract(s, "xmax" + number, 1).try_cast("double").alias("end"), F.trim(F.regexp_extract(s, r'text\s*=\s*"((?:[^"]|"")*)"', 1)).alias("text")))
 
     return F.filter(F.flatten(F.transform(tiers, turns)), lambda t: (t["text"] != "") & t["start"].isNotNull())
@@ -86,6 +95,22 @@ def read_stamped(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("utt_id", "text", stamped_chars(F.col("text"), F.col("_s")).alias("chars"))
 
 
-def episode(stem_: Column) -> Column:
-    """Speaker of an utterance: its stem without the last _S... part."""
-    return F.regexp_replace(stem_, r"_S[^_]*$", "")
+def read_predictions(spark: SparkSession, path: str, schema: StructType | str = "source_audio_id string, speaker_label string, start double, end double, status string") -> DataFrame:
+    """(meeting_id, speaker, start, end) of a segment manifest, without rejected segments; no speaker is UNK."""
+    rows = read_manifest(spark, path, schema).where(F.coalesce(F.col("status") != "rejected", F.lit(True)))
+    return rows.select(F.col("source_audio_id").alias("meeting_id"), F.coalesce("speaker_label", F.lit("UNK")).alias("speaker"), "start", "end")
+
+
+def without_noise(turns: DataFrame) -> DataFrame:
+    """Reference turns of speakers, as (meeting_id, speaker, start, end)."""
+    return turns.where(~F.coalesce(F.col("is_noise"), F.lit(False))).select("meeting_id", "speaker", "start", "end")
+
+
+def read_split(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A split's manifest; no rows where there is none."""
+    try:
+        return read_manifest(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
