@@ -8,6 +8,14 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DoubleType, LongType
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 well-mixed bits of each whole number."""
+    x = (x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
 def codes_of(values: np.ndarray) -> np.ndarray:
     """int64 codes that sort as the doubles do (-0.0 as 0.0, NaN above all)."""
     v = np.asarray(values, np.float64) + 0.0

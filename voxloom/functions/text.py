@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, LongType
+
+from .order import mixed
 
 #: Speaker names that stand for no speaker.
 NO_SPEAKER = ("", "multi", "unknown")
@@ -41,6 +46,43 @@ def grams(c: Column | str, n: int = 5) -> Column:
     return F.when(F.coalesce(size, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(many)
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def gram_hashes(texts: pa.Array) -> pa.Array:
+    """Sorted hashes of the distinct 5-grams, of a whole Arrow batch at once; those of grams()'s, in 64 bits."""
+    size, whole = 5, pc.fill_null(texts, "").to_pylist()
+    codes = np.frombuffer("".join(whole).encode("utf-32-le"), np.uint32)
+    n = np.array([len(t) for t in whole], np.int64)
+    m = np.where(n >= size, n - size + 1, n > 0)
+    row = np.repeat(np.arange(len(n)), m)
+    place = np.repeat(np.cumsum(n) - n, m) + np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)
+    length = np.minimum(n[row], size)
+    bits = mixed(np.r_[codes, np.zeros(size, np.uint32)])
+    h = length.astype(np.uint64)
+    for i in range(size):
+        h = np.where(length > i, h * np.uint64(0x9E3779B97F4A7C15) + bits[np.minimum(place + i, len(bits) - 1)], h)
+    h = mixed(h).view(np.int64)
+    by = np.lexsort((h, row))
+    h, row = h[by], row[by]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    offsets = np.r_[0, np.cumsum(np.bincount(row[new], minlength=len(n)))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[new]))
+
+
+def set_aside(rare_first: np.ndarray):
+    """A function of sorted longs: those in the sorted array rare_first last, the others first, each part in order."""
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def run(sets: pa.Array) -> pa.Array:
+        values, offsets = sets.flatten().to_numpy(), np.asarray(sets.offsets)
+        row = np.repeat(np.arange(len(sets)), np.diff(offsets))
+        at = np.minimum(np.searchsorted(rare_first, values), max(len(rare_first) - 1, 0))
+        known = rare_first[at] == values if len(rare_first) else np.zeros(len(values), bool)
+        return pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(values[np.lexsort((known, row))]))
+
+    return run
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """0 where either set is empty."""
     both = F.size(F.array_intersect(a, b))

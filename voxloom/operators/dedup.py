@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import grams
+from ..functions.text import gram_hashes, set_aside
 from ..session import stored
 
 
+#: Grams that are in more than one of so many places of all texts, and in more than FEW, are common.
+COMMON, FEW = 10_000, 8
+
+
 def similar_pairs(df: DataFrame, ident: str, group: str, text: str, threshold: str = "0.9") -> DataFrame:
     """(group, a, b, jaccard), a < b: ids of one group whose 5-gram sets are more similar than threshold.
 
     Copies of one text enter as one class, so that they never pair up; ids are those of the classes' least
-    members. Only the rarest grams of each text meet: a pair above the threshold shares one of the first
-    (1 - threshold) share + 1 grams of either text in the order of rising frequency, so common phrases
-    join nothing. Null and empty texts have no pairs.
+    members. Only a few grams of each text meet: a pair above the threshold shares one of the first
+    (1 - threshold) share + 1 grams of either text in any order that all texts have in common; common ones stand last
+    in it, so common phrases join nothing. Null and empty texts have no pairs.
     """
-    rows = df.select(F.struct(F.col(group).alias("v")).alias("_gk"), F.struct(F.col(ident).alias("v")).alias("_id"), _set(text).alias("_s")).where(F.size("_s") > 0)
+    rows = df.select(F.struct(F.col(group).alias("v")).alias("_gk"), F.struct(F.col(ident).alias("v")).alias("_id"), gram_hashes(F.col(text)).alias("_s")).where(F.size("_s") > 0)
     pairs = similar_sets(stored(rows.groupBy("_gk", "_s").agg(F.min("_id").alias("_ik"))), "_ik", "_gk", threshold)
     return pairs.select(F.col("_gk.v").alias(group), F.col("a.v").alias("a"), F.col("b.v").alias("b"), "jaccard")
 
@@ -29,7 +34,7 @@ def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order:
     """
     best = F.coalesce(F.nanvl(F.col(quality).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
     # The place in the order as one sortable key: copies fold to their best row.
-    rows = df.withColumn("_k", F.struct((-best).alias("q"), F.col(order).alias("o"))).withColumn("_s", _set(text))
+    rows = df.withColumn("_k", F.struct((-best).alias("q"), F.col(order).alias("o"))).withColumn("_s", gram_hashes(F.col(text)))
     # Null speakers and ids are values of their own, as members of structs are equal when both are null; texts tell
     # apart records of one id.
     rows = rows.withColumns({"_gk": F.struct(F.col(group).alias("v")), "_ik": F.struct(F.col(ident).alias("v"), F.xxhash64("_s").alias("s"))})
@@ -45,19 +50,16 @@ def dedup(df: DataFrame, ident: str, group: str, text: str, quality: str, order:
     return kept.drop("_k", "_s", "_gk", "_ik")
 
 
-def _set(text: str) -> Column:
-    """The 5-grams as sorted longs: half the size of texts, and equal sets are equal arrays."""
-    return F.array_sort(F.transform(grams(text), lambda g: F.xxhash64(g)))
-
-
 def similar_sets(sets: DataFrame, ident: str, group: str, threshold: str) -> DataFrame:
     """As similar_pairs(), for one row per distinct set _s."""
     t = float(threshold)
-    flat = sets.select(F.col(group).alias("_g"), F.col(ident).alias("_id"), F.size("_s").alias("_n"), F.explode("_s").alias("_w"))
-    often = flat.groupBy("_w").agg(F.count("*").alias("_f"))
-    per = flat.join(often, "_w").groupBy("_g", "_id", "_n").agg(F.array_sort(F.collect_list(F.struct("_f", "_w"))).alias("_a"))
-    first = F.slice("_a", 1, (F.col("_n") - F.ceil(F.col("_n") * t) + 1).cast("int"))
-    keys = per.select("_g", "_id", "_n", F.explode(F.transform(first, lambda x: x["_w"])).alias("_w"))
+    rows = sets.select(F.col(group).alias("_g"), F.col(ident).alias("_id"), F.size("_s").alias("_n"), "_s")
+    # Fewer than COMMON grams can hold more than that share of all; they stand last, the others in the order of their hash.
+    often = sets.select(F.explode("_s").alias("_w")).groupBy("_w").agg(F.count("*").alias("_f"))
+    total = rows.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    common = np.array(sorted(r["_w"] for r in often.where(F.col("_f") > max(total // COMMON, FEW)).collect()), np.int64)
+    first = F.slice(set_aside(common)("_s"), 1, (F.col("_n") - F.ceil(F.col("_n") * t) + 1).cast("int"))
+    keys = rows.select("_g", "_id", "_n", F.explode(first).alias("_w"))
     a, b = keys.withColumnsRenamed({"_id": "a", "_n": "_na"}), keys.withColumnsRenamed({"_id": "b", "_n": "_nb"})
     near = a.join(b, ["_g", "_w"]).where("a < b").where(F.least("_na", "_nb") >= F.greatest("_na", "_nb") * t).select("_g", "a", "b").distinct()
     sa, sb = (sets.select(F.col(group).alias("_g"), F.col(ident).alias(x), F.col("_s").alias(f"_s{x}")) for x in "ab")
