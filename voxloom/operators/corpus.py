@@ -108,6 +108,12 @@ def precut_metadata(pieces: DataFrame) -> DataFrame:
     return pieces.select(F.col("out_path").alias("audio_path"), *[F.lit(v).alias(k) for k, v in fixed.items()])
 
 
+def first_of(df: DataFrame, keys: list[str], good: Column, ident: str) -> DataFrame:
+    """(*keys, ident): per key the first row that is good, else the first of all, by ident."""
+    rank = F.struct(F.coalesce(~good, F.lit(True)).alias("g"), F.col(ident).alias("i"))
+    return df.groupBy(*keys).agg(F.min(rank)["i"].alias(ident))
+
+
 def duration_band(df: DataFrame, duration: str, least: float = 3.0, most: float = 20.0) -> DataFrame:
     """Rows with a length from least to most seconds; unknown lengths are left out."""
     return df.where(F.col(duration).between(least, most))

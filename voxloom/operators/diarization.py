@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,33 +12,50 @@ COLUMNS = "meeting_id string, ref_sec double, missed double, false_alarm double,
 
 
 def _cover(turns: list[tuple[float, float, str]], holes: list[tuple[float, float]]) -> list[tuple[float, float, frozenset]]:
-    """Stretches of constant speakers outside the holes."""
-    points = sorted({t for a, b, _ in turns for t in (a, b)} | {t for h in holes for t in h})
-    out = []
-    for a, b in zip(points, points[1:]):
-        mid = (a + b) / 2
-        if not any(x <= mid < y for x, y in holes):
-            out.append((a, b, frozenset(s for x, y, s in turns if x <= mid < y)))
+    """Stretches of constant speakers outside the holes, in one sweep over the bounds of both."""
+    events = sorted([(t, k, s) for a, b, s in turns for t, k in ((a, 1), (b, -1))] + [(t, k, None) for a, b in holes for t, k in ((a, 1), (b, -1))], key=lambda e: e[0])
+    out, active, closed, last = [], Counter(), 0, None
+    for t, k, s in events:
+        if last is not None and t > last and not closed:
+            out.append((last, t, frozenset(active)))
+        last = t
+        if s is None:
+            closed += k
+        else:
+            active[s] += k
+            if not active[s]:
+                del active[s]
     return out
 
 
 def best_mapping(weight: dict[tuple[str, str], float], left: list[str], right: list[str]) -> dict[str, str]:
-    """One-to-one mapping of greatest total weight (exact, by dynamic programming over sets of the smaller side)."""
+    """One-to-one mapping of greatest total weight, by augmenting paths with potentials (cubic in the speakers)."""
     if len(left) > len(right):
         return {b: a for a, b in best_mapping({(b, a): w for (a, b), w in weight.items()}, right, left).items()}
-
-    @lru_cache(None)
-    def best(j: int, free: int) -> tuple[float, tuple]:
-        if j == len(right):
-            return 0.0, ()
-        out = best(j + 1, free)
-        for i, a in enumerate(left):
-            if free >> i & 1 and (w := weight.get((a, right[j]), 0.0)) > 0:
-                rest = best(j + 1, free & ~(1 << i))
-                out = max(out, (w + rest[0], ((a, right[j]), *rest[1])))
-        return out
-
-    return dict(best(0, (1 << len(left)) - 1)[1])
+    n, m = len(left), len(right)
+    cost = -np.array([[weight.get((a, b), 0.0) for b in right] for a in left]).reshape(n, m)
+    u, v, of = np.zeros(n + 1), np.zeros(m + 1), np.full(m + 1, -1)
+    for i in range(n):
+        # of[j] is the left one that column j has; the last column is where a path begins.
+        of[m], j = i, m
+        least, back, seen = np.full(m, np.inf), np.full(m, m), np.zeros(m + 1, bool)
+        while of[j] >= 0:
+            seen[j] = True
+            row = of[j]
+            slack = cost[row] - u[row] - v[:m]
+            better = ~seen[:m] & (slack < least)
+            least[better], back[better] = slack[better], j
+            open_ = np.where(seen[:m], np.inf, least)
+            to = int(open_.argmin())
+            step = open_[to]
+            for k in np.flatnonzero(seen):
+                u[of[k]] += step
+                v[k] -= step
+            least[~seen[:m]] -= step
+            j = to
+        while j != m:
+            of[j], j = of[back[j]], back[j]
+    return {left[of[j]]: right[j] for j in range(m) if of[j] >= 0 and weight.get((left[of[j]], right[j]), 0.0) > 0}
 
 
 def meeting_errors(ref: list[tuple[float, float, str]], hyp: list[tuple[float, float, str]], collar: float = 0.25) -> dict:
@@ -94,3 +112,14 @@ def pooled(errors: DataFrame) -> DataFrame:
     """One row: errors of all meetings over all their reference seconds, and the mean error in the number of speakers."""
     total = F.sum("ref_sec")
     return errors.agg(total.alias("ref_sec"), *[F.sum(c).alias(c) for c in ("missed", "false_alarm", "confusion")], (F.sum(F.col("missed") + F.col("false_alarm") + F.col("confusion")) / total).alias("der"), F.avg("jer").alias("jer"), F.avg(F.abs(F.col("n_ref") - F.col("n_hyp"))).alias("speaker_count_error"))
+
+
+def matched_meetings(ref: DataFrame, hyp: DataFrame) -> DataFrame:
+    """(hyp_id, meeting_id): the reference meeting of each hypothesis: that of the same name, else the least one that its name
+    ends with. Every ending of a name is looked up, so this is a join by equality."""
+    names = ref.select("meeting_id").where("meeting_id IS NOT NULL").distinct()
+    own = hyp.select(F.col("meeting_id").alias("hyp_id")).where("hyp_id IS NOT NULL").distinct()
+    same = own.join(names.select(F.col("meeting_id").alias("hyp_id")), "hyp_id", "left_semi").withColumn("meeting_id", F.col("hyp_id"))
+    rest = own.join(same.select("hyp_id"), "hyp_id", "left_anti")
+    ends = rest.select("hyp_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("hyp_id"), F.lit(1))), lambda i: F.expr("hyp_id").substr(i, F.length("hyp_id")))).alias("meeting_id"))
+    return same.unionByName(ends.join(names, "meeting_id").groupBy("hyp_id").agg(F.min("meeting_id").alias("meeting_id")))

@@ -29,9 +29,9 @@ def turn_boundaries(turns: DataFrame, keys: list[str], start: str, label: str, t
 
 
 def label_runs(turns: DataFrame, keys: list[str], start: str, end: str, label: str, tie: list[str], touch: float = 1e-3) -> DataFrame:
-    """Neighbouring turns of one label with a gap below touch become one: (*keys, label, start, end, n)."""
+    """Neighbouring turns of one label that meet, less than touch apart, become one: (*keys, label, start, end, n)."""
     w = Window.partitionBy(*keys).orderBy(start, *tie)
-    new = (F.lag(label).over(w).eqNullSafe(F.col(label)) & (F.col(start) - F.lag(end).over(w) < touch)).cast("int")
+    new = (F.lag(label).over(w).eqNullSafe(F.col(label)) & (F.abs(F.col(start) - F.lag(end).over(w)) < touch)).cast("int")
     run = F.sum(1 - F.coalesce(F.col("_joined"), F.lit(0))).over(w)
     rows = turns.withColumn("_joined", new).withColumn("_run", run)
     return rows.groupBy(*keys, label, "_run").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("n")).drop("_run")

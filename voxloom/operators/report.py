@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import html
+import os
+import shutil
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.writers import moved_paths
+
 GRADES = ("A", "B", "C", "D")
 
 
@@ -60,11 +65,65 @@ def write_speaker_csv(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_html(totals: DataFrame, by_grade: DataFrame, by_bucket: DataFrame, path: str) -> None:
-    """A page with the totals; only aggregates of a fixed number of rows reach the driver."""
-    blocks = []
-    for title, df in (("Totals", totals), ("Grades", by_grade), ("Prosody", by_bucket)):
-        head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in df.toLocalIterator())
-        blocks.append(f"<h2>{title}</h2><table><tr>{head}</tr>{body}</table>")
-    Path(path).write_text(f"<!doctype html><meta charset='utf-8'><title>Report</title>{''.join(blocks)}", encoding="utf-8")
+def write_report(df: DataFrame, folder: str) -> None:
+    """The page, the speaker and reason tables of scored rows, into a folder of the driver's; the page as text where it can't
+    be written. Rows of the page are sums of a fixed number; the tables are written by the workers."""
+    write_speaker_csv(speaker_stats(df), f"{folder}/speaker_stats.csv")
+    reasons = df.select(F.explode("reject_reasons").alias("reject_reason")).groupBy("reject_reason").agg(F.count("*").alias("count"))
+    write_reason_csv(reasons, f"{folder}/rejected_samples.csv")
+    tables = [("Totals", summary(df)), ("Grades", counts_by(df, "grade")), ("Prosody", counts_by(df, "prosody_bucket"))]
+    try:
+        write_html(tables, f"{folder}/quality_report.html")
+    except OSError:
+        write_text(tables, f"{folder}/quality_report.txt")
+
+
+def write_html(tables: list[tuple[str, DataFrame]], path: str) -> None:
+    """A page with small tables, a row at a time."""
+    with Path(path).open("w", encoding="utf-8") as f:
+        f.write("<!doctype html><meta charset='utf-8'><title>Report</title>")
+        for title, df in tables:
+            f.write(f"<h2>{html.escape(title)}</h2><table><tr>{''.join(f'<th>{html.escape(c)}</th>' for c in df.columns)}</tr>")
+            for r in df.toLocalIterator():
+                f.write("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>")
+            f.write("</table>")
+
+
+def write_text(tables: list[tuple[str, DataFrame]], path: str) -> None:
+    with Path(path).open("w", encoding="utf-8") as f:
+        for title, df in tables:
+            f.write(f"{title}:\n")
+            for r in df.toLocalIterator():
+                f.write("  " + "  ".join(f"{c}={v}" for c, v in zip(df.columns, r, strict=True)) + "\n")
+
+
+def export_grade(df: DataFrame, grade: str, old: str, new: str, artefacts: tuple[str, ...] = ("wav", "alignment_json_path", "f0_npy_path")) -> DataFrame:
+    """(rows of one grade with their artefacts' paths below new, the old paths as <name>_from): what is to be linked or copied."""
+    rows = df.where(F.col("grade") == grade)
+    return moved_paths(rows.withColumns({f"{c}_from": F.col(c) for c in artefacts}), list(artefacts), old, new)
+
+
+def copy_artefacts(rows: DataFrame, artefacts: tuple[str, ...] = ("wav", "alignment_json_path", "f0_npy_path")) -> DataFrame:
+    """(path, done): each artefact of export_grade() linked, or else copied, in folders that all workers share. Done again, it
+    is done once; what is missing isn't an error."""
+
+    @F.pandas_udf("boolean")
+    def put(source: pd.Series, target: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(source, target, strict=True):
+            try:
+                Path(b).parent.mkdir(parents=True, exist_ok=True)
+                if not Path(b).exists():
+                    try:
+                        os.link(a, b)
+                    except OSError:
+                        shutil.copyfile(a, b + ".part")
+                        os.replace(b + ".part", b)
+                out.append(True)
+            except OSError:
+                out.append(False)
+        return pd.Series(out)
+
+    pairs = F.explode(F.array(*[F.struct(F.col(f"{c}_from").alias("a"), F.col(c).alias("b")) for c in artefacts]))
+    flat = rows.select(pairs.alias("_p")).where("_p.a IS NOT NULL")
+    return flat.select(F.col("_p.b").alias("path"), put("_p.a", "_p.b").alias("done"))

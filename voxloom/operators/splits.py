@@ -13,10 +13,10 @@ KEEP = (
 )
 
 
-def leakage_key(s: Settings) -> Column:
-    """What must not be on two sides: the recording, or the speaker where speakers are held out."""
-    names = ("speaker_id",) if s.get("split.speaker_holdout") else ("source_audio_id", "speaker_id")
-    return F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names])
+def leakage_key(s: Settings, columns: list[str] | None = None) -> Column:
+    """What must not be on two sides: the recording, or the speaker where speakers are held out; of the columns there are."""
+    names = ("speaker_id",) if s.get("split.speaker_holdout") else ("source_audio_id", "source_audio", "speaker_id")
+    return F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names if columns is None or n in columns])
 
 
 def deal(weights: list[float], ratios: dict[str, float]) -> list[str]:
@@ -57,7 +57,7 @@ def routed(df: DataFrame, s: Settings) -> DataFrame:
     A and B rows follow their group; C rows go to train at half weight where their group is in train, and are left out
     elsewhere; D rows and rejected ones are `rejected`. A row without a key is left out unless it is rejected.
     """
-    rows = df.withColumn("_key", leakage_key(s))
+    rows = df.withColumn("_key", leakage_key(s, df.columns))
     gone = F.coalesce(F.col("status") == "rejected", F.lit(False))
     good = rows.where(~gone & F.col("grade").isin("A", "B"))
     sizes = good.where("_key IS NOT NULL").groupBy("_key").agg(F.sum(F.coalesce("duration", F.lit(0.0))).alias("_w"))

@@ -6,6 +6,6 @@ from .tables import Registry
 
 
 def registries() -> list[Registry]:
-    from . import pipeline, problems
+    from . import pipeline, problems, steps
 
-    return [problems.REGISTRY, pipeline.REGISTRY]
+    return [problems.REGISTRY, pipeline.REGISTRY, steps.REGISTRY]

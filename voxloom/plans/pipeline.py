@@ -81,7 +81,7 @@ def label_boundaries(spark: SparkSession, folder: str) -> DataFrame:
     return I.turn_boundaries(_speech(spark, folder), KEYS, "start", "speaker_label", ["seg_id"]).select(*KEYS, "seg_id", "start", "speaker_label")
 
 
-@query("label_runs", f"""WITH {SPEECH}, l AS (SELECT *, CASE WHEN lag(speaker_label) OVER w IS NOT DISTINCT FROM speaker_label AND s - lag(e) OVER w < 0.001::DOUBLE THEN 0 ELSE 1 END AS n FROM sp WINDOW w AS (PARTITION BY source_audio_id ORDER BY s, seg_id)),
+@query("label_runs", f"""WITH {SPEECH}, l AS (SELECT *, CASE WHEN lag(speaker_label) OVER w IS NOT DISTINCT FROM speaker_label AND abs(s - lag(e) OVER w) < 0.001::DOUBLE THEN 0 ELSE 1 END AS n FROM sp WINDOW w AS (PARTITION BY source_audio_id ORDER BY s, seg_id)),
  r AS (SELECT *, sum(n) OVER (PARTITION BY source_audio_id ORDER BY s, seg_id ROWS UNBOUNDED PRECEDING) AS run FROM l)
  SELECT source_audio_id, speaker_label, min(s) AS "start", max(e) AS "end", count(*) AS n FROM r GROUP BY source_audio_id, speaker_label, run""")
 def label_runs(spark: SparkSession, folder: str) -> DataFrame:
