@@ -62,12 +62,22 @@ def stored(df: DataFrame) -> DataFrame:
         atexit.register(_clean, spark, _ROOTS[root])
     path = f"{_ROOTS[root]}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 cut = stored
 
 
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of stored() that nothing reads any more: those of past rounds, once the next round's are written."""
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path is not None:
+            _clean(df.sparkSession, path)
+
+
 def _clean(spark: SparkSession, folder: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
