@@ -14,7 +14,7 @@ from voxloom.operators import skew
 from voxloom.llm.capping import dropped_by_cap
 from voxloom.llm.cutoffs import below_cutoff, cutoffs
 from voxloom.llm.grouping import assign_splits, linked_groups
-from voxloom.llm.lookalike import alike_pairs, with_form
+from voxloom.llm.lookalike import alike_classes, alike_pairs, with_form
 from voxloom.llm import overlaps as O
 from voxloom.llm.overlaps import coverage, overlaps, record_pairs, shared_keys
 from voxloom.llm.packing import pack, sum_of_squares, token_counts
@@ -140,10 +140,21 @@ def test_forms(spark):
     got = C.to_arrow(*C.seen(*C.from_arrow(pa.array(texts)))).to_pylist()
     assert got == [look(t or "") for t in texts]
     df = spark.createDataFrame([("a", "Café"), ("b", "Café "), ("c", "Cafe"), ("d", "Café"), ("e", None), ("f", ""), ("g", "​"), ("h", "Ｃafé"), ("a", "Café")], "i string, t string").withColumn("_form", F.lit("clash"))
-    pairs = {tuple(r) for r in alike_pairs(df, "i", "t").collect()}
+    classes = alike_classes(df, "i", "t")
+    assert {r["id"] for r in classes.collect()} == set("abdh") and len({r["class"] for r in classes.collect()}) == 1
+    pairs = {tuple(r) for r in alike_pairs(classes).collect()}
     assert pairs == {("a", "b"), ("a", "h"), ("b", "d"), ("b", "h"), ("d", "h")}
     assert with_form(df, "t", "t").where("i = 'b'").first()["t"] == "Café"
-    assert alike_pairs(df.limit(0), "i", "t").count() == 0
+    assert alike_pairs(alike_classes(df.limit(0), "i", "t")).count() == 0
+
+
+def test_forms_by_hand():
+    """What looks alike and what doesn't, spelled out."""
+    same = [("ＡＢＣ１２３", "ABC123"), ("e\u0301", "é"), ("a\u0323\u0302", "ậ"), ("a\u00a0b\u3000c\u2009d", "a b c d"), ("z\u200be\u200dr\u2060o\ufeff", "zero"), ("soft\u00adhyphen", "softhyphen"), (" x\u3000", "x")]
+    same += [("АВС", "ABC"), ("сору", "copy"), ("ΑΒΕ", "ABE"), ("Ꮯᴏ"[0], "C"), ("ꓮꓐ", "AB"), ("օ", "o"), ("ﬁn", "fin"), ("Ⅷ", "VIII"), ("ｶﾞ", "ガ"), ("！？", "!?"), ("⼈", "人"), ("한", "한")]
+    other = [("é", "e"), ("A", "a"), ("a  b", "a b"), ("x²", "x2"), ("１", "2"), ("ß", "ss"), ("𝐀", "A"), ("，", "。"), ("ab", "a b"), ("ё", "e")]
+    form = lambda x: C.to_arrow(*C.seen(*C.from_arrow(pa.array([x])))).to_pylist()[0]
+    assert [x for x in same if form(x[0]) != form(x[1])] == [] and [x for x in other if form(x[0]) == form(x[1])] == []
 
 
 def test_letters():

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.order import codes_of
 from ..operators.skew import Skew
-from ..session import cut, stored
+from ..session import cut, forget, stored
 
 LOW, HIGH = -(2**63), 2**63 - 1
 
@@ -85,7 +85,8 @@ def dropped_by_cap(df: DataFrame, contributor: str, score: str, ident: str, *, s
             F.when(same | fits, F.concat("_fix", F.array("_max"))).otherwise(F.col("_fix")).alias("_fix"),
             F.when(same, F.lit(LOW)).otherwise(F.col("_min")).alias("_lo"), F.when(same, F.lit(HIGH)).otherwise(F.col("_max")).alias("_hi"),
             (fits | stuck).alias("_done"), fits.alias("_with"))
-        state = cut(state.where("_done").unionByName(step))
+        past, state = state, cut(state.where("_done").unionByName(step))
+        forget(past)
     # Keep what sorts before the cutoff digits, or equals them where the cutoff's own rows all fit.
     head = F.slice(F.transform(F.sequence(F.lit(0), F.size("_fix")), _word), 1, F.size("_fix"))
     state = state.select("_c", "_fix", "_with")

@@ -13,8 +13,13 @@ SIZE = 0x110000
 #: Code points with properties that matter here lie below or in these ranges.
 ASSIGNED = [*range(0x20, 0x323B0), *range(0xE0000, 0xE01F0)]
 
-# Greek and Cyrillic letters that look like Latin ones, and the Latin letters.
+# Greek, Cyrillic, Armenian, Cherokee and Lisu letters that look like Latin ones, and the Latin letters.
 LOOKALIKES = (
+    ("օսհո", "ouhn"),
+    ("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEHJKLMPRSTVWZ"),
+    ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFNLSRVHWXYAEIOU"),
+    ("ԌԚԜӀ", "GQWI"),
+    ("ӏѵ", "lv"),
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"),
     ("οιν", "oiv"),
     ("АВЕЅІЈКМНОРСТУХ", "ABESIJKMHOPCTYX"),

@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..operators.ranges import range_blocks, running_total
 from ..operators.skew import Skew
-from ..session import cut
+from ..session import cut, forget
 
 
 def _coins(live: DataFrame, turn: int) -> DataFrame:
@@ -49,14 +49,16 @@ def contract(edges: DataFrame, vertices: DataFrame) -> DataFrame:
         to_a, to_b = hook.select("a", F.col("p").alias("pa")), hook.select(F.col("a").alias("b"), F.col("p").alias("pb"))
         moved = live.join(to_a, "a", "left").join(to_b, "b", "left")
         moved = moved.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
-        live = cut(moved.where("a <> b").distinct())
+        past, live = live, cut(moved.where("a <> b").distinct())
+        forget(past, coins)
     labels = None
     for hook in reversed(hooks):
         step = hook.select(F.col("a").alias("v"), F.col("p").alias("root"))
         if labels is not None:
             known = labels.select(F.col("v").alias("root"), F.col("root").alias("_top"))
             step = step.join(known, "root", "left").select("v", F.coalesce("_top", "root").alias("root"))
-            step = cut(step.unionByName(labels))
+            past, step = labels, cut(step.unionByName(labels))
+            forget(past, hook)
         labels = step
     vertices = vertices.where("v IS NOT NULL").distinct()
     if labels is None:

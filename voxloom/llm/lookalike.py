@@ -43,20 +43,24 @@ def with_form(df: DataFrame, text: str, out: str) -> DataFrame:
     return rows.mapInArrow(_forms, ddl).withColumnRenamed(made, out)
 
 
-def alike_pairs(df: DataFrame, ident: str, text: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """(*by, seg_a, seg_b), seg_a < seg_b: records whose texts look alike but differ, within the same by.
+def alike_classes(df: DataFrame, ident: str, text: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, class, id, text), distinct: records whose text looks like another one that isn't equal, within the same by; those
+    of one class look alike. Copies and spellings are never expanded into pairs here; alike_pairs() does so.
 
     Null and empty texts, and texts of invisible signs only, are no cases; equal texts aren't either;
     repeated rows count once; null ids are left out. Forms with a single spelling are dropped by comparing the
-    least and greatest hash of the spellings, before any row meets another.
+    least and greatest hash of the spellings, before any row meets another. A class is named by 128 bits.
     """
-    rows = df.select(*by, F.col(ident).alias("_id"), F.col(text).alias("_text")).where("_id IS NOT NULL AND _text <> ''")
-    rows = with_form(rows, "_text", "_form").where("_form <> ''")
-    # A form is shuffled as 128 bits; spellings with equal forms are told apart by their texts in the end.
-    rows = stored(rows.select(*by, "_id", "_text", F.xxhash64("_form").alias("_h"), F.xxhash64(F.lit(1), "_form").alias("_h2")))
-    spelled = F.xxhash64("_text")
-    twice = rows.groupBy(*by, "_h", "_h2").agg(F.min(spelled).alias("_a"), F.max(spelled).alias("_b")).where("_a <> _b").drop("_a", "_b")
-    some = stored(rows.join(twice, [*by, "_h", "_h2"], "left_semi").distinct())
-    a = some.withColumnsRenamed({"_id": "seg_a", "_text": "_ta"})
-    b = some.withColumnsRenamed({"_id": "seg_b", "_text": "_tb"})
-    return a.join(b, [*by, "_h", "_h2"]).where("seg_a < seg_b AND _ta <> _tb").select(*by, "seg_a", "seg_b").distinct()
+    rows = df.select(*by, F.col(ident).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text <> ''")
+    rows = with_form(rows, "text", "_form").where("_form <> ''")
+    rows = stored(rows.select(*by, "id", "text", F.struct(F.xxhash64("_form").alias("a"), F.xxhash64(F.lit(1), "_form").alias("b")).alias("class")))
+    spelled = F.xxhash64("text")
+    twice = rows.groupBy(*by, "class").agg(F.min(spelled).alias("_a"), F.max(spelled).alias("_b")).where("_a <> _b").drop("_a", "_b")
+    return rows.join(twice, [*by, "class"], "left_semi").distinct()
+
+
+def alike_pairs(classes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, seg_a, seg_b), distinct, seg_a < seg_b: the pairs of a class with unequal texts."""
+    some = stored(classes)
+    a, b = (some.select(*by, "class", F.col("id").alias(f"seg_{x}"), F.col("text").alias(f"_t{x}")) for x in "ab")
+    return a.join(b, [*by, "class"]).where("seg_a < seg_b AND _ta <> _tb").select(*by, "seg_a", "seg_b").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.order import from_code, order_code
 from ..operators.skew import Skew
-from ..session import cut, stored
+from ..session import cut, forget, stored
 
 #: Parts into which a pass divides each interval: with 16, one pass does the work of four halvings.
 SECTIONS = 16
@@ -61,7 +61,8 @@ def exact_percentiles(counts: DataFrame, fractions: list[str]) -> DataFrame:
         bins = bins.withColumn("_upto", F.sum("_m").over(per))
         step = ranks.where(open_).join(bins, ["_g", "metric", "_lo"]).where("_base + _upto >= _rank AND _base + _upto - _m < _rank")
         step = step.select("_g", "metric", F.col("_a").alias("_lo"), F.col("_b").alias("_hi"), "_rank", F.expr("_base + _upto - _m").alias("_base"))
-        ranks = cut(ranks.where(~open_).unionByName(step))
+        past, ranks = ranks, cut(ranks.where(~open_).unionByName(step))
+        forget(past)
     done = ranks.select("_g", "metric", "_rank", F.col("_lo").alias("_v"))
     low = done.withColumnsRenamed({"_rank": "_r", "_v": "_v1"})
     high = done.withColumnsRenamed({"_rank": "_r2", "_v": "_v2"})

@@ -13,7 +13,7 @@ from .cutoffs import below_cutoff, cutoffs
 from .garbled import garbled_records, garbled_tokens, restored
 from .grouping import assign_splits, linked_groups
 from .leaks import leaked
-from .lookalike import alike_pairs
+from .lookalike import alike_classes, alike_pairs
 from .overlaps import coverage, overlaps, record_pairs, shared_keys
 from .packing import pack, token_counts
 from .percentiles import exact_percentiles, sketch, sketch_percentiles, value_counts
@@ -105,7 +105,7 @@ def p5_splits(spark: SparkSession, folder: str) -> DataFrame:
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     fields = (("text_normalize", "text_normalized"), ("asr", "asr_text"))
     one, two = (table(spark, folder, t).select(F.lit(c).alias("field"), "seg_id", F.col(c).alias("text")) for t, c in fields)
-    return alike_pairs(one.unionByName(two), "seg_id", "text", by=("field",))
+    return alike_pairs(alike_classes(one.unionByName(two), "seg_id", "text", by=("field",)), by=("field",))
 
 
 @REGISTRY.query("p9_found")
