@@ -36,7 +36,7 @@ def _merge_lists(keys: list[str], schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        names = [*keys, "_block"]
+        names, enough = [*keys, "_block"], 2_000_000
         for batch in batches:
             part = pa.Table.from_batches([batch])
             starts, ends = part.column("_s").combine_chunks(), part.column("_e").combine_chunks()
@@ -44,8 +44,10 @@ def _merge_lists(keys: list[str], schema: pa.Schema):
             flat = part.select(names).take(pa.array(np.repeat(np.arange(len(lengths)), lengths)))
             flat = flat.append_column("_s", pa.chunked_array([starts.flatten()])).append_column("_e", pa.chunked_array([ends.flatten()]))
             held = flat if held is None else pa.concat_tables([held, flat])
-            if held.num_rows > 2_000_000:
+            if held.num_rows > enough:
+                # What is left may be as much: only twice that is folded again, so that the work stays in proportion.
                 held = _disjoint(held, names)
+                enough = max(2_000_000, 2 * held.num_rows)
         if held is None or not held.num_rows:
             return
         held = _disjoint(held, names)

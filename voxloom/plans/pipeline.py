@@ -202,7 +202,8 @@ def align_quality(spark: SparkSession, folder: str) -> DataFrame:
 def fine_segments(spark: SparkSession, folder: str) -> DataFrame:
     from ..operators.segment import utterances
 
-    rows = table(spark, folder, "text_normalize").where("text_normalized <> '' AND `end` > `start`").dropDuplicates(["seg_id"])
+    rows = table(spark, folder, "text_normalize").where("text_normalized <> '' AND `end` > `start`")
+    rows = rows.groupBy("seg_id").agg(*[F.max(c).alias(c) for c in ("source_audio_id", "speaker_id", "speaker_label", "text_normalized", "status", "start", "end")])
     rows = rows.withColumn("chars", R.even_chars(F.col("text_normalized"), F.col("start"), F.col("end"))).withColumn("reject_reasons", F.array().cast("array<string>"))
     return utterances(rows, "chars", S0).select("utt_id", "seg_id", "text", "prev_text", "next_text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "status")
 
@@ -298,8 +299,9 @@ def grades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _clips(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per utterance of the manifests, with a place in the input order."""
-    return table(spark, folder, "manifests").where("utt_id IS NOT NULL").dropDuplicates(["utt_id"])
+    """One row per utterance of the manifests, of the greatest values that its rows have."""
+    rows = table(spark, folder, "manifests").where("utt_id IS NOT NULL")
+    return rows.groupBy("utt_id").agg(*[F.max(c).alias(c) for c in rows.columns if c != "utt_id"])
 
 
 @query("similar_texts", """WITH t AS (SELECT "language", utt_id, list_sort(list_distinct(list_transform(range(1, greatest(length(text) - 3, 2)), lambda i: substr(text, i, 5)))) AS g FROM manifests WHERE text <> ''),
@@ -312,13 +314,36 @@ def similar_texts(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(rows, "utt_id", "language", "text", "0.8").select("language", "a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("dedup_keep")
+# A greedy pass as rounds: who is beaten by nobody, or by dropped rows only, is kept; four rounds are more than the tables need.
+def _rounds(n: int) -> str:
+    out = ["k0 AS (SELECT id FROM r WHERE id NOT IN (SELECT lose FROM e))", "d0 AS (SELECT DISTINCT lose AS id FROM e WHERE win IN (SELECT id FROM k0))"]
+    for i in range(1, n):
+        out += [f"k{i} AS (SELECT id FROM r WHERE id NOT IN (SELECT lose FROM e WHERE win NOT IN (SELECT id FROM d{i - 1})) AND id NOT IN (SELECT id FROM d{i - 1}))", f"d{i} AS (SELECT DISTINCT lose AS id FROM e WHERE win IN (SELECT id FROM k{i}))"]
+    return ", ".join(out)
+
+
+@query("dedup_keep", f"""WITH r AS (SELECT row_number() OVER (ORDER BY coalesce(q, 0.0) DESC, utt_id, text) AS id, * FROM (SELECT DISTINCT utt_id, speaker_id, text, quality_score AS q FROM manifests)),
+ g AS (SELECT id, speaker_id, list_distinct(list_transform(range(1, greatest(length(text) - 3, 2)), lambda i: substr(text, i, 5))) AS g FROM r WHERE text <> ''), w AS (SELECT id, speaker_id, len(g) AS n, unnest(g) AS w FROM g),
+ e AS (SELECT x.id AS win, y.id AS lose FROM w x JOIN w y ON x.w = y.w AND x.speaker_id IS NOT DISTINCT FROM y.speaker_id AND x.id < y.id GROUP BY x.id, y.id, x.n, y.n HAVING count(*) / (x.n + y.n - count(*)) > 0.9),
+ {_rounds(4)} SELECT utt_id FROM r WHERE id NOT IN (SELECT id FROM d3)""")
 def dedup_keep(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "manifests").select("utt_id", "speaker_id", "text", "quality_score").distinct()
     return dedup(rows, "utt_id", "speaker_id", "text", "quality_score", "utt_id").select("utt_id")
 
 
-@query("split_routing")
+# Groups by falling weight: the lightest is reserved for valid, the next for test, each other goes where most is lacking.
+ROUTING = """WITH RECURSIVE c AS (SELECT utt_id, max(source_audio_id) AS src, max(speaker_id) AS spk, max(grade) AS grade, max(status) AS status, max(duration) AS d, max(sample_rate) AS rate FROM manifests WHERE utt_id IS NOT NULL GROUP BY utt_id),
+ k AS (SELECT *, coalesce(nullif(src, ''), nullif(spk, '')) AS key, coalesce(status = 'rejected', false) AS gone FROM c),
+ g AS (SELECT key, sum(coalesce(d, 0.0)) AS w FROM k WHERE NOT gone AND grade IN ('A', 'B') AND key IS NOT NULL GROUP BY key), o AS (SELECT *, row_number() OVER (ORDER BY w DESC, key) AS i, count(*) OVER () AS n, sum(w) OVER () AS total FROM g),
+ s AS (SELECT 0::BIGINT AS i, NULL::VARCHAR AS key, NULL::VARCHAR AS split, 0.90::DOUBLE * total AS tr, 0.05::DOUBLE * total - w1 AS va, 0.05::DOUBLE * total - w2 AS te FROM (SELECT max(total) AS total, max(w) FILTER (i = n) AS w1, max(w) FILTER (i = n - 1) AS w2 FROM o)
+  UNION ALL SELECT o.i, o.key, CASE WHEN tr >= va AND tr >= te THEN 'train' WHEN va >= te THEN 'valid' ELSE 'test' END, tr - CASE WHEN tr >= va AND tr >= te THEN w ELSE 0 END, va - CASE WHEN NOT (tr >= va AND tr >= te) AND va >= te THEN w ELSE 0 END, te - CASE WHEN NOT (tr >= va AND tr >= te) AND va < te THEN w ELSE 0 END
+   FROM s JOIN o ON o.i = s.i + 1 AND o.i <= n - 2),
+ t AS (SELECT key, split FROM s WHERE key IS NOT NULL UNION ALL SELECT key, CASE WHEN i = n THEN 'valid' ELSE 'test' END FROM o WHERE i >= n - 1)
+ SELECT utt_id, CASE WHEN gone OR grade IS NULL OR grade NOT IN ('A', 'B', 'C') THEN 'rejected' ELSE split END AS split, CASE WHEN NOT gone AND grade = 'C' THEN 0.5 END::DOUBLE AS split_weight, src AS source_audio_id, coalesce(rate, 24000) AS sample_rate
+ FROM k LEFT JOIN t USING (key) WHERE gone OR grade IS NULL OR grade NOT IN ('A', 'B', 'C') OR (grade IN ('A', 'B') AND split IS NOT NULL) OR (grade = 'C' AND split = 'train')"""
+
+
+@query("split_routing", ROUTING)
 def split_routing(spark: SparkSession, folder: str) -> DataFrame:
     rows = _clips(spark, folder).drop("split", "split_weight")
     return L.projected(L.routed(rows, S0)).select("utt_id", "split", "split_weight", "source_audio_id", "sample_rate")
@@ -408,6 +433,24 @@ def speaker_consistency(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("utt", "label", "n_windows", *[F.round(c, 6).alias(c) for c in ("silhouette", "max_dist_to_center", "max_neighbor_delta", "ref_outlier_ratio")], F.array_join("reasons", ";").alias("reasons"))
 
 
+DISTANCES = """WITH v AS (SELECT vec_id // 8 AS utt, vec_id AS w, label, embedding::DOUBLE[] AS v FROM embeddings), f AS (SELECT utt, label, w, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+ m AS (SELECT utt, label, i, avg(x) AS m FROM f GROUP BY ALL), o AS (SELECT utt, label, list(m / (norm + 1e-12) ORDER BY i) AS own FROM m JOIN (SELECT utt, label, sqrt(sum(m * m)) AS norm FROM m GROUP BY ALL) USING (utt, label) GROUP BY utt, label),
+ s AS (SELECT label FROM o GROUP BY label HAVING count(*) >= 2), cf AS (SELECT label, unnest(own) AS x, generate_subscripts(own, 1) AS i FROM o JOIN s USING (label)), cm AS (SELECT label, i, avg(x) AS m FROM cf GROUP BY ALL),
+ c AS (SELECT label, list(m / (norm + 1e-12) ORDER BY i) AS centre FROM cm JOIN (SELECT label, sqrt(sum(m * m)) AS norm FROM cm GROUP BY label) USING (label) GROUP BY label),
+ d AS (SELECT utt, label, v, own, centre, lag(v) OVER (PARTITION BY utt, label ORDER BY w) AS p FROM v JOIN o USING (utt, label) LEFT JOIN c USING (label)),
+ n AS (SELECT utt, label, 1 - list_dot_product(v, own) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(own, own)) + 1e-12) AS near, 1 - list_dot_product(v, centre) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(centre, centre)) + 1e-12) AS far,
+  CASE WHEN p IS NOT NULL THEN 1 - list_dot_product(v, p) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(p, p)) + 1e-12) END AS step FROM d)
+ SELECT utt, label, count(*) AS n_windows, CASE WHEN count(*) < 4 THEN 0.0 ELSE round(max(near), 6) END AS max_dist_to_center, CASE WHEN count(*) < 4 THEN 0.0 ELSE round(coalesce(max(step), 0), 6) END AS max_neighbor_delta,
+  CASE WHEN count(*) < 4 THEN 0.0 ELSE round(coalesce(avg((far > 0.75)::INT), 0), 6) END AS ref_outlier_ratio FROM n GROUP BY utt, label"""
+
+
+@query("speaker_distances", DISTANCES)
+def speaker_distances(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the speakers' consistency what SQL can say: all but the silhouettes."""
+    rows = V.consistency(_windows(spark, folder), "utt", "w", "label", "embedding", S0)
+    return rows.select("utt", "label", "n_windows", *[F.round(c, 6).alias(c) for c in ("max_dist_to_center", "max_neighbor_delta", "ref_outlier_ratio")])
+
+
 @query("adjacent_jaccard", """WITH x AS (SELECT utt_id, source_audio_id, max(text) AS text FROM fine_segment WHERE utt_id IS NOT NULL GROUP BY 1, 2), l AS (SELECT *, lag(text) OVER (PARTITION BY source_audio_id ORDER BY utt_id) AS b FROM x),
  g AS (SELECT utt_id, list_distinct(list_transform(range(1, greatest(length(text) - 3, 2)), lambda i: substr(text, i, 5))) AS p, list_distinct(list_transform(range(1, greatest(length(b) - 3, 2)), lambda i: substr(b, i, 5))) AS q, text, b FROM l WHERE text IS NOT NULL AND b IS NOT NULL)
  SELECT utt_id, round(CASE WHEN text = '' OR b = '' THEN 0.0 ELSE len(list_intersect(p, q)) / (len(p) + len(q) - len(list_intersect(p, q))) END, 6) AS jaccard FROM g""")
