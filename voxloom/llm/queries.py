@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import speaker_key, strip_blanks
 from ..plans.tables import Registry, table
 from ..session import stored
 from .capping import dropped_by_cap
+from .codepoints import LOOKALIKES
 from .common import LATEST_SQL, SCORED_SQL, latest_rows, scored_rows
 from .cutoffs import below_cutoff, cutoffs
 from .garbled import garbled_records, garbled_tokens, restored
@@ -101,7 +104,22 @@ def p5_splits(spark: SparkSession, folder: str) -> DataFrame:
     return utts.join(found.join(splits, "group_id"), "source_audio_id").select("utt_id", "source_audio_id", "group_id", "split")
 
 
-@REGISTRY.query("p3_found")
+#: Full-width signs, radicals and look-alike letters, and their ordinary forms.
+_ALIKE = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in [*range(0xFF01, 0xFF5F), *range(0x2F00, 0x2FD6)]] + [x for one in LOOKALIKES for x in zip(*one, strict=True)]
+WIDE, PLAIN = ("".join(x) for x in zip(*_ALIKE, strict=True))
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+#: SQL has no compatibility forms: this knows those of one sign.
+P3_SQL = rf"""WITH r AS (SELECT DISTINCT 'text_normalized' AS field, seg_id, text_normalized AS t FROM text_normalize WHERE text_normalized <> '' UNION SELECT DISTINCT 'asr_text', seg_id, asr_text FROM asr WHERE asr_text <> ''),
+f AS (SELECT *, trim(regexp_replace(nfc_normalize(translate(regexp_replace(t, '[\p{{Cf}}\x{{fe00}}-\x{{fe0f}}\x{{34f}}]', '', 'g'), {_quoted(WIDE)}, {_quoted(PLAIN)})), '[\p{{Zs}}\t]', ' ', 'g')) AS form FROM r WHERE seg_id IS NOT NULL)
+SELECT DISTINCT a.field, a.seg_id AS seg_a, b.seg_id AS seg_b FROM f a JOIN f b ON a.field = b.field AND a.form = b.form AND a.seg_id < b.seg_id AND a.t <> b.t WHERE a.form <> ''"""
+
+
+@REGISTRY.query("p3_found", P3_SQL)
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     fields = (("text_normalize", "text_normalized"), ("asr", "asr_text"))
     one, two = (table(spark, folder, t).select(F.lit(c).alias("field"), "seg_id", F.col(c).alias("text")) for t, c in fields)
