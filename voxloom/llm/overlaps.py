@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.periods import speech_periods
-from ..session import shuffle_parts, stored
+from ..session import forget, shuffle_parts, stored
 from .codepoints import from_arrow, letters, to_arrow
 from .leaks import mix
 
@@ -206,18 +207,45 @@ def _chosen(cost: np.ndarray, first: np.ndarray, last: np.ndarray, seeds: np.nda
     return np.concatenate(places), np.concatenate(lengths)
 
 
-def _left_counters(often: np.ndarray):
-    def run(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, codes, offsets in _parts(b, LEFT):
-            _, q, k1, k2 = _seeds(codes, offsets, often)
-            for size in range(SHORT, LONG + 1):
-                yield _counter(k1[q == size], k2[q == size], size)
-            # And by the first letters alone: what is partitioned by.
-            yield _counter(k1, k2, FIRST)
+def _seeded(often: np.ndarray):
+    """Classes with the seeds of their texts as _z: each one's place and length in a long; right texts have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a in range(0, b.num_rows, 1024):
+                part = b.slice(a, 1024)
+                left = np.flatnonzero(part.column("_side").to_numpy(zero_copy_only=False) & LEFT)
+                codes, offsets = from_arrow(part.column("_l").take(pa.array(left)))
+                at, q, _, _ = _seeds(codes, offsets, often)
+                by = np.argsort(at)
+                at, q = at[by], q[by]
+                text = np.searchsorted(offsets, at, "right") - 1
+                bounds = np.r_[0, np.cumsum(np.bincount(left[text], minlength=part.num_rows))].astype(np.int32)
+                seeds = pa.ListArray.from_arrays(pa.array(bounds), pa.array((at - offsets[text]) << 4 | q))
+                yield pa.RecordBatch.from_arrays([*part.columns, seeds], names=[*part.schema.names, "_z"])
 
     return run
 
 
+def _known(part: pa.RecordBatch, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(place, length, k1, k2) of the seeds that _seeded() found."""
+    z = part.column("_z")
+    text = np.repeat(np.arange(part.num_rows), pc.list_value_length(z).to_numpy(zero_copy_only=False))
+    z = z.flatten().to_numpy(zero_copy_only=False)
+    at, q = offsets[text] + (z >> 4), z & 15
+    k1, k2 = _beginnings(codes, offsets)
+    return at, q, k1[at], _cut_to(k2[at], q)
+
+
+def _left_counters(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for part, codes, offsets in _parts(b, LEFT):
+        _, q, k1, k2 = _known(part, codes, offsets)
+        for size in range(SHORT, LONG + 1):
+            yield _counter(k1[q == size], k2[q == size], size)
+        # And by the first letters alone: what is partitioned by.
+        yield _counter(k1, k2, FIRST)
+
+
 def _suffixes(often: np.ndarray, wanted: np.ndarray, most_rows: int):
     """The suffixes that are sorted: those of left texts at their seeds, and of right texts those that begin as some seed does."""
 
@@ -227,7 +255,7 @@ def _suffixes(often: np.ndarray, wanted: np.ndarray, most_rows: int):
                 for part, codes, offsets in _parts(b, side):
                     n = np.diff(offsets)
                     if side == LEFT:
-                        at, q, k1, k2 = _seeds(codes, offsets, often)
+                        at, q, k1, k2 = _known(part, codes, offsets)
                     else:
                         k1, k2 = _beginnings(codes, offsets)
                         at = np.flatnonzero((np.arange(len(codes)) + SHORT <= np.repeat(offsets[1:], n)) & (np.repeat(n, n) >= LEAST))
@@ -362,7 +390,9 @@ def near_classes(rows: DataFrame) -> DataFrame:
     # The sides of a class in one pass: 1, 2 or both. Copies fold here, before any suffix is made.
     classes = stored(named.groupBy("_l").agg(F.bit_or("_side").alias("_side")).select(F.xxhash64("_l").alias("_c"), "_l", "_side"))
     often = _summed(_right_counters, classes.select("_l", "_side"))
-    wanted = _summed(_left_counters(often), classes.select("_l", "_side"))
+    plain, classes = classes, stored(classes.mapInArrow(_seeded(often), "_c long, _l string, _side int, _z array<long>"))
+    forget(plain)
+    wanted = _summed(_left_counters, classes.select("_l", "_side", "_z"))
     total = int(often.sum(dtype=np.int64)) // (LONG - SHORT + 1) + int(wanted.sum(dtype=np.int64)) // 2
     parts = max(shuffle_parts(rows.sparkSession), -(-total // TASK_ROWS))
     found = classes.mapInArrow(_suffixes(often, wanted, max(HOT, total // HOT_SHARE)), ROWS)
