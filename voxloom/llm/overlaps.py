@@ -369,7 +369,7 @@ def _paired(b: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def _members(some: np.ndarray):
-    """Classes without those that are in no candidate pair for sure."""
+    """Rows without those whose class is in no pair for sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -383,6 +383,13 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return rows.where("_t IS NOT NULL").mapInArrow(_letters, "_id string, _side int, _l string").where(F.length("_l") >= LEAST).select("_id", "_side", F.xxhash64("_l").alias("_c"))
 
 
+def members_of(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """(id, side, class) of records whose class has a partner; a few others may be among them."""
+    some = _summed(_paired, near.select("_ca", "_cb"))
+    rows = classes_of(rows).mapInArrow(_members(some), "_id string, _side int, _c long")
+    return rows.select(F.col("_id").alias("id"), F.col("_side").alias("side"), F.col("_c").alias("class"))
+
+
 def near_classes(rows: DataFrame) -> DataFrame:
     """For rows (_id, _side, _t): (_ca, _cb, _la, _lb, _d, _m), the classes of a left and a right text, their letters and
     the _d edits between them, a tenth of the longer's _m letters at most."""
@@ -413,7 +420,7 @@ def _sided(df: DataFrame, ident: str, text: str, side: str) -> DataFrame:
 
 
 def overlaps(df: DataFrame, ident: str, text: str, side: str) -> tuple[DataFrame, DataFrame]:
-    """Records of side 1 and of side 2 with (nearly) the same text, as classes: (id, side, class), a row per row, and pairs (left, right,
+    """Records of side 1 and of side 2 with (nearly) the same text, as classes: (id, side, class), a row per row whose class has a partner, and pairs (left, right,
     edits, length) of a class with left and one with right records; the two may be one class.
 
     Letters and digits count, without case and width; a tenth of the longer text's letters may be put in, left
@@ -428,13 +435,12 @@ def overlaps(df: DataFrame, ident: str, text: str, side: str) -> tuple[DataFrame
     once, the others are verified by edit distance. Exact: no pair is lost.
     """
     rows = _sided(df, ident, text, side)
-    near = near_classes(rows).select(F.col("_ca").alias("left"), F.col("_cb").alias("right"), F.col("_d").alias("edits"), F.col("_m").alias("length"))
-    return classes_of(rows).select(F.col("_id").alias("id"), F.col("_side").alias("side"), F.col("_c").alias("class")), near
+    near = stored(near_classes(rows).drop("_la", "_lb"))
+    return members_of(rows, near), near.select(F.col("_ca").alias("left"), F.col("_cb").alias("right"), F.col("_d").alias("edits"), F.col("_m").alias("length"))
 
 
 def record_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
     """(left_id, right_id), distinct, from the classes of overlaps(); an id on both sides doesn't meet itself."""
-    # Members of classes without a partner never enter the join by classes.
     left = members.where("side = 1").select(F.col("id").alias("left_id"), F.col("class").alias("left"))
     right = members.where("side = 2").select(F.col("id").alias("right_id"), F.col("class").alias("right"))
     return near.select("left", "right").join(left, "left").join(right, "right").where("left_id <> right_id").select("left_id", "right_id").distinct()
@@ -465,8 +471,8 @@ def coverage(df: DataFrame, ident: str, text: str, side: str) -> tuple[DataFrame
     The shared spans of all its pairs are merged into disjoint stretches, which is what covers it.
     """
     rows = _sided(df, ident, text, side)
-    members = stored(classes_of(rows).select(F.col("_id").alias("id"), F.col("_side").alias("side"), F.col("_c").alias("class")).distinct())
     near = stored(near_classes(rows))
+    members = stored(members_of(rows, near).distinct())
     size = members.groupBy("class", "side").agg(F.count("*").alias("_r"))
     left, right = (near.select(F.col(a).alias("class"), F.lit(s).alias("side"), F.col(b).alias("_o"), F.lit(3 - s).alias("_os")) for a, b, s in (("_ca", "_cb", LEFT), ("_cb", "_ca", RIGHT)))
     others = left.unionByName(right).join(size.select(F.col("class").alias("_o"), F.col("side").alias("_os"), "_r"), ["_o", "_os"])
