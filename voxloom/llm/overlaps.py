@@ -96,9 +96,17 @@ def _summed(counters: Callable[[pa.RecordBatch], Iterator[np.ndarray]], rows: Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(COUNTERS, np.int64)
+        waiting, size = [], 0
         for b in batches:
             for at in counters(b):
-                held += np.bincount(at, minlength=COUNTERS)
+                waiting.append(at)
+                size += len(at)
+                # As many at a time as there are counters, as each count touches all of them.
+                if size > COUNTERS:
+                    held += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
+                    waiting, size = [], 0
+        if size:
+            held += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         if held.any():
             # In as few bytes as the largest count needs.
             part = [x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in held.reshape(SLICES, -1)]
