@@ -434,6 +434,16 @@ def test_garbled_all_encodings(spark):
     assert G.garbled_records(df.limit(0), "d", "t").count() == 0
 
 
+def test_garbled_letters_of_other_alphabets(spark):
+    """Words that stand nowhere else: their letters tell, but not where these are ordinary letters of the alphabet."""
+    clean = [(0, "ï ’ ‘ é л и"), (1, "«СССР» Рёв, Сё Рё, №"), (2, "Ρ» αΈ")]
+    bad = [G.garble("‘Again, please’, the naïve", c) for c in ("utf_8>cp1251", "utf_8>koi8_r", "utf_8>iso8859_5", "utf_8>cp1253")]
+    df = spark.createDataFrame([*clean, *((10 + i, t) for i, t in enumerate(bad))], "d long, t string")
+    assert {r["d"] for r in G.garbled_records(df, "d", "t").collect()} == {10, 11, 12, 13}
+    back = {r["d"]: r["restored"] for r in G.restored(df, "d", "t", G.garbled_tokens(df, "d", "t")).collect()}
+    assert back == {10 + i: "‘Again, please’, the naïve" for i in range(4)}
+
+
 def test_garbled_chains_that_undo_one_another(spark):
     """A clean stretch is no case for a garbled text whose signs would give it: it stands in more texts."""
     word = b"\xe9\xb3\xb7\xec\xb2\xb9".decode("gbk")

@@ -33,19 +33,20 @@ LETTER, PAIR, WORD = range(3)
 #: n: in how many texts a form may stand to be one; any number for letters of UTF-8, whose forms are no words.
 FORMS = "_h long, rank int, chain string, word string, form string, n long"
 ANY = 1 << 62
+#: What sets apart the hashes of letters read in another alphabet.
+APART = 0x5555555555555555
 
 
 def _chains() -> dict[int, list[tuple[int, str]]]:
     """Chains, written as steps "encoded in > decoded as", for single letters, pairs of wide signs, and words of alphabets.
 
-    All pairs of the encodings above where one reads what the other wrote. A single letter of UTF-8 read in another
-    alphabet than the Latin is two ordinary letters there, so only pairs and words go that way.
+    All pairs of the encodings above where one reads what the other wrote.
     """
     once = {x: (ONCE, f"utf_8>{x}") for x in SINGLE + DOUBLE}
     again = [(DEPTH - n, ",".join([f"utf_8>{x}"] * n)) for x in AGAIN for n in range(2, DEPTH + 1)]
     pairs = [once[x] for x in DOUBLE + OTHER] + [(TWO_BYTES, f"{a}>{x}") for a in DOUBLE for x in SINGLE] + [(LOSING, f"{a}>utf_8") for a in DOUBLE]
     words = [*once.values(), *again] + [(ONE_BYTE, f"{a}>{x}") for a in SINGLE for x in SINGLE if a != x] + [(LOSING, f"{a}>utf_8") for a in SINGLE]
-    return {LETTER: [once[x] for x in LATIN] + again, PAIR: pairs, WORD: words}
+    return {LETTER: [once[x] for x in SINGLE] + again, PAIR: pairs, WORD: words}
 
 
 @lru_cache(None)
@@ -181,13 +182,15 @@ def _left(at: np.ndarray, row: np.ndarray) -> np.ndarray:
     return end[np.searchsorted(end, np.arange(len(at)))] - np.arange(len(at)) + 1
 
 
-def suspects(codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, length) of stretches that could be garbled forms of letters or pairs, by the bytes they would stand for."""
+def suspects(codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, length, apart) of stretches that could be garbled forms of letters or pairs, by the bytes they would stand for;
+    apart are those of letters read in another alphabet."""
     single, begins, follows, some = _tables()
-    starts, lengths = [], []
+    starts, lengths, apart = [], [], []
     at = np.flatnonzero(some[codes])
     if len(at):
         left, c = _left(at, row), codes[at]
+        latin = ((codes | 32) >= 0x61) & ((codes | 32) < 0x7B)
         for d in SINGLE:
             b = single[d][c]
             n = _sequences(b, left)
@@ -205,6 +208,12 @@ def suspects(codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
                         origin, stop = origin[more], after[stop[more]]
                         starts.append(at[origin]), lengths.append(stop - origin)
             else:
+                # A letter of two bytes is two ordinary ones of that alphabet, unless it stands beside an ASCII letter.
+                a, z = np.maximum(at - 1, 0), np.minimum(at + 2, len(codes) - 1)
+                beside = latin[a] & (row[a] == row[at]) & (at > 0) | latin[z] & (row[z] == row[at]) & (at + 2 < len(codes))
+                hit = np.flatnonzero((n == 3) | (n == 2) & beside)
+                apart.append(len(starts))
+                starts.append(at[hit]), lengths.append(n[hit])
                 # Two wide signs on end.
                 three = np.r_[n == 3, np.zeros(3, bool)]
                 hit = np.flatnonzero(three[: len(n)] & three[3:] & (left >= 6))
@@ -233,8 +242,8 @@ def suspects(codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
             hit = np.flatnonzero(ok & any_ & ~all_)
             starts.append(at[hit]), lengths.append(np.full(len(hit), k))
     if not starts:
-        return at, at
-    return np.concatenate(starts), np.concatenate(lengths)
+        return at, at, at > 0
+    return np.concatenate(starts), np.concatenate(lengths), np.concatenate([np.full(len(x), i in apart) for i, x in enumerate(starts)])
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -250,9 +259,11 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(_d, _h): hashes of all stretches of a text that could be garbled forms; one of equal ones in a row is enough."""
     for b, codes, offsets in _sliced(batches):
         row = _row_of(offsets)
-        first, n = (np.concatenate(x) for x in zip(suspects(codes, row), _runs(codes, row, False), strict=True))
+        *stretches, apart = suspects(codes, row)
+        first, n = (np.concatenate(x) for x in zip(stretches, _runs(codes, row, False), strict=True))
         if len(first):
             h = Hashes(codes).of(first, n)
+            h[: len(apart)][apart] ^= APART
             by = np.lexsort((h, row[first]))
             h, r = h[by], row[first][by]
             new = np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])]
@@ -324,6 +335,7 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chains = _chains()
     # A word of few letters reads as an ordinary one in another alphabet.
     short = [x for x in chains[WORD] if x[0] != ONE_BYTE]
+    other = {f"utf_8>{x}" for x in OTHER}
     for whole in batches:
         for a in range(0, whole.num_rows, SLICE):
             b = whole.slice(a, SLICE)
@@ -333,7 +345,9 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out.append((rank, chain, word, form, ANY if kind == LETTER else n - (rank == ONE_BYTE)))
             if out:
                 rank, chain, word, form, n = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes_of(list(form))), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n, pa.int64())], names=FORM_NAMES)
+                # A letter read in another alphabet is looked for where it stands apart, never as a word of its own.
+                h = hashes_of(list(form)) ^ np.array([APART if len(w) == 1 and c in other else 0 for w, c in zip(word, chain, strict=True)], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(rank, pa.int32()), pa.array(chain), pa.array(word), pa.array(form), pa.array(n, pa.int64())], names=FORM_NAMES)
 
 
 FORM_NAMES = [c.split()[0] for c in FORMS.split(", ")]
