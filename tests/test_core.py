@@ -217,6 +217,18 @@ def test_rejected_rows_neither_count_nor_change(spark):
             assert r["text_quality_score"] == 0.85 and r["grade"] is not None
 
 
+def test_quality_scores_round_as_sql(spark, tmp_path):
+    """Scores halfway between two sixth places, and one that its last bits put below a grade's limit; what its SQL gives."""
+    import __spark_entry__ as e
+
+    cases = [(6.4982, 3.38, 14.169, 0.375, 0.516362, "D"), (6.2994, 2.66, 4.477, 0.215, 0.628788, "C"), (7.009, 3.99, 4.61, 0.396, 0.584438, "D"), (6.0284, 4.05, 8.352, 0.2, 0.6, "C"), (6.5, 3.0, 5.0, 0.2, 0.61625, "C")]
+    rows = [(str(i), "s", 9.0, 0.5, 0.1, False, *c[:4]) for i, c in enumerate(cases)]
+    names = "utt_id string, speaker_id string, f0_range_st double, voiced_ratio double, pause_ratio double, local_rate_skipped boolean, f0_std_st double, f0_delta_p95_st double, global_rate_cps double, local_rate_cv double"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/filter_score.parquet")
+    got = e.queries()["quality_scores"](spark, str(tmp_path)).collect()
+    assert {r["utt_id"]: (r["quality_score"], r["grade"]) for r in got} == {str(i): c[4:] for i, c in enumerate(cases)}
+
+
 def test_silhouette_leaves_out_singletons():
     near = [np.array([1.0, x, 0]) for x in (0, 0.1, -0.1)]
     v = np.stack([x / np.linalg.norm(x) for x in [*near, np.array([0, 0, 1.0])]])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..config import profile
 from ..functions import scores as S
@@ -278,13 +278,20 @@ SCORES = f"""f AS (SELECT utt_id, {_num('f0_std_st')} AS s, {_num('f0_delta_p95_
   CASE WHEN s < 2 OR (NOT k AND v < 0.1::DOUBLE) THEN 'flat' WHEN s < 5 AND (k OR v < 0.35::DOUBLE) THEN 'natural' WHEN (s >= 5 AND s <= 8) OR (NOT k AND v >= 0.35::DOUBLE AND v <= 0.55::DOUBLE) THEN 'expressive' ELSE 'chaotic' END AS bucket FROM f)"""
 
 
+def _rounded(c: Column, places: int) -> Column:
+    """A double rounded as SQL does it: scaled, rounded half away from zero, scaled back. F.round() goes by the decimal digits, which decides ties otherwise."""
+    return F.round(c * float(10**places)) / float(10**places)
+
+
 # Without signal measures a clip has 0.45 for its audio and 0 for its alignment, and its pitch no confidence.
 @query("quality_scores", f"""WITH {SCORES}, q AS (SELECT utt_id, bucket, 0.25::DOUBLE * 0.45::DOUBLE + 0.25::DOUBLE * pitch + 0.2::DOUBLE * rate + 0.1::DOUBLE * 0.85::DOUBLE AS x FROM p)
  SELECT utt_id, round(x, 6) AS quality_score, CASE WHEN round(x, 9) >= 0.85 THEN 'A' WHEN round(x, 9) >= 0.75 THEN 'B' WHEN round(x, 9) >= 0.6 THEN 'C' ELSE 'D' END AS grade, bucket AS prosody_bucket, 'rejected' AS status FROM q""")
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     """All sub-scores, grades, buckets and reject reasons anew from the stored metrics."""
     rows = C.scored(table(spark, folder, "filter_score").drop("status", "reject_reasons").withColumns({"status": F.lit(None).cast("string"), "reject_reasons": F.array().cast("array<string>")}), S0)
-    return rows.select("utt_id", F.round("quality_score", 6).alias("quality_score"), "grade", "prosody_bucket", "status")
+    # As in SQL a score just below a grade's limit by its last bits has the grade; the operator's own compares without rounding.
+    grade = S.grade(_rounded(F.col("quality_score"), 9), S0)
+    return rows.select("utt_id", _rounded(F.col("quality_score"), 6).alias("quality_score"), grade.alias("grade"), "prosody_bucket", "status")
 
 
 @query("pitch_rate_scores", f"WITH {SCORES} SELECT DISTINCT utt_id, round(pitch, 6) AS pitch, round(rate, 6) AS rate, bucket FROM p")
