@@ -191,6 +191,42 @@ def test_dedup_null_speakers_and_ids(spark):
     assert pairs == {(None, "a", "b"), ("s", None, "d")}
 
 
+def test_similar_pairs_of_common_phrases(spark):
+    from voxloom.operators.dedup import similar_pairs
+
+    rng = random.Random(3)
+    phrases = ["".join(rng.choices("abcdefghijklmnop", k=10)) for _ in range(30)]
+    texts = ["".join(rng.choices(phrases, k=rng.choice([4, 10, 11]))) for _ in range(800)]
+    for i in range(0, 800, 20):
+        x = list(texts[i + 1])
+        for at in rng.sample(range(len(x)), rng.choice([1, 1, 2])):
+            x[at] = rng.choice("qrst")
+        texts[i] = "".join(x) + rng.choice(["", "u", "vwx"])
+    rows = [(f"u{i:03d}", rng.choice("st") if i % 2 else None, x) for i, x in enumerate(texts)]
+    # Copies with a letter more stand in the other's group, so that some pairs are of one group and some are not.
+    rows += [(f"w{i:03d}", rng.choice([None, "s", "t"]), x + "y") for i, x in enumerate(texts[:60])]
+    sets = [(i, s, {x[k : k + 5] for k in range(len(x) - 4)}) for i, s, x in rows]
+    want = {(s, i, j) for k, (i, s, a) in enumerate(sets) for j, s2, b in sets[k + 1 :] if s == s2 and len(a & b) / len(a | b) > 0.8}
+    assert len(want) > 20
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        summaries = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+        return sum(summaries.apply(k).totalShuffleWrite() for k in range(summaries.size()))
+
+    before = shuffled()
+    df = spark.createDataFrame(rows, "i string, s string, x string")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large for it
+    try:
+        got = similar_pairs(df, "i", "s", "x", "0.8").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert len(got) == len(want) and {(r["s"], r["a"], r["b"]) for r in got} == want
+    # Every two texts have phrases in common; pairs that share no more must not be shuffled.
+    assert shuffled() - before < 1_000_000
+
+
 def test_numbers_wider_than_their_padding(spark):
     from voxloom.operators.ingest import audio_id, segment_ids
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructType
 
 from .order import mixed
 
@@ -46,9 +46,8 @@ def grams(c: Column | str, n: int = 5) -> Column:
     return F.when(F.coalesce(size, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(many)
 
 
-@F.arrow_udf(ArrayType(LongType()))
-def gram_hashes(texts: pa.Array) -> pa.Array:
-    """Sorted hashes of the distinct 5-grams, of a whole Arrow batch at once; those of grams()'s, in 64 bits."""
+def text_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of each 5-gram of a whole Arrow batch at once, repeated ones too; those of grams()'s, in 64 bits."""
     size, whole = 5, pc.fill_null(texts, "").to_pylist()
     codes = np.frombuffer("".join(whole).encode("utf-32-le"), np.uint32)
     n = np.array([len(t) for t in whole], np.int64)
@@ -60,27 +59,52 @@ def gram_hashes(texts: pa.Array) -> pa.Array:
     h = length.astype(np.uint64)
     for i in range(size):
         h = np.where(length > i, h * np.uint64(0x9E3779B97F4A7C15) + bits[np.minimum(place + i, len(bits) - 1)], h)
-    h = mixed(h).view(np.int64)
-    by = np.lexsort((h, row))
-    h, row = h[by], row[by]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-    offsets = np.r_[0, np.cumsum(np.bincount(row[new], minlength=len(n)))].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[new]))
-
-
-def set_aside(rare_first: np.ndarray):
-    """A function of sorted longs: those in the sorted array rare_first last, the others first, each part in order."""
-
-    @F.arrow_udf(ArrayType(LongType()))
-    def run(sets: pa.Array) -> pa.Array:
-        values, offsets = sets.flatten().to_numpy(), np.asarray(sets.offsets)
-        row = np.repeat(np.arange(len(sets)), np.diff(offsets))
-        at = np.minimum(np.searchsorted(rare_first, values), max(len(rare_first) - 1, 0))
-        known = rare_first[at] == values if len(rare_first) else np.zeros(len(values), bool)
-        return pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(values[np.lexsort((known, row))]))
-
-    return run
+    return row, mixed(h)
+
+
+def by_row(row: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The order by row, then by x. Few rows need few bits, which sort faster."""
+    by = np.argsort(x)
+    return by[np.argsort(row.astype(np.min_scalar_type(int(row.max(initial=0))))[by], kind="stable")]
+
+
+def first_of(row: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Where a row's value differs from the one before it."""
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (row[1:] != row[:-1])
+    return new
+
+
+def distinct_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As text_grams(), each once, sorted within its row."""
+    row, h = text_grams(texts)
+    by = by_row(row, h.view(np.int64))
+    row, h = row[by], h[by]
+    new = first_of(row, h)
+    return row[new], h[new]
+
+
+@F.arrow_udf(DoubleType())
+def gram_jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+    """jaccard() of the 5-grams of two texts."""
+    (row, h), (row_b, h_b) = distinct_grams(a), distinct_grams(b)
+    row, h = np.r_[row, row_b], np.r_[h, h_b]
+    by = by_row(row, h.view(np.int64))
+    row, h = row[by], h[by]
+    both = np.bincount(row[~first_of(row, h)], minlength=len(a))
+    return pa.array(both / np.maximum(np.bincount(row, minlength=len(a)) - both, 1))
+
+
+@F.arrow_udf(StructType().add("n", IntegerType()).add("h", LongType()).add("k", LongType()))
+def gram_sign(texts: pa.Array) -> pa.Array:
+    """What stands for a text's set of 5-grams: their number, and two sums of hashes (128 bits)."""
+    row, h = distinct_grams(texts)
+    n = np.bincount(row, minlength=len(texts))
+    some, sums = n > 0, np.zeros((2, len(texts)), np.uint64)
+    if len(row):
+        for i, x in enumerate((h, mixed(h))):
+            sums[i, some] = np.add.reduceat(x, (np.cumsum(n) - n)[some])
+    return pa.StructArray.from_arrays([pa.array(n.astype(np.int32)), *map(pa.array, sums.view(np.int64))], names=["n", "h", "k"])
 
 
 def jaccard(a: Column, b: Column) -> Column:
